@@ -19,13 +19,18 @@ def parse_date(text: Column) -> Column:
     return F.try_to_timestamp(text, F.lit(DATE_FORMAT))
 
 
-def _label(names: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), index)
+def label_of(names: list[str], index: Column) -> Column:
+    """``names[index]``, NULL for a NULL index.
+
+    Not ``element_at``: Spark takes that for never NULL when all names are
+    constants, and then gives the last name for a missing date.
+    """
+    return F.get(F.array(*[F.lit(n) for n in names]), index)
 
 
 def weekday_name(date: Column) -> Column:
-    return _label(WEEKDAYS, F.weekday(date) + 1)
+    return label_of(WEEKDAYS, F.weekday(date))
 
 
 def month_name(date: Column) -> Column:
-    return _label(MONTHS, F.month(date))
+    return label_of(MONTHS, F.month(date) - 1)

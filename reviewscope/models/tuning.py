@@ -11,6 +11,7 @@ from pyspark.ml.tuning import (
 )
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from reviewscope.models.frames import stable_order
 from reviewscope.session import checkpoint_root
@@ -49,6 +50,15 @@ def label_rmse() -> Evaluator:
     return RegressionEvaluator(metricName="rmse", labelCol="label")
 
 
+def _fit_once_read(tuner, rows: DataFrame):
+    """Fit with the rows kept, so that folds and the final refit do not read the source again."""
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return tuner.fit(rows)
+    finally:
+        rows.unpersist()
+
+
 def tune_on_split(
     estimator: Estimator, grid: dict[str, list], evaluator: Evaluator, train: DataFrame, key: str,
     train_ratio: float = 0.8, parallelism: int = 4,
@@ -59,7 +69,7 @@ def tune_on_split(
         estimator=estimator, estimatorParamMaps=build_grid(estimator, grid), evaluator=evaluator,
         trainRatio=train_ratio, seed=SEED, parallelism=parallelism,
     )
-    return tuner.fit(stable_order(train, key))
+    return _fit_once_read(tuner, stable_order(train, key))
 
 
 def tune_by_folds(
@@ -73,7 +83,7 @@ def tune_by_folds(
         estimator=estimator, estimatorParamMaps=build_grid(estimator, grid), evaluator=evaluator,
         numFolds=folds, foldCol="_fold", seed=SEED, parallelism=parallelism,
     )
-    return tuner.fit(stable_order(train.withColumn("_fold", fold), key))
+    return _fit_once_read(tuner, stable_order(train.withColumn("_fold", fold), key))
 
 
 def grid_metrics(model: TrainValidationSplitModel | CrossValidatorModel) -> list[tuple[dict, float]]:

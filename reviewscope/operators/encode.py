@@ -3,17 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewscope.operators.lookup import SMALL_LOOKUP_ROWS, broadcast_if_small, lookup_join
-from reviewscope.operators.ordering import PART, POS, block_totals, stage_in_order
+from reviewscope.operators.lookup import SMALL_LOOKUP_ROWS, lookup_join
+from reviewscope.operators.ordering import PART, POS, stage_in_order
 from reviewscope.session import materialize
 
 
-def dense_codes(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Code table (kind, key, n, code) for all ``columns`` in one pass over ``df``.
+class Codes(NamedTuple):
+    """Code table (kind, key, n, code), and per kind its number of keys and of rows."""
+
+    table: DataFrame
+    sizes: dict[str, tuple[int, int]]
+
+    def bounds(self) -> dict[str, tuple[float, float]]:
+        """Smallest and largest code per kind."""
+        return {kind: (0.0, max(0.0, keys - 1.0)) for kind, (keys, _) in self.sizes.items()}
+
+
+def dense_codes(df: DataFrame, columns: list[str]) -> Codes:
+    """Code table for all ``columns`` from one pass over ``df``.
 
     ``code`` numbers the distinct values of each column 0..n-1 in ascending
     order; ``n`` counts the rows that carry the value. Keys are compared as
@@ -26,28 +38,41 @@ def dense_codes(df: DataFrame, columns: list[str]) -> DataFrame:
         .groupBy("kind", "key").agg(F.count("*").alias("n"))
     )
     staged = stage_in_order(keys, "kind", "key", name="keys")
-    # At most (columns + sort partitions) blocks.
-    blocks = block_totals(staged, ["kind"], F.lit(1)).select("kind", PART, "block_first", "before")
-    codes = staged.join(broadcast_if_small(blocks, blocks.count()), ["kind", PART]).select(
-        "kind", "key", "n", (F.col("before") + F.col(POS) - F.col("block_first")).alias("code"),
+    # One row per sort partition, and one more where a partition holds the end
+    # of one kind and the start of the next: small whatever the data holds.
+    blocks = staged.groupBy("kind", PART).agg(
+        F.min(POS).alias("first"), F.count("*").alias("keys"), F.sum("n").alias("rows"),
+    ).orderBy("kind", PART).collect()
+    sizes = {c: (0, 0) for c in columns}
+    shifts = []
+    for block in blocks:
+        before, rows = sizes[block["kind"]]
+        shifts.append((block["kind"], block[PART], before - block["first"]))
+        sizes[block["kind"]] = (before + block["keys"], rows + block["rows"])
+    shift = df.sparkSession.createDataFrame(shifts, f"kind string, {PART} int, shift bigint")
+    table = staged.join(F.broadcast(shift), ["kind", PART]).select(
+        "kind", "key", "n", (F.col(POS) + F.col("shift")).alias("code"),
     )
-    return codes
+    return Codes(table, sizes)
 
 
 def apply_codes(
-    df: DataFrame, codes: DataFrame, columns: list[str],
+    df: DataFrame, codes: Codes, columns: list[str],
     spread_by: list[str] | None = None, small: int = SMALL_LOOKUP_ROWS,
 ) -> DataFrame:
-    """Replace each id column by its code; column order stays."""
-    out = df.select(
-        "*", *[F.col(c).cast("string").alias(f"_id_{c}") for c in columns],
-    )
+    """Replace each id column by its code; column order stays.
+
+    ``spread_by`` names columns that tell the rows of a hot id apart; by
+    default the other ids do.
+    """
+    out = df.select("*", *[F.col(c).cast("string").alias(f"_id_{c}") for c in columns])
+    spread_by = spread_by or [f"_id_{c}" for c in columns]
     for column in columns:
-        lookup = codes.where(F.col("kind") == column).select(
+        lookup = codes.table.where(F.col("kind") == column).select(
             F.col("key").alias(f"_id_{column}"), "n", F.col("code").alias(f"_code_{column}"),
         )
         out = lookup_join(
-            out, lookup, [f"_id_{column}"], "n", spread_by or [f"_id_{c}" for c in columns], small,
+            out, lookup, [f"_id_{column}"], "n", spread_by, small, codes.sizes[column],
         )
     return out.select(
         *[F.col(f"_code_{c}").alias(c) if c in columns else F.col(c) for c in df.columns],
@@ -61,12 +86,6 @@ def encode_ids(
     return apply_codes(df, dense_codes(df, columns), columns, spread_by, small)
 
 
-def code_bounds(codes: DataFrame) -> dict[str, tuple[float, float]]:
-    """Smallest and largest code per kind, one row for each encoded column."""
-    sizes = codes.groupBy("kind").agg(F.max("code").alias("top")).collect()
-    return {r["kind"]: (0.0, float(r["top"])) for r in sizes}
-
-
 def _unit(value: Column, low: Column, high: Column) -> Column:
     scaled = F.try_divide(value.cast("double") - low, high - low)
     return F.when(value.isNotNull(), F.coalesce(scaled, F.lit(0.0)))
@@ -99,4 +118,4 @@ def encode_and_scale(
     """Encoded and scaled forms of ``df``; the encoded one is written once and shared."""
     codes = dense_codes(df, columns)
     encoded = materialize(apply_codes(df, codes, columns, small=small), "encoded")
-    return encoded, minmax_scale(encoded, columns, code_bounds(codes))
+    return encoded, minmax_scale(encoded, columns, codes.bounds())

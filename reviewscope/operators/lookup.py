@@ -22,11 +22,13 @@ def lookup_join(
     weight: str,
     spread_by: list[str],
     small: int = SMALL_LOOKUP_ROWS,
+    size: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Left join that stays balanced when one key holds a large share of ``rows``.
 
     ``lookup`` has one row per key; its ``weight`` column says how many rows
-    carry the key and is dropped from the result.
+    carry the key and is dropped from the result. ``size`` gives its row count
+    and total weight where they are known already.
 
     * A lookup of at most ``small`` rows (counted first) is broadcast.
     * Otherwise keys with at least 1/1000 of the total weight, so at most 1000
@@ -35,11 +37,13 @@ def lookup_join(
       and are spread over it by a hash of ``spread_by``.
     """
     values = [c for c in lookup.columns if c not in (*keys, weight)]
-    size = lookup.agg(F.count("*").alias("n"), F.sum(weight).alias("w")).first()
-    if size["n"] <= small:
+    if size is None:
+        size = lookup.agg(F.count("*"), F.coalesce(F.sum(weight), F.lit(0))).first()
+    n_keys, total_weight = size
+    if n_keys <= small:
         return rows.join(F.broadcast(lookup.drop(weight)), keys, "left").select(*rows.columns, *values)
 
-    threshold = max(1, -(-size["w"] // HOT_KEYS_AT_MOST))
+    threshold = max(1, -(-total_weight // HOT_KEYS_AT_MOST))
     hot = lookup.where(F.col(weight) >= threshold).select(
         *keys, F.lit(True).alias("_hot"), *[F.col(v).alias(f"_hot_{v}") for v in values],
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewscope.functions.calendar import MONTHS, WEEKDAYS
+from reviewscope.functions.calendar import MONTHS, WEEKDAYS, label_of
 from reviewscope.functions.numbers import is_number
 from reviewscope.operators.lookup import SMALL_LOOKUP_ROWS, broadcast_if_small, lookup_join
 from reviewscope.operators.ordering import PART, block_totals, stage_in_order
@@ -40,16 +40,16 @@ def count_by_rating(df: DataFrame, label: str) -> DataFrame:
 def _named_crosstab(df: DataFrame, number: Column, names: list[str], label: str) -> DataFrame:
     # Rows are counted by small integers; only the 7 or 12 results get names.
     counts = count_by_rating(df.select(number.alias("_number"), "stars"), "_number")
-    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_number"))
+    name = label_of(names, F.col("_number"))
     return counts.select(name.alias(label), *[f"stars_{r}" for r in RATINGS]).orderBy(label)
 
 
 def crosstab_day_stars(df: DataFrame, date: str = "date") -> DataFrame:
-    return _named_crosstab(df, F.weekday(date) + 1, WEEKDAYS, "day")
+    return _named_crosstab(df, F.weekday(date), WEEKDAYS, "day")
 
 
 def crosstab_month_stars(df: DataFrame, date: str = "date") -> DataFrame:
-    return _named_crosstab(df, F.month(date), MONTHS, "month")
+    return _named_crosstab(df, F.month(date) - 1, MONTHS, "month")
 
 
 def scatter_counts(df: DataFrame, x: str, y: str, hue: str = "stars") -> DataFrame:

@@ -12,7 +12,7 @@ from reviewscope.functions import calendar, cleaning, numbers, text
 from reviewscope.models import frames, recommender, sentiment, trees, tuning
 from reviewscope.operators import encode, evaluate, slices, summarize, words
 from reviewscope.plans.standin import (
-    dated, labelled_texts, ratings, raw_reviews, reviews, rule_scored, table,
+    dated, labelled_texts, ratings, raw_reviews, reviews, rule_scored, table, texts,
 )
 from reviewscope.schema import ENCODED_REVIEWS, ID_COLUMNS, RATINGS, VOTE_COLUMNS
 from reviewscope.session import scratch_path
@@ -244,14 +244,14 @@ def clean_byte_prefix(spark, sf_dir):
 
 @query
 def clean_quotes(spark, sf_dir):
-    quoted = table(spark, sf_dir, "documents").select(
+    quoted = texts(spark, sf_dir).select(
         "doc_id", F.concat(F.lit("'\""), "text", F.lit("\"''")).alias("text"))
     return _digest(quoted.withColumn("text", cleaning.strip_quotes(F.col("text"))))
 
 
 @query
 def strip_punctuation(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = texts(spark, sf_dir)
     return documents.withColumn("text", text.strip_punctuation(F.col("text")))
 
 
@@ -284,7 +284,7 @@ def minmax_ids(spark, sf_dir):
 # --- text ------------------------------------------------------------------
 
 def _tokens(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", text.word_tokens(F.col("text")).alias("tokens"))
+    return texts(spark, sf_dir).select("doc_id", text.word_tokens(F.col("text")).alias("tokens"))
 
 
 def _shown_tokens(df: DataFrame, column: str) -> DataFrame:
@@ -316,7 +316,7 @@ def bigrams(spark, sf_dir):
 
 
 def _ml_words(spark, sf_dir) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = texts(spark, sf_dir)
     return Tokenizer(inputCol="text", outputCol="tokens").transform(documents).drop("text")
 
 

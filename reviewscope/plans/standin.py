@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from reviewscope.functions.calendar import DATE_FORMAT
 from reviewscope.schema import ID_COLUMNS, REVIEW_COLUMNS
+from reviewscope.sources import fill_cores
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,9 +34,13 @@ def ratings(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     )
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_cores(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ratings`` with a text each; the texts are dealt out in turn, so no text is hot."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = texts(spark, sf_dir)
     size = documents.agg((F.max("doc_id") + 1).alias("n")).scalar()
     rated = ratings(spark, sf_dir).withColumn("doc_id", F.col("review_id") % size)
     return rated.join(documents, "doc_id").select(REVIEW_COLUMNS)
@@ -59,7 +64,8 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with a 0/1 label that depends on them."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    return table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars").join(labels, "doc_id")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    return documents.join(labels, "doc_id")
 
 
 def rule_scored(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,9 @@
 from reviewscope.sources.readers import (
-    enforce_schema, load_reviews, read_csv_reviews, read_csv_typed, scan_table,
+    enforce_schema, fill_cores, load_reviews, read_csv_reviews, read_csv_typed, scan_table,
 )
 from reviewscope.sources.writers import write_csv, write_parquet
 
 __all__ = [
-    "enforce_schema", "load_reviews", "read_csv_reviews", "read_csv_typed", "scan_table",
+    "enforce_schema", "fill_cores", "load_reviews", "read_csv_reviews", "read_csv_typed", "scan_table",
     "write_csv", "write_parquet",
 ]

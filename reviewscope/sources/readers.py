@@ -58,3 +58,16 @@ def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
         return value.alias(field.name)
 
     return df.select([column(f) for f in schema.fields])
+
+
+def fill_cores(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan that has fewer tasks than the session has cores.
+
+    One small file is read by one task, and costly work on its rows would leave
+    the other cores idle. Larger inputs come back unchanged, so no large table
+    is ever shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)

@@ -10,10 +10,11 @@ from reviewscope.sources.readers import CSV_DIALECT
 def write_csv(df: DataFrame, path: str) -> None:
     """Write a folder of CSV files with headers and no row-number column.
 
-    Every value is quoted, so an empty text stays different from NULL.
+    An empty text is written as two quotes and NULL as nothing, so both come
+    back as they were.
     """
     options = {k: v for k, v in CSV_DIALECT.items() if k != "multiLine"}
-    df.write.mode("overwrite").options(**options, quoteAll=True, emptyValue="").csv(path)
+    df.write.mode("overwrite").options(**options).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
