@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 SMALL_LOOKUP_ROWS = 200_000
 HOT_KEYS_AT_MOST = 1_000
-SPREAD = 4_096
 
 
 def broadcast_if_small(df: DataFrame, rows: int, limit: int = SMALL_LOOKUP_ROWS) -> DataFrame:
@@ -48,16 +47,19 @@ def lookup_join(
         *keys, F.lit(True).alias("_hot"), *[F.col(v).alias(f"_hot_{v}") for v in values],
     )
     cold = lookup.where(F.col(weight) < threshold).select(
-        *[F.col(k).alias(f"_cold_{k}") for k in keys], F.lit(-1).alias("_cold_salt"),
+        *[F.col(k).alias(f"_cold_{k}") for k in keys], F.xxhash64(*keys).alias("_cold_salt"),
         *[F.col(v).alias(f"_cold_{v}") for v in values],
     )
     is_cold = F.col("_hot").isNull()
     for k in keys:
         is_cold &= F.col(k).isNotNull()
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)).cast("int")
+    # The salt follows the key for cold rows, so that it is equal on both sides,
+    # and the row itself for all others. A constant on one side would be folded
+    # into the condition and no longer take part in the placement.
+    salt = F.when(is_cold, F.xxhash64(*keys)).otherwise(F.xxhash64(*spread_by))
     marked = rows.join(F.broadcast(hot), keys, "left").select(
         "*",
-        F.when(is_cold, F.lit(-1)).otherwise(salt).alias("_salt"),
+        salt.alias("_salt"),
         *[F.when(is_cold, F.col(k)).alias(f"_key_{k}") for k in keys],
     )
     on = [F.col("_salt") == F.col("_cold_salt")]

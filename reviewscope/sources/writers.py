@@ -10,8 +10,8 @@ from reviewscope.sources.readers import CSV_DIALECT
 def write_csv(df: DataFrame, path: str) -> None:
     """Write a folder of CSV files with headers and no row-number column.
 
-    An empty text is written as two quotes and NULL as nothing, so both come
-    back as they were.
+    CSV does not tell an empty text from NULL: both are read back as NULL.
+    Parquet keeps them apart.
     """
     options = {k: v for k, v in CSV_DIALECT.items() if k != "multiLine"}
     df.write.mode("overwrite").options(**options).csv(path)
