@@ -57,33 +57,41 @@ def dense_codes(df: DataFrame, columns: list[str]) -> Codes:
 
 
 def apply_codes(
-    df: DataFrame, codes: Codes, columns: list[str],
+    df: DataFrame, codes: Codes, columns: list[str], row_key: str | None = None,
     spread_by: list[str] | None = None, small: int = SMALL_LOOKUP_ROWS,
 ) -> DataFrame:
     """Replace each id column by its code; column order stays.
 
+    ``row_key`` names a column that is unique and never NULL. With it, when
+    more than one code table is too large to broadcast, only the ids go through
+    those joins, and the wide rows are shuffled once instead of once per id.
     ``spread_by`` names columns that tell the rows of a hot id apart; by
     default the other ids do.
     """
-    out = df.select("*", *[F.col(c).cast("string").alias(f"_id_{c}") for c in columns])
-    spread_by = spread_by or [f"_id_{c}" for c in columns]
-    for column in columns:
-        lookup = codes.table.where(F.col("kind") == column).select(
-            F.col("key").alias(f"_id_{column}"), "n", F.col("code").alias(f"_code_{column}"),
-        )
-        out = lookup_join(
-            out, lookup, [f"_id_{column}"], "n", spread_by, small, codes.sizes[column],
-        )
-    return out.select(
-        *[F.col(f"_code_{c}").alias(c) if c in columns else F.col(c) for c in df.columns],
-    )
+    large = [c for c in columns if codes.sizes[c][0] > small]
+    if row_key is not None and len(large) > 1:
+        ids = df.select(F.col(row_key).alias("_row_key"), *columns)
+        coded = apply_codes(ids, codes, columns, None, spread_by, small)
+        coded = coded.select("_row_key", *[F.col(c).alias(f"_code_{c}") for c in columns])
+        out = df.join(coded, F.col(row_key) == F.col("_row_key"))
+    else:
+        out = df.select("*", *[F.col(c).cast("string").alias(f"_id_{c}") for c in columns])
+        for column in columns:
+            lookup = codes.table.where(F.col("kind") == column).select(
+                F.col("key").alias(f"_id_{column}"), "n", F.col("code").alias(f"_code_{column}"),
+            )
+            out = lookup_join(
+                out, lookup, [f"_id_{column}"], "n",
+                spread_by or [f"_id_{c}" for c in columns], small, codes.sizes[column],
+            )
+    return out.select([F.col(f"_code_{c}").alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
 def encode_ids(
-    df: DataFrame, columns: list[str],
+    df: DataFrame, columns: list[str], row_key: str | None = None,
     spread_by: list[str] | None = None, small: int = SMALL_LOOKUP_ROWS,
 ) -> DataFrame:
-    return apply_codes(df, dense_codes(df, columns), columns, spread_by, small)
+    return apply_codes(df, dense_codes(df, columns), columns, row_key, spread_by, small)
 
 
 def _unit(value: Column, low: Column, high: Column) -> Column:
@@ -99,23 +107,25 @@ def minmax_scale(
     Without ``bounds`` all minima and maxima come from one aggregation, read as
     a scalar subquery.
     """
-    if bounds is None:
-        found = df.agg(F.struct(*[
-            f(F.col(c).cast("double")).alias(f"{p}_{c}")
-            for c in columns for f, p in ((F.min, "low"), (F.max, "high"))
-        ])).scalar()
-        edge = {c: (found[f"low_{c}"], found[f"high_{c}"]) for c in columns}
-    else:
-        edge = {c: (F.lit(float(lo)), F.lit(float(hi))) for c, (lo, hi) in bounds.items()}
-    return df.select([
-        _unit(F.col(c), *edge[c]).alias(c) if c in columns else F.col(c) for c in df.columns
+    if bounds is not None:
+        return df.select([
+            _unit(F.col(c), *map(F.lit, bounds[c])).alias(c) if c in columns else F.col(c) for c in df.columns
+        ])
+    edges = df.agg(F.struct(*[
+        find(F.col(c).cast("double")).alias(f"{name}_{c}")
+        for c in columns for name, find in (("low", F.min), ("high", F.max))
+    ])).scalar()
+    edge = F.col("_edges")
+    return df.select("*", edges.alias("_edges")).select([
+        _unit(F.col(c), edge[f"low_{c}"], edge[f"high_{c}"]).alias(c) if c in columns else F.col(c)
+        for c in df.columns
     ])
 
 
 def encode_and_scale(
-    df: DataFrame, columns: list[str], small: int = SMALL_LOOKUP_ROWS,
+    df: DataFrame, columns: list[str], row_key: str | None = None, small: int = SMALL_LOOKUP_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """Encoded and scaled forms of ``df``; the encoded one is written once and shared."""
     codes = dense_codes(df, columns)
-    encoded = materialize(apply_codes(df, codes, columns, small=small), "encoded")
+    encoded = materialize(apply_codes(df, codes, columns, row_key, small=small), "encoded")
     return encoded, minmax_scale(encoded, columns, codes.bounds())

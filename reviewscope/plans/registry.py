@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reviewscope.functions import calendar, cleaning, numbers, text
 from reviewscope.models import frames, recommender, sentiment, trees, tuning
 from reviewscope.operators import encode, evaluate, slices, summarize, words
+from reviewscope.plans import prepare
 from reviewscope.plans.standin import (
     dated, labelled_texts, ratings, raw_reviews, reviews, rule_scored, table, texts,
 )
@@ -148,7 +149,7 @@ def _string_keys(spark, sf_dir) -> DataFrame:
 
 @query
 def encode_ids(spark, sf_dir):
-    return encode.encode_ids(_string_keys(spark, sf_dir), ID_COLUMNS)
+    return encode.encode_ids(_string_keys(spark, sf_dir), ID_COLUMNS, row_key="row_id")
 
 
 @query
@@ -227,11 +228,22 @@ def head_slice(spark, sf_dir):
 
 @query
 def scaled_subset(spark, sf_dir):
-    encoded, scaled = encode.encode_and_scale(_string_keys(spark, sf_dir), ID_COLUMNS)
+    encoded, scaled = encode.encode_and_scale(_string_keys(spark, sf_dir), ID_COLUMNS, row_key="row_id")
     subset = slices.first_rows(scaled, 800, "row_id")
     return subset.select("row_id", *[F.round(c, 9).alias(c) for c in ID_COLUMNS], "stars")
 
 
+@query
+def prepare_tables(spark, sf_dir):
+    # Cleaned files come from the CSV form, like any other raw input.
+    path = scratch_path(spark, "raw", ".csv")
+    write_csv(raw_reviews(spark, sf_dir), path)
+    tables = prepare.prepare_tables(
+        read_csv_reviews(spark, path), scratch_path(spark, "prepared"), working_rows=7_500, subset_rows=600)
+    scaled = tables["subset"].select(*[F.round(c, 9).alias(c) for c in ID_COLUMNS], "text", "date", "stars")
+    return _digest(dated(scaled))
+
+
 # --- scalar functions ------------------------------------------------------
 
 @query

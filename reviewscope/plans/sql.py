@@ -230,6 +230,17 @@ where value < q1 - 1.5 * (q3 - q1) or value > q3 + 1.5 * (q3 - q1)""",
     "scaled_subset": f"""
 select row_id, {', '.join(_scale(c, 9) for c in ID_COLUMNS)}, stars from ({ENCODED_SQL})
 order by row_id limit 800""",
+    "prepare_tables": f"""
+with working as (
+  select md5(user_id::varchar) as user_id, md5(business_id::varchar) as business_id,
+         md5(review_id::varchar) as review_id, {DATE} as date, text, stars
+  from ({REVIEWS_SQL}) order by md5(review_id::varchar) limit 7500),
+codes as (
+  select {', '.join(f'dense_rank() over (order by {c}) - 1 as {c}' for c in ID_COLUMNS)}, date, text, stars
+  from working),
+scaled as (select {', '.join(_scale(c, 9) for c in ID_COLUMNS)}, date, text, stars from codes)
+select user_id, business_id, review_id, date, stars, md5(text) as text, length(text) as n_chars
+from scaled order by review_id limit 600""",
     "clean_byte_prefix": f"""
 select regexp_replace(user_id, '^b([''"])', '\\1') as user_id, review_id, md5(body) as text, length(body) as n_chars
 from (select user_id, review_id, regexp_replace(

@@ -40,10 +40,9 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ratings`` with a text each; the texts are dealt out in turn, so no text is hot."""
-    documents = texts(spark, sf_dir)
-    size = documents.agg((F.max("doc_id") + 1).alias("n")).scalar()
+    size = table(spark, sf_dir, "documents").agg((F.max("doc_id") + 1).alias("n")).scalar()
     rated = ratings(spark, sf_dir).withColumn("doc_id", F.col("review_id") % size)
-    return rated.join(documents, "doc_id").select(REVIEW_COLUMNS)
+    return rated.join(texts(spark, sf_dir), "doc_id").select(REVIEW_COLUMNS)
 
 
 def dated(df: DataFrame) -> DataFrame:

@@ -54,7 +54,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str, ending: str = "") -> str:
-    return f"{checkpoint_root(spark)}/reviewscope/{name}-{uuid.uuid4().hex}{ending}"
+    """A new path below one folder per application, which can be removed when that has ended."""
+    folder = f"{checkpoint_root(spark)}/reviewscope/{spark.sparkContext.applicationId}"
+    return f"{folder}/{name}-{uuid.uuid4().hex}{ending}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

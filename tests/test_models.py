@@ -98,6 +98,8 @@ def test_als_tuning_is_finite(taste):
     model = tuning.tune_on_split(recommender.als(maxIter=5), grid, tuning.label_rmse(), train, "review_id")
     metrics = [m for _, m in tuning.grid_metrics(model)]
     assert all(math.isfinite(m) for m in metrics) and metrics[1] < metrics[0]
+    folds = tuning.tune_by_folds(recommender.als(maxIter=5), grid, tuning.label_rmse(), train, "review_id", folds=2)
+    assert folds.bestModel.rank == 4
 
 
 def test_top_items_on_both_routes(taste):

@@ -28,15 +28,15 @@ def skewed(spark):
     return rows, spark.createDataFrame(rows, "row int, user_id string, business_id string, review_id string")
 
 
-@pytest.mark.parametrize("small", [10_000, 0])
-def test_codes_are_dense_and_in_key_order(skewed, small):
+@pytest.mark.parametrize("small, row_key", [(10_000, None), (0, None), (0, "row"), (100, "row")])
+def test_codes_are_dense_and_in_key_order(skewed, small, row_key):
     rows, df = skewed
     columns = ["user_id", "business_id", "review_id"]
     expected = []
     for position in (1, 2, 3):
         order = {k: i for i, k in enumerate(sorted({r[position] for r in rows if r[position] is not None}))}
         expected.append([order.get(r[position]) for r in rows])
-    encoded = encode.encode_ids(df, columns, small=small)
+    encoded = encode.encode_ids(df, columns, row_key, small=small)
     assert encoded.columns == df.columns
     got = sorted(tuple(r) for r in encoded.collect())
     assert got == list(zip([r[0] for r in rows], *expected))

@@ -57,4 +57,5 @@ def test_intermediate_tables_go_to_the_named_folder(spark):
     root = session.checkpoint_root(spark)
     assert root == spark.conf.get("spark.checkpoint.dir")
     kept = session.materialize(spark.range(10), "numbers")
-    assert kept.inputFiles()[0].startswith(f"file://{root}/reviewscope/numbers-") and kept.count() == 10
+    folder = f"file://{root}/reviewscope/{spark.sparkContext.applicationId}/numbers-"
+    assert kept.inputFiles()[0].startswith(folder) and kept.count() == 10
