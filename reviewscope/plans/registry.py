@@ -391,7 +391,7 @@ def _rating_parts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 
 def _text_parts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    return slices.train_test(labelled_texts(spark, sf_dir).drop("n_chars"), "doc_id")
+    return slices.train_test(labelled_texts(spark, sf_dir), "doc_id")
 
 
 @query

@@ -60,16 +60,19 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+
+
 def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with a 0/1 label that depends on them."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
-    return documents.join(labels, "doc_id")
+    return texts(spark, sf_dir).join(_labels(spark, sf_dir), "doc_id")
 
 
 def rule_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions of a fixed rule: long texts are good."""
-    return labelled_texts(spark, sf_dir).select(
+    lengths = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    return lengths.join(_labels(spark, sf_dir), "doc_id").select(
         "doc_id", "n_chars", (F.col("n_chars") > 1400).cast("double").alias("prediction"),
         F.col("label").alias("trueLabel"),
     )
