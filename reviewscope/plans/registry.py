@@ -52,7 +52,9 @@ def scan_csv_reviews(spark, sf_dir):
 def scan_csv_infer(spark, sf_dir):
     path = scratch_path(spark, "ratings", ".csv")
     write_csv(dated(ratings(spark, sf_dir)), path)
-    return dated(read_csv_typed(spark, path))
+    # Small ids are found to be int and larger ones bigint; one type for both.
+    typed = read_csv_typed(spark, path)
+    return dated(typed.select([F.col(c).cast("bigint") if c in ID_COLUMNS else F.col(c) for c in typed.columns]))
 
 
 @query

@@ -34,8 +34,8 @@ def _in(words: list[str]) -> str:
 
 RATINGS_SQL = """
 select event_id as review_id, user_id, (event_id * 7919 + 13) % 997 as business_id, ts as date,
-       cast(floor(value) as bigint) % 7 as funny, cast(floor(value) as bigint) % 5 as cool,
-       cast(floor(value) as bigint) % 11 as useful,
+       (cast(floor(value) as bigint) % 7)::int as funny, (cast(floor(value) as bigint) % 5)::int as cool,
+       (cast(floor(value) as bigint) % 11)::int as useful,
        case event_type when 'error' then 1 when 'view' then 2 when 'click' then 3
                        when 'signup' then 4 else 5 end as stars, value
 from events"""
@@ -103,7 +103,7 @@ def _stripped(tokens: str) -> str:
 
 def _token_query(tokens: str, name: str = "tokens") -> str:
     return f"""
-select doc_id, len({name}) as n_tokens, array_to_string({name}, ' ') as {name}
+select doc_id, len({name})::int as n_tokens, array_to_string({name}, ' ') as {name}
 from (select doc_id, {tokens} as {name} from documents)"""
 
 
@@ -156,7 +156,7 @@ def _raw(columns: list[str], source: str = REVIEWS_SQL) -> str:
 _ALL = ["user_id", "text", "date", "review_id", "business_id", "funny", "cool", "useful", "stars"]
 _CLEANED = ", ".join(
     f"{_clean(c)}::int as {c}" if c in ("funny", "cool", "useful", "stars")
-    else f"md5({_clean(c)}) as text, length({_clean(c)}) as n_chars" if c == "text"
+    else f"md5({_clean(c)}) as text, length({_clean(c)})::int as n_chars" if c == "text"
     else f"{_clean(c)} as {c}" for c in _ALL)
 CLEAN_ROWS_SQL = f"select {_CLEANED} from ({_raw(_ALL)})"
 PLAIN_RATINGS_SQL = f"""
@@ -172,7 +172,7 @@ ORACLE_SQL = {
     "scan_table_sql": PLAIN_RATINGS_SQL,
     "schema_enforced_scan": f"""
 select user_id, md5(text) as text, {DATE} as date, review_id, business_id, funny, cool, useful, stars,
-       length(text) as n_chars from ({REVIEWS_SQL})""",
+       length(text)::int as n_chars from ({REVIEWS_SQL})""",
     "sink_csv_roundtrip": f"""
 select {', '.join(_scale(c, 6) for c in ID_COLUMNS)}, funny, cool, useful, stars from ({RATINGS_SQL})""",
     "sink_parquet_roundtrip": CLEAN_ROWS_SQL,
@@ -192,7 +192,7 @@ select d.doc_id, lang, n_chars, quality, toxic from documents d left join labels
 where lang is not null and n_chars is not null and quality is not null and toxic is not null""",
     "join_predictions_source": f"""
 select review_id, case when useful > 4 then 1.0::double else 0.0::double end as prediction, user_id,
-       business_id, stars, md5(text) as text, length(text) as n_chars from ({REVIEWS_SQL})""",
+       business_id, stars, md5(text) as text, length(text)::int as n_chars from ({REVIEWS_SQL})""",
     "encode_ids": ENCODED_SQL,
     "split_sizes": f"""
 select case when {TRAINING} then 'train' else 'test' end as split, count(*) as n_rows
@@ -203,7 +203,7 @@ select count(distinct user_id) as n_user_id, count(distinct business_id) as n_bu
     "distinct_values": f"select distinct business_id from ({RATINGS_SQL})",
     "word_freq_by_rating": WORD_FREQ_SQL,
     "top_words_by_rating": f"""
-select * from (select *, row_number() over (partition by stars order by n desc, word) as rank
+select * from (select *, (row_number() over (partition by stars order by n desc, word))::int as rank
                from ({WORD_FREQ_SQL})) where rank <= 25""",
     "crosstab_day_stars": _crosstab("dayname(date) as day", RATINGS_SQL),
     "crosstab_month_stars": _crosstab(
@@ -239,15 +239,15 @@ codes as (
   select {', '.join(f'dense_rank() over (order by {c}) - 1 as {c}' for c in ID_COLUMNS)}, date, text, stars
   from working),
 scaled as (select {', '.join(_scale(c, 9) for c in ID_COLUMNS)}, date, text, stars from codes)
-select user_id, business_id, review_id, date, stars, md5(text) as text, length(text) as n_chars
+select user_id, business_id, review_id, date, stars, md5(text) as text, length(text)::int as n_chars
 from scaled order by review_id limit 600""",
     "clean_byte_prefix": f"""
-select regexp_replace(user_id, '^b([''"])', '\\1') as user_id, review_id, md5(body) as text, length(body) as n_chars
+select regexp_replace(user_id, '^b([''"])', '\\1') as user_id, review_id, md5(body) as text, length(body)::int as n_chars
 from (select user_id, review_id, regexp_replace(
         case when review_id < 'b''8' then text else substr(text, 3) end, '^b([''"])', '\\1') as body
       from ({_raw(['user_id', 'review_id', 'text'])}))""",
     "clean_quotes": f"""
-select doc_id, md5(body) as text, length(body) as n_chars
+select doc_id, md5(body) as text, length(body)::int as n_chars
 from (select doc_id, {_strip("('''\"' || text || '\"''''')")} as body from documents)""",
     "strip_punctuation": f"select doc_id, translate(text, {_quote(PUNCTUATION)}, '') as text from documents",
     "weekday_name": f"select review_id, dayname(date) as day from ({RATINGS_SQL})",
