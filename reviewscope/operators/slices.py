@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewscope.operators.lookup import broadcast_if_small
 from reviewscope.operators.ordering import PART, POS, block_totals, stage_in_order
 
 PEEK_ROWS = 10_000

@@ -52,10 +52,18 @@ def crosstab_month_stars(df: DataFrame, date: str = "date") -> DataFrame:
     return _named_crosstab(df, F.month(date) - 1, MONTHS, "month")
 
 
-def scatter_counts(df: DataFrame, x: str, y: str, hue: str = "stars") -> DataFrame:
-    """Distinct points of an x/y cloud per rating; ``n`` says how many rows lie on each."""
-    columns = [F.col(x).alias("x"), F.col(y).alias("y"), F.col(hue)]
-    return df.groupBy(*columns).agg(F.count("*").alias("n"))
+def scatter_counts(df: DataFrame, clouds: list[tuple[str, str]], hue: str = "stars") -> DataFrame:
+    """Distinct points of x/y clouds per rating; ``n`` says how many rows lie on each.
+
+    One pass counts the combinations of all columns involved, and every cloud
+    is summed up from those.
+    """
+    columns = sorted({c for pair in clouds for c in pair})
+    points = df.groupBy(*columns, hue).agg(F.count("*").alias("weight"))
+    cloud = F.inline(F.array(*[
+        F.struct(F.lit(f"{x} x {y}").alias("cloud"), F.col(x).alias("x"), F.col(y).alias("y")) for x, y in clouds
+    ]))
+    return points.select(hue, "weight", cloud).groupBy("cloud", "x", "y", hue).agg(F.sum("weight").alias("n"))
 
 
 def _measured(df: DataFrame, groups: list[str], value: str) -> DataFrame:

@@ -209,16 +209,8 @@ def box_outliers(spark, sf_dir):
 
 @query
 def scatter_counts(spark, sf_dir):
-    rated = ratings(spark, sf_dir)
     clouds = [("cool", "cool"), ("cool", "funny"), ("cool", "useful"), ("useful", "funny")]
-    # One pass counts every vote combination; the four clouds are read off it.
-    points = rated.groupBy(*VOTE_COLUMNS, "stars").agg(F.count("*").alias("weight"))
-    cloud = F.explode(F.array(*[
-        F.struct(F.lit(f"{x} x {y}").alias("cloud"), F.col(x).alias("x"), F.col(y).alias("y"))
-        for x, y in clouds
-    ]))
-    return points.select(cloud.alias("p"), "stars", "weight").groupBy(
-        "p.cloud", "p.x", "p.y", "stars").agg(F.sum("weight").alias("n"))
+    return summarize.scatter_counts(ratings(spark, sf_dir), clouds)
 
 
 # --- slices ----------------------------------------------------------------

@@ -60,7 +60,8 @@ def test_grids_have_the_published_sizes():
 
 
 def test_tuners_choose_the_deeper_tree(id_rows):
-    train, test = slices.train_test(id_rows.withColumn("label", F.col("business_id").between(0.3, 0.7).cast("double")), "row_id")
+    middle = F.col("business_id").between(0.3, 0.7).cast("double")
+    train, test = slices.train_test(id_rows.withColumn("label", middle), "row_id")
     grid = {"maxDepth": [1, 4]}
     by_split = tuning.tune_on_split(trees.tree_pipeline(), grid, tuning.weighted_f1(), train, "row_id")
     by_folds = tuning.tune_by_folds(trees.tree_pipeline(), grid, tuning.score_auc(), train, "row_id", folds=3)
