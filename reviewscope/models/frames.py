@@ -12,15 +12,22 @@ from reviewscope.functions.numbers import binarize
 ID_FEATURES = ["user_id", "review_id", "business_id"]
 
 
+ROWS_PER_TASK = 10_000
+
+
 def stable_order(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """Place rows by a hash of the unique ``key`` and sort inside each partition.
 
     Fits with the same seed then see the same partitions, whatever the input
     layout was: hash placement needs no sampled range bounds, and a fixed
-    partition number is not merged at run time.
+    partition number is not merged at run time. Small inputs get fewer
+    partitions than the session's setting, because every fit runs many rounds
+    and each round pays for every task.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, key).sortWithinPartitions(key)
+    if partitions is None:
+        most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(1, min(most, -(-df.select(key).count() // ROWS_PER_TASK)))
+    return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
 def id_frame(df: DataFrame, *keep: str) -> DataFrame:
