@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,24 +35,17 @@ def _text(key: Column | str) -> Column:
     return F.coalesce(column.cast("string"), F.lit("\u0000"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that ``column`` holds about ``max_bytes`` at most per piece (one row at least)."""
-    for batch in batches:
-        start, held = 0, 0
-        sizes = _row_bytes(batch.column(batch.schema.get_field_index(column)))
-        for i, size in enumerate(sizes):
-            if i > start and held + size > max_bytes:
-                yield batch.slice(start, i - start)
-                start, held = i, 0
-            held += size
-        if batch.num_rows > start:
-            yield batch.slice(start)
-
-
-def _row_bytes(values: pa.Array) -> list[int]:
-    import pyarrow.compute as pc
-
-    if pa.types.is_list(values.type) or pa.types.is_large_list(values.type):
-        width = 8 if not pa.types.is_string(values.type.value_type) else 24
-        return [(n or 0) * width for n in pc.list_value_length(values).to_pylist()]
-    return [n or 0 for n in pc.binary_length(values).to_pylist()]
+def list_parts(values: pa.Array, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Cut a list<int64> array into runs of rows with about ``most`` elements: (elements as uint64, row starts).
+
+    A NULL list is empty. A row longer than ``most`` is a run of its own.
+    """
+    lengths = pc.fill_null(pc.list_value_length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = values.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    ends = np.cumsum(lengths)
+    row = done = 0
+    while row < len(lengths):
+        stop = max(row + 1, int(np.searchsorted(ends, done + most, "right")))
+        starts = np.concatenate([[done], ends[row:stop]]) - done
+        yield flat[done:ends[stop - 1]], starts
+        row, done = stop, int(ends[stop - 1])

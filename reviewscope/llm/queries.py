@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reviewscope.llm import chat_format, secret_scan
+from reviewscope.llm import chat_format, decontaminate, mixing, outliers, secret_scan, sharding
 from reviewscope.llm.common import read_table
 from reviewscope.llm.sql import CHATS_SQL, SECRETS_SQL
 
@@ -49,3 +49,29 @@ def op2_chat_format(spark, sf_dir):
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query
+def op4_decontamination(spark, sf_dir):
+    found = decontaminate.find_leaks(read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", (F.size("leaked_items") == 0).alias("kept"), F.col("leaked_items").alias("item_ids"), "leaked_tokens")
+
+
+@query
+def op5_sharding(spark, sf_dir):
+    return sharding.shard_documents(read_table(spark, sf_dir, "documents")).drop("group")
+
+
+@query
+def op6_source_mixing(spark, sf_dir):
+    mixed = mixing.mix_sources(read_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", F.round("rate", 6).alias("rate"))
+
+
+@query
+def op10_quality_outliers(spark, sf_dir):
+    judged = outliers.judge_quality(read_table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.round("d2", 4).alias("distance"),
+    )
