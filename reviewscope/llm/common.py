@@ -49,3 +49,20 @@ def list_parts(values: pa.Array, most: int) -> Iterator[tuple[np.ndarray, np.nda
         starts = np.concatenate([[done], ends[row:stop]]) - done
         yield flat[done:ends[stop - 1]], starts
         row, done = stop, int(ends[stop - 1])
+
+
+def text_parts(values: pa.Array, most_bytes: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Cut a string array into runs of rows with about ``most_bytes`` each: (code points, row starts).
+
+    A NULL text is empty. A longer text is a run of its own.
+    """
+    whole = pc.fill_null(values.cast(pa.large_string()), "")
+    ends = np.cumsum(pc.binary_length(whole).to_numpy(zero_copy_only=False))
+    row = done = 0
+    while row < len(whole):
+        stop = max(row + 1, int(np.searchsorted(ends, done + most_bytes, "right")))
+        rows = whole.slice(row, stop - row)
+        codes = np.frombuffer("".join(rows.to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32)
+        starts = np.concatenate([[0], np.cumsum(pc.utf8_length(rows).to_numpy(zero_copy_only=False))])
+        yield codes, starts.astype(np.int64)
+        row, done = stop, int(ends[stop - 1])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reviewscope.llm import chat_format, decontaminate, mixing, outliers, secret_scan, sharding
+from reviewscope.llm import chat_format, decontaminate, html_extract, language_id, mixing, outliers, secret_scan, sharding
 from reviewscope.llm.common import read_table
 from reviewscope.llm.sql import CHATS_SQL, SECRETS_SQL
 
@@ -75,3 +75,17 @@ def op10_quality_outliers(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.round("d2", 4).alias("distance"),
     )
+
+
+@query
+def op8_language_id(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    models = language_id.fit_languages(docs.where(~language_id.held_out("doc_id")))
+    found = language_id.identify(docs.select("doc_id", "text"), models)
+    return found.select("doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op9_html_extraction(spark, sf_dir):
+    found = html_extract.extract_pages(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
