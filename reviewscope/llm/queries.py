@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reviewscope.llm import chat_format, decontaminate, html_extract, language_id, mixing, outliers, secret_scan, sharding
+from reviewscope.llm import chat_format, decontaminate, html_extract, language_id, mixing, near_dedup, outliers, secret_scan, sharding
 from reviewscope.llm.common import read_table
 from reviewscope.llm.sql import CHATS_SQL, SECRETS_SQL
 
@@ -77,6 +77,11 @@ def op10_quality_outliers(spark, sf_dir):
     )
 
 
+@query
+def op7_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_language_id(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
