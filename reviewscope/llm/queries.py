@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reviewscope.llm import chat_format, decontaminate, html_extract, language_id, mixing, near_dedup, outliers, secret_scan, sharding
+from reviewscope.llm import chat_format, decontaminate, html_extract, language_id, mixing, near_dedup, outliers, secret_scan, sharding, substring_dedup
 from reviewscope.llm.common import read_table
 from reviewscope.llm.sql import CHATS_SQL, SECRETS_SQL
 
@@ -51,6 +51,14 @@ def op2_chat_format(spark, sf_dir):
     )
 
 
+@query
+def op3_substring_dedup(spark, sf_dir):
+    found = substring_dedup.dedup_passages(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_removed", F.coalesce(F.sha2("kept_text", 256), F.col("words_sha256")).alias("kept_sha256"),
+    )
+
+
 @query
 def op4_decontamination(spark, sf_dir):
     found = decontaminate.find_leaks(read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "benchmark"))
