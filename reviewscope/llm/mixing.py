@@ -81,12 +81,12 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
 
 def solve_duals(sizes: DataFrame, targets: DataFrame, most: float = MOST) -> DataFrame:
     """Adds ``dual`` and ``mean_size`` per source; NULL dual: every document at ``most``."""
-    mean = F.col("source_size") / F.col("n_sized")
+    mean = F.try_divide(F.col("source_size").cast("double"), F.col("n_sized"))  # NULL for a source without words
     cut = math.log(most)
     x_least = F.col("least_size") / F.col("mean_size")
     state = targets.withColumn("mean_size", mean).withColumns({
         "open": (F.col("source_size") > 0) & (F.col("target") < F.col("source_size") * most * (1 - 1e-12)),
-        "low": F.least(F.log(F.col("target") / F.col("source_size")) / x_least, F.lit(0.0)),
+        "low": F.least(F.log(F.try_divide("target", "source_size")) / x_least, F.lit(0.0)),
         "high": cut / x_least,
         "dual": F.lit(0.0),
     })
@@ -150,7 +150,7 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source
     )
     factor = materialize(
         left.join(met, "source_key", "left")
-        .select("source_key", F.greatest((F.col("goal") - F.coalesce("met", F.lit(0))) / F.col("expected"), F.lit(0.0)).alias("factor")),
+        .select("source_key", F.greatest(F.try_divide(F.col("goal") - F.coalesce("met", F.lit(0)), F.col("expected")), F.lit(0.0)).alias("factor")),
         "mix-factor",
     )
     bent = F.when(F.col("dual").isNull(), F.col("rate")).otherwise(F.least(F.col("rate") * F.coalesce("factor", F.lit(1.0)), F.lit(MOST)))

@@ -36,6 +36,7 @@ CUTOFF_TAIL = 1e-9        # chance that a normal row is rejected
 FLOORS = (1.5, 0.5, 1.0, 1.0, 1.0)   # least standard deviation of each number
 STEPS = 6
 BIN_WIDTH = 0.02          # of the natural logarithm of the squared distance
+SALTS = 32
 SYMBOLS = "#*$%&|<>"
 SHRINK_WORDS = 400.0
 
@@ -121,7 +122,7 @@ def statistic_vectors(stats: DataFrame) -> DataFrame:
     """
     n = F.col("n_words").cast("double")
     keyed = stats.withColumns({"g_lang": _keyed("lang"), "g_source": _keyed("source")})
-    mean = F.col("word_chars") / n
+    mean = F.try_divide(F.col("word_chars").cast("double"), n)
     middles = (
         keyed.where("not base_failed").groupBy(*GROUP)
         .agg(F.percentile(F.round(mean, 2), 0.5).alias("middle"))
@@ -177,9 +178,15 @@ def _cholesky(table: DataFrame) -> DataFrame:
     return table.select(*keep, *[f"m{i}" for i in range(DIM)], *[f"l_{i}_{j}" for i in range(DIM) for j in range(i + 1)], log_det.alias("log_det"))
 
 
+def _salted_join(rows: DataFrame, groups: DataFrame, how: str = "inner") -> DataFrame:
+    """Join one row per group to many rows: a hot group's rows spread over ``SALTS`` keys, also before an aggregation."""
+    salted = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS))).join(salted, [*GROUP, "_salt"], how).drop("_salt")
+
+
 def _with_distance(rows: DataFrame, estimates: DataFrame, how: str = "inner") -> DataFrame:
     """Adds the squared Mahalanobis distance ``d2``, by forward substitution."""
-    joined = rows.join(estimates, GROUP, how)
+    joined = _salted_join(rows, estimates, how)
     for i in range(DIM):  # one column per solved number keeps the expression short
         rest = F.col(X[i]) - F.col(f"m{i}") - reduce(add, [F.col(f"l_{i}_{k}") * F.col(f"y{k}") for k in range(i)], F.lit(0.0))
         joined = joined.withColumn(f"y{i}", rest / F.col(f"l_{i}_{i}"))
@@ -188,7 +195,7 @@ def _with_distance(rows: DataFrame, estimates: DataFrame, how: str = "inner") ->
 
 def _median_start(rows: DataFrame) -> DataFrame:
     centre = rows.groupBy(*GROUP).agg(*[F.percentile(x, 0.5).alias(f"m{i}") for i, x in enumerate(X)])
-    apart = rows.join(centre, GROUP)
+    apart = _salted_join(rows, materialize(centre, "mcd-centre"))
     spread = apart.groupBy(*GROUP).agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in range(DIM)],
         *[F.percentile(F.round(F.abs(F.col(x) - F.col(f"m{i}")), 4), 0.5).alias(f"mad{i}") for i, x in enumerate(X)],

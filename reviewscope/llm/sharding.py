@@ -35,7 +35,7 @@ def _start_shard(key: str, shards: int):
 
 
 def propagate(pieces: DataFrame, quota: int, shards: int, rounds: int = ROUNDS) -> DataFrame:
-    """Moves pieces (grp, start, shard, n) towards most of their group, within ``quota`` per shard.
+    """Moves pieces (grp, start, shard, n, members) towards most of their group, within ``quota`` per shard.
 
     Stops early when no piece wants to move.
     """
@@ -60,14 +60,15 @@ def propagate(pieces: DataFrame, quota: int, shards: int, rounds: int = ROUNDS)
                 F.lit(False),
             ))
         )
-        wish = materialize(wish.select("grp", "start", "shard", "n", "to", "moves"), "wishes")
+        wish = materialize(wish.select("grp", "start", "shard", "n", "members", "to", "moves"), "wishes")
         asked = {r["to"]: r["n"] for r in wish.where("moves").groupBy("to").agg(F.sum("n").alias("n")).collect()}
         if not asked:
             break
         share = F.array(*[F.lit(float(min(1.0, max(0, room[s]) / asked[s])) if asked.get(s) else 0.0) for s in range(shards)])
-        # A group small against the room moves as a whole or not at all, a larger one piece by piece.
-        admit = F.col("moves") & (unit_hash("grp", "start", seed=f"admit-{turn}") < F.get(share, F.col("to")))
-        pieces = materialize(wish.select("grp", "start", "n", F.when(admit, F.col("to")).otherwise(F.col("shard")).alias("shard")), "pieces")
+        # A group that fits a shard moves as a whole or not at all, a larger one piece by piece.
+        part = F.when(F.col("members") > quota, F.col("start"))
+        admit = F.col("moves") & (unit_hash("grp", part, seed=f"admit-{turn}") < F.get(share, F.col("to")))
+        pieces = materialize(wish.select("grp", "start", "n", "members", F.when(admit, F.col("to")).otherwise(F.col("shard")).alias("shard")), "pieces")
     return pieces
 
 
@@ -84,7 +85,7 @@ def shard_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 
     pieces = base.groupBy("grp", "start").agg(F.count("*").alias("n"))
     linked = Window.partitionBy("grp")
-    pieces = pieces.withColumn("members", F.sum("n").over(linked)).where("members > 1").select("grp", "start", F.col("start").alias("shard"), "n")
+    pieces = pieces.withColumn("members", F.sum("n").over(linked)).where("members > 1").select("grp", "start", F.col("start").alias("shard"), "n", "members")
     moved = propagate(materialize(pieces, "pieces"), max(fewest, 1), shards, rounds).withColumnRenamed("shard", "to")
 
     placed = base.join(moved.select("grp", "start", "to"), ["grp", "start"], "left").select(
