@@ -22,11 +22,12 @@ def strip_quotes(value: Column) -> Column:
 
 
 def clean_reviews(raw: DataFrame, numeric: list[str] = NUMERIC_COLUMNS) -> DataFrame:
-    """Clean every column in one projection; numeric cells that do not parse become NULL."""
+    """Clean every column in one projection; numeric cells that hold no whole number become NULL."""
     def cleaned(name: str) -> Column:
         value = strip_quotes(strip_byte_prefix(F.col(name)))
         if name in numeric:
-            value = value.try_cast("double").try_cast("int")
+            number = value.try_cast("double")
+            value = F.when(number == F.floor(number), number.try_cast("int"))
         elif name == "date":
             value = F.try_to_timestamp(value, F.lit("yyyy-MM-dd HH:mm:ss"))
         return value.alias(name)

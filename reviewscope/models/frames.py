@@ -2,34 +2,42 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from reviewscope.functions.numbers import binarize
 
 ID_FEATURES = ["user_id", "review_id", "business_id"]
 
 
-ROWS_PER_TASK = 10_000
-
-
 def stable_order(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """Place rows by a hash of the unique ``key`` and sort inside each partition.
 
     Fits with the same seed then see the same partitions, whatever the input
     layout was: hash placement needs no sampled range bounds, and a fixed
-    partition number is not merged at run time. Small inputs get fewer
-    partitions than the session's setting, because every fit runs many rounds
-    and each round pays for every task.
+    partition number is not merged at run time. Without ``partitions`` the
+    session's number of shuffle partitions holds, whatever the row count.
     """
-    if partitions is None:
-        most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        partitions = max(1, min(most, -(-df.select(key).count() // ROWS_PER_TASK)))
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
+@contextmanager
+def kept_rows(rows: DataFrame) -> Iterator[DataFrame]:
+    """Keep ``rows`` while a fit passes over them again and again, so that the source is read once."""
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
 def id_frame(df: DataFrame, *keep: str) -> DataFrame:
     """Three ids and the 0/1 label."""
     return df.select(*keep, *ID_FEATURES, binarize(F.col("stars")).alias("label"))

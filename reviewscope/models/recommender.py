@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewscope.functions.numbers import is_number, round_abs
-from reviewscope.models.frames import stable_order
+from reviewscope.models.frames import kept_rows, stable_order
 from reviewscope.session import checkpoint_root
 
 SEED = 42
-ITEM_MATRIX_ROWS = 500_000
 
 
 def als(**settings) -> ALS:
@@ -38,10 +33,17 @@ def merge_repeats(train: DataFrame) -> DataFrame:
     return train.groupBy("user_id", "business_id").agg(F.avg("label").alias("label"))
 
 
-def fit_als(train: DataFrame, key: str, **settings) -> ALSModel:
-    """Fit on the rating rows; ``key`` must be unique so that reruns see the same order."""
+def fit_als(train: DataFrame, key: str, merge: bool = False, **settings) -> ALSModel:
+    """Fit on the rating rows; ``key`` must be unique so that reruns see the same order.
+
+    ``merge`` first merges repeated ratings (see ``merge_repeats``), for data in
+    which single users or businesses hold a large share of all ratings.
+    """
     checkpoint_root(train.sparkSession)  # ALS cuts its lineage there every 10 rounds
-    return als(**settings).fit(stable_order(train, key))
+    if merge:
+        train, key = merge_repeats(train).withColumn("_pair", F.struct("user_id", "business_id")), "_pair"
+    with kept_rows(stable_order(train, key)) as rows:
+        return als(**settings).fit(rows)
 
 
 def score_all(model: ALSModel, test: DataFrame) -> DataFrame:
@@ -55,43 +57,18 @@ def scored_and_rounded(model: ALSModel, test: DataFrame) -> DataFrame:
     return scored.withColumn("prediction", round_abs(F.col("prediction").cast("double")))
 
 
-def top_items(model: ALSModel, k: int, matrix_rows: int = ITEM_MATRIX_ROWS) -> DataFrame:
-    """The ``k`` businesses with the highest score for every user.
+def top_items(model: ALSModel, k: int) -> DataFrame:
+    """The ``k`` businesses with the highest score for every user, equal scores by the lower id.
 
-    Item factors within ``matrix_rows`` (counted first) go to every task as one
-    matrix; users stay where they are and nothing is shuffled. Beyond that,
-    Spark's own blocked search over users and items is used.
+    Spark's blocked search does the work, whatever the number of businesses. Of
+    businesses that tie for the last place it keeps any.
     """
-    items = model.itemFactors
-    if items.count() > matrix_rows:
-        found = model.recommendForAllUsers(k).select("user_id", F.posexplode("recommendations").alias("p", "r"))
-        return found.select(
-            "user_id", F.col("r.business_id").alias("business_id"),
-            F.col("r.rating").alias("score"), (F.col("p") + 1).alias("rank"),
-        )
-
-    local = items.orderBy("id").toPandas()
-    ids = local["id"].to_numpy(np.int32)
-    matrix = np.stack(local["features"].to_numpy()).astype(np.float32)
-    shared = items.sparkSession.sparkContext.broadcast((ids, matrix))
-    keep = min(k, len(ids))
-
-    step = max(1, 4_000_000 // len(ids))
-
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        item_ids, factors = shared.value
-        for users in batches:
-            for start in range(0, len(users), step):
-                part = users.iloc[start:start + step]
-                scores = np.stack(part["features"].to_numpy()).astype(np.float32) @ factors.T
-                least = np.partition(scores, -keep, axis=1)[:, -keep]
-                for user, row, bound in zip(part["id"], scores, least):
-                    # Items are sorted by id and the sort is stable: ties go to the lower id.
-                    near = np.flatnonzero(row >= bound)
-                    order = near[np.argsort(-row[near], kind="stable")][:keep]
-                    yield pd.DataFrame({
-                        "user_id": user, "business_id": item_ids[order], "score": row[order],
-                        "rank": np.arange(1, keep + 1),
-                    })
-
-    return model.userFactors.mapInPandas(best, "user_id int, business_id int, score float, rank int")
+    found = model.recommendForAllUsers(k)
+    by_score = F.array_sort(F.transform("recommendations", lambda r: F.struct(
+        (-r["rating"]).alias("minus"), r["business_id"].alias("business_id"),
+    )))
+    ranked = found.select("user_id", F.posexplode(by_score).alias("place", "r"))
+    return ranked.select(
+        "user_id", F.col("r.business_id").alias("business_id"), (-F.col("r.minus")).alias("score"),
+        (F.col("place") + 1).alias("rank"),
+    )

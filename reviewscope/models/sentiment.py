@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, StopWordsRemover, Tokenizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewscope.models.frames import stable_order
+from reviewscope.models.frames import kept_rows, stable_order
 
 WORDS, KEPT, FEATURES = "words", "kept_words", "features"
 
@@ -32,11 +32,6 @@ def regression(
     )
 
 
-def sentiment_pipeline(text: str = "text", **settings) -> Pipeline:
-    """All four stages as one estimator, for tuning."""
-    return Pipeline(stages=[*text_stages(text), regression(**settings)])
-
-
 def fit_sentiment(train: DataFrame, key: str, text: str = "text", label: str = "label", **settings) -> PipelineModel:
     """Fitted text stages and regression.
 
@@ -44,7 +39,8 @@ def fit_sentiment(train: DataFrame, key: str, text: str = "text", label: str = "
     """
     stages = text_stages(text)
     hashed = PipelineModel(stages=stages).transform(train).select(key, FEATURES, label)
-    model = regression(label, **settings).fit(stable_order(hashed, key))
+    with kept_rows(stable_order(hashed, key)) as rows:
+        model = regression(label, **settings).fit(rows)
     return PipelineModel(stages=[*stages, model])
 
 

@@ -8,7 +8,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.sql import DataFrame
 
-from reviewscope.models.frames import ID_FEATURES, assemble, stable_order
+from reviewscope.models.frames import ID_FEATURES, assemble, kept_rows, stable_order
 from reviewscope.session import checkpoint_root
 
 SEED = 42
@@ -32,4 +32,5 @@ def forest_pipeline(columns: list[str] = ID_FEATURES, label: str = "label", **se
 
 def fit_in_order(pipeline: Pipeline, train: DataFrame, key: str) -> PipelineModel:
     checkpoint_root(train.sparkSession)  # boosting cuts its lineage there
-    return pipeline.fit(stable_order(train, key))
+    with kept_rows(stable_order(train, key)) as rows:
+        return pipeline.fit(rows)

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Pipeline
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.evaluation import (
-    BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator, RegressionEvaluator,
-)
-from pyspark.ml.tuning import (
-    CrossValidator, CrossValidatorModel, ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel,
+    BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator,
 )
-from pyspark.sql import DataFrame
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
-from reviewscope.models.frames import stable_order
+from reviewscope.functions.numbers import is_number
+from reviewscope.models.frames import kept_rows, stable_order
 from reviewscope.session import checkpoint_root
 
 SEED = 42
@@ -46,30 +48,68 @@ def score_auc() -> Evaluator:
     return BinaryClassificationEvaluator(metricName="areaUnderROC")
 
 
+class ScoredRmse(Evaluator):
+    """RMSE over the rows that have a score; infinite where none has.
+
+    A validation part may hold no user and business that were trained on. Such
+    a grid point loses against any other instead of ending the search.
+    """
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        value, scored = self.rmse_and_count(dataset)
+        return value if scored else float("inf")
+
+    def isLargerBetter(self) -> bool:
+        return False
+
+    @staticmethod
+    def rmse_and_count(dataset: DataFrame) -> tuple[float | None, int]:
+        error = F.col("prediction").cast("double") - F.col("label")
+        row = dataset.where(is_number(F.col("prediction"))).agg(F.sqrt(F.avg(error * error)), F.count("*")).first()
+        return row[0], row[1]
+
+
 def label_rmse() -> Evaluator:
-    return RegressionEvaluator(metricName="rmse", labelCol="label")
+    return ScoredRmse()
 
 
-def _fit_once_read(tuner, rows: DataFrame):
-    """Fit with the rows kept, so that folds and the final refit do not read the source again."""
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return tuner.fit(rows)
-    finally:
-        rows.unpersist()
+@dataclass
+class SplitTuned:
+    """Result of a search on one validation part; metrics are in grid order."""
+
+    bestModel: Model
+    points: list[dict]
+    validationMetrics: list[float]
+
+    def getEstimatorParamMaps(self) -> list[dict]:
+        return self.points
+
+
+def in_validation_part(key: str, tenths: int = 2) -> Column:
+    """About ``tenths``/10 of the keys, by a hash that is independent of the one that splits off test rows."""
+    return F.pmod(F.xxhash64(F.lit("validation"), F.col(key)), F.lit(10)) < tenths
 
 
 def tune_on_split(
     estimator: Estimator, grid: dict[str, list], evaluator: Evaluator, train: DataFrame, key: str,
-    train_ratio: float = 0.8, parallelism: int = 4,
-) -> TrainValidationSplitModel:
-    """Fit every grid point on 80% of the rows, judge on the rest, refit the best on all."""
+    validation_tenths: int = 2, parallelism: int = 4,
+) -> SplitTuned:
+    """Fit every grid point on the rows outside the validation part, judge on it, refit the best on all.
+
+    Which rows validate depends on ``key`` alone.
+    """
     checkpoint_root(train.sparkSession)
-    tuner = TrainValidationSplit(
-        estimator=estimator, estimatorParamMaps=build_grid(estimator, grid), evaluator=evaluator,
-        trainRatio=train_ratio, seed=SEED, parallelism=parallelism,
-    )
-    return _fit_once_read(tuner, stable_order(train, key))
+    points = build_grid(estimator, grid)
+    with kept_rows(stable_order(train, key)) as rows:
+        fitting, judging = rows.where(~in_validation_part(key, validation_tenths)), rows.where(in_validation_part(key, validation_tenths))
+
+        def judge(point: dict) -> float:
+            return evaluator.evaluate(estimator.fit(fitting, point).transform(judging))
+
+        with ThreadPool(parallelism) as pool:
+            metrics = pool.map(inheritable_thread_target(train.sparkSession)(judge), points)
+        order = sorted(range(len(points)), key=lambda i: -metrics[i] if evaluator.isLargerBetter() else metrics[i])
+        return SplitTuned(estimator.fit(rows, points[order[0]]), points, metrics)
 
 
 def tune_by_folds(
@@ -83,11 +123,18 @@ def tune_by_folds(
         estimator=estimator, estimatorParamMaps=build_grid(estimator, grid), evaluator=evaluator,
         numFolds=folds, foldCol="_fold", seed=SEED, parallelism=parallelism,
     )
-    return _fit_once_read(tuner, stable_order(train.withColumn("_fold", fold), key))
+    with kept_rows(stable_order(train.withColumn("_fold", fold), key)) as rows:
+        return tuner.fit(rows)
+
+
+def grid_table(model: SplitTuned | CrossValidatorModel, spark: SparkSession) -> DataFrame:
+    """Every grid point with its validation metric: (point, parameters, metric)."""
+    rows = [(i, ", ".join(f"{k}={v}" for k, v in sorted(p.items())), float(m)) for i, (p, m) in enumerate(grid_metrics(model))]
+    return spark.createDataFrame(rows, "point int, parameters string, metric double")
 
 
-def grid_metrics(model: TrainValidationSplitModel | CrossValidatorModel) -> list[tuple[dict, float]]:
+def grid_metrics(model: SplitTuned | CrossValidatorModel) -> list[tuple[dict, float]]:
     """Parameters and validation metric of every grid point, in grid order."""
-    metrics = model.validationMetrics if isinstance(model, TrainValidationSplitModel) else model.avgMetrics
+    metrics = model.validationMetrics if isinstance(model, SplitTuned) else model.avgMetrics
     points = [{p.name: v for p, v in m.items()} for m in model.getEstimatorParamMaps()]
     return list(zip(points, metrics))

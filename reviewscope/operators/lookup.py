@@ -6,12 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SMALL_LOOKUP_ROWS = 200_000
+SMALL_LOOKUP_BYTES = 16 << 20
 HOT_KEYS_AT_MOST = 1_000
 
 
 def broadcast_if_small(df: DataFrame, rows: int, limit: int = SMALL_LOOKUP_ROWS) -> DataFrame:
-    """Broadcast hint only for a table whose counted size is within ``limit``."""
-    return F.broadcast(df) if rows <= limit else df
+    """Broadcast hint only for a table whose counted rows are within ``limit`` and whose texts are short enough."""
+    return F.broadcast(df) if rows <= limit and text_bytes(df) <= SMALL_LOOKUP_BYTES else df
+
+
+def text_bytes(df: DataFrame) -> int:
+    """Bytes in the string columns of a table; 0 without a pass over one that has none."""
+    texts = [c for c, kind in df.dtypes if kind == "string"]
+    return df.agg(F.sum(sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(0)))).first()[0] or 0 if texts else 0
 
 
 def lookup_join(
@@ -29,7 +36,8 @@ def lookup_join(
     carry the key and is dropped from the result. ``size`` gives its row count
     and total weight where they are known already.
 
-    * A lookup of at most ``small`` rows (counted first) is broadcast.
+    * A lookup of at most ``small`` rows whose texts take at most
+      SMALL_LOOKUP_BYTES (both measured first) is broadcast.
     * Otherwise keys with at least 1/1000 of the total weight, so at most 1000
       of them, are broadcast, and all other keys are joined by a shuffle. Rows
       already served, and rows with a NULL key, carry no key into that shuffle
@@ -39,7 +47,7 @@ def lookup_join(
     if size is None:
         size = lookup.agg(F.count("*"), F.coalesce(F.sum(weight), F.lit(0))).first()
     n_keys, total_weight = size
-    if n_keys <= small:
+    if n_keys <= small and text_bytes(lookup) <= SMALL_LOOKUP_BYTES:
         return rows.join(F.broadcast(lookup.drop(weight)), keys, "left").select(*rows.columns, *values)
 
     threshold = max(1, -(-total_weight // HOT_KEYS_AT_MOST))

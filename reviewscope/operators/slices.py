@@ -7,18 +7,16 @@ from pyspark.sql import functions as F
 
 from reviewscope.operators.ordering import PART, POS, block_totals, stage_in_order
 
-PEEK_ROWS = 10_000
-
 
 def peek(df: DataFrame, n: int, key: str) -> DataFrame:
-    """The ``n`` smallest rows by ``key``, for looking at; at most 10,000."""
-    if n > PEEK_ROWS:
-        raise ValueError(f"peek shows at most {PEEK_ROWS} rows; use first_rows")
+    """The ``n`` smallest rows by ``key``, for looking at: they meet in one task. For many use ``first_rows``."""
     return df.orderBy(key).limit(n)
 
 
 def first_rows(df: DataFrame, n: int, key: str) -> DataFrame:
-    """The ``n`` smallest rows by the unique column ``key``.
+    """The ``n`` smallest rows by the unique column ``key``; rows without a key are never among them.
+
+    If keys repeat, all rows that share the last key are returned.
 
     A big ``limit`` would gather all n rows in one task. Here only the keys are
     sorted, the n-th smallest is looked up, and the slice is a plain filter on
@@ -32,7 +30,7 @@ def first_rows(df: DataFrame, n: int, key: str) -> DataFrame:
         (F.col("before") < n) & (F.col("before") + F.col("block_total") >= n)
     ).first()
     if block is None:
-        return df
+        return df.where(F.col(key).isNotNull())
     place = n - 1 - block["before"] + block["block_first"]
     cutoff = staged.where((F.col(PART) == block[PART]) & (F.col(POS) == place)).first()[key]
     return df.where(F.col(key) <= F.lit(cutoff))

@@ -178,7 +178,8 @@ def box_outliers(
     _, boxes = _box_parts(df, groups, value, exact)
     edges = boxes.select(*groups, "low_fence", "high_fence", F.col("n").alias("_weight"))
     joined = lookup_join(df, edges, groups, "_weight", spread_by, small)
-    outside = (F.col(value) < F.col("low_fence")) | (F.col(value) > F.col("high_fence"))
+    y = F.col(value).cast("double")
+    outside = is_number(y) & ((y < F.col("low_fence")) | (y > F.col("high_fence")))
     return joined.where(outside).select(*df.columns)
 
 

@@ -11,21 +11,20 @@ from reviewscope.operators.slices import first_rows
 from reviewscope.schema import ID_COLUMNS
 from reviewscope.sources import write_parquet
 
-WORKING_ROWS = 1_500_000
-SUBSET_ROWS = 120_000
-
 
 def prepare_tables(
-    raw: DataFrame, folder: str, working_rows: int = WORKING_ROWS, subset_rows: int = SUBSET_ROWS,
+    raw: DataFrame, folder: str, working_rows: int | None = None, subset_rows: int | None = None,
     small: int = SMALL_LOOKUP_ROWS,
 ) -> dict[str, DataFrame]:
     """Write ``clean``, ``encoded``, ``scaled`` and ``subset`` below ``folder``.
 
     * clean: all reviews, typed
-    * encoded: the first ``working_rows`` by review id, ids as whole numbers
-      from 0, what the recommender needs
+    * encoded: ids as whole numbers from 0, what the recommender needs
     * scaled: ids in [0, 1], what the trees need
-    * subset: the first ``subset_rows`` of ``scaled``, with the same bounds
+    * subset: only with ``subset_rows``, that many first rows of ``scaled``
+
+    All reviews are encoded, or with ``working_rows`` that many first ones by
+    review id.
     """
     spark = raw.sparkSession
 
@@ -35,13 +34,15 @@ def prepare_tables(
         return spark.read.schema(df.schema).parquet(path)
 
     clean = keep(clean_reviews(raw), "clean")
-    working = first_rows(clean, working_rows, "review_id")
+    working = clean if working_rows is None else first_rows(clean, working_rows, "review_id")
     codes = dense_codes(working, ID_COLUMNS)
     encoded = keep(apply_codes(working, codes, ID_COLUMNS, "review_id", small=small), "encoded")
     scaled = keep(minmax_scale(encoded, ID_COLUMNS, codes.bounds()), "scaled")
-    # Codes ascend with the review id, so scaled ids do too.
-    subset = keep(first_rows(scaled, subset_rows, "review_id"), "subset")
-    return {"clean": clean, "encoded": encoded, "scaled": scaled, "subset": subset}
+    tables = {"clean": clean, "encoded": encoded, "scaled": scaled}
+    if subset_rows is not None:
+        # Codes ascend with the review id, so scaled ids do too.
+        tables["subset"] = keep(first_rows(scaled, subset_rows, "review_id"), "subset")
+    return tables
 
 
 def open_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -232,9 +232,8 @@ def prepare_tables(spark, sf_dir):
     # Cleaned files come from the CSV form, like any other raw input.
     path = scratch_path(spark, "raw", ".csv")
     write_csv(raw_reviews(spark, sf_dir), path)
-    tables = prepare.prepare_tables(
-        read_csv_reviews(spark, path), scratch_path(spark, "prepared"), working_rows=7_500, subset_rows=600)
-    scaled = tables["subset"].select(*[F.round(c, 9).alias(c) for c in ID_COLUMNS], "text", "date", "stars")
+    tables = prepare.prepare_tables(read_csv_reviews(spark, path), scratch_path(spark, "prepared"))
+    scaled = tables["scaled"].select(*[F.round(c, 9).alias(c) for c in ID_COLUMNS], "text", "date", "stars")
     return _digest(dated(scaled))
 
 
@@ -353,8 +352,8 @@ def ml_hashing_tf(spark, sf_dir):
 @query
 def random_split(spark, sf_dir):
     rows = ratings(spark, sf_dir).select("review_id")
-    train, test = slices.random_split(rows, "review_id", [0.7, 0.3], seed=trees.SEED)
-    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    parts = slices.random_split(rows, "review_id", [0.7, 0.3], seed=trees.SEED)
+    return parts[0].unionByName(parts[1]).groupBy("review_id").agg(F.count("*").alias("n_parts"))
 
 
 @query
@@ -388,86 +387,136 @@ def _text_parts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return slices.train_test(labelled_texts(spark, sf_dir), "doc_id")
 
 
+def _judged(scored: DataFrame, margin: float = 0.05) -> dict:
+    """From a classifier's report: class sizes, majority baseline, and whether the model stays above it but for a margin."""
+    got = {r["metric"]: r["value"] for r in evaluate.classifier_report(scored).collect()}
+    baseline = got["F1 weighted, majority class"]
+    return {
+        "n_positive": int(got["TP"] + got["FN"]), "n_negative": int(got["FP"] + got["TN"]),
+        "majority_f1": round(baseline, 9), "holds_up": got["F1 weighted"] >= baseline - margin,
+    }
+
+
+JUDGED = "n_positive bigint, n_negative bigint, majority_f1 double, holds_up boolean"
+
+
+def _judged_frame(spark, scored: DataFrame) -> DataFrame:
+    return spark.createDataFrame([tuple(_judged(scored).values())], JUDGED)
+
+
+def _tuned(spark, model, facts: dict) -> DataFrame:
+    """Every grid point, whether its metric is usable, and what the chosen model's report says."""
+    table = tuning.grid_table(model, spark)
+    usable = F.col("metric").isNotNull() & ~F.isnan("metric") & (F.col("metric") >= 0)
+    return table.select("point", "parameters", usable.alias("usable"), *[F.lit(v).alias(k) for k, v in facts.items()])
+
+
 @query
 def lr_sentiment(spark, sf_dir):
     train, test = _text_parts(spark, sf_dir)
-    model = sentiment.fit_sentiment(train, "doc_id")
-    return model.transform(test).select("doc_id", "prediction", "trueLabel")
+    return _judged_frame(spark, sentiment.fit_sentiment(train, "doc_id").transform(test))
 
 
 @query
 def dt_classify(spark, sf_dir):
     train, test = _id_parts(spark, sf_dir)
-    model = trees.fit_in_order(trees.tree_pipeline(), train, "row_id")
-    return model.transform(test).select("row_id", "prediction", "trueLabel")
+    return _judged_frame(spark, trees.fit_in_order(trees.tree_pipeline(), train, "row_id").transform(test))
+
+
+@query
+def dt_stump(spark, sf_dir):
+    # Few values, so the tree tries every cut between two of them and SQL can follow.
+    lengths = table(spark, sf_dir, "documents").select("doc_id", F.least(F.floor(F.col("n_chars") / 200), F.lit(20)).alias("length"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    train, test = slices.train_test(lengths.join(labels, "doc_id"), "doc_id")
+    stump = trees.fit_in_order(trees.tree_pipeline(["length"], maxDepth=1), train, "doc_id")
+    return stump.transform(test).select("doc_id", "length", "prediction", "trueLabel")
 
 
 @query
 def gbt_classify(spark, sf_dir):
     train, test = _id_parts(spark, sf_dir)
-    model = trees.fit_in_order(trees.boosted_pipeline(), train, "row_id")
-    return model.transform(test).select("row_id", "prediction", "trueLabel")
+    return _judged_frame(spark, trees.fit_in_order(trees.boosted_pipeline(), train, "row_id").transform(test))
 
 
 @query
 def rf_binary(spark, sf_dir):
     train, test = _id_parts(spark, sf_dir)
-    model = trees.fit_in_order(trees.forest_pipeline(), train, "row_id")
-    return model.transform(test).select("row_id", "prediction", "trueLabel")
+    return _judged_frame(spark, trees.fit_in_order(trees.forest_pipeline(), train, "row_id").transform(test))
 
 
 @query
 def rf_multiclass(spark, sf_dir):
     stars = _scaled_ids(spark, sf_dir).select("row_id", *ID_COLUMNS, F.col("stars").cast("double").alias("label"))
     train, test = slices.train_test(stars, "row_id")
-    model = trees.fit_in_order(trees.forest_pipeline(), train, "row_id")
-    return model.transform(test).select("row_id", "prediction", "trueLabel")
+    scored = trees.fit_in_order(trees.forest_pipeline(), train, "row_id").transform(test)
+    return scored.groupBy("trueLabel").agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("prediction").between(1, 5)).alias("n_predicted"),
+    )
 
 
 @query
 def als_recommend(spark, sf_dir):
     train, test = _rating_parts(spark, sf_dir)
-    model = recommender.fit_als(train, "review_id")
-    return recommender.scored_and_rounded(model, test).select("review_id", "prediction", "trueLabel")
+    scored = recommender.score_all(recommender.fit_als(train, "review_id"), test)
+    return scored.select("review_id", "trueLabel", numbers.is_number(F.col("prediction")).alias("scored"))
 
 
 @query
 def als_top_items(spark, sf_dir):
-    train, _ = _rating_parts(spark, sf_dir)
-    return recommender.top_items(recommender.fit_als(train, "review_id"), 5)
+    rated = frames.rating_frame(ratings(spark, sf_dir), "review_id")
+    top = recommender.top_items(recommender.fit_als(rated, "review_id"), 5)
+    return top.groupBy("user_id").agg(
+        F.count_distinct("business_id").alias("n_items"), F.min("rank").alias("first_rank"), F.max("rank").alias("last_rank"),
+    )
+
+
+def _coverage(model, test: DataFrame) -> dict:
+    row = evaluate.rating_report(recommender.score_all(model, test)).first()
+    return {"n_rows": row["n_rows"], "n_scored": row["n_scored"]}
 
 
 @query
 def als_tuned(spark, sf_dir):
     train, test = _rating_parts(spark, sf_dir)
-    model = tuning.tune_on_split(
-        recommender.als(), tuning.ALS_GRID, tuning.label_rmse(), train, "review_id")
-    return evaluate.rating_report(recommender.score_all(model.bestModel, test))
+    model = tuning.tune_on_split(recommender.als(), tuning.ALS_GRID, tuning.label_rmse(), train, "review_id")
+    return _tuned(spark, model, _coverage(model.bestModel, test))
+
+
+@query
+def als_tuned_cv(spark, sf_dir):
+    train, test = _rating_parts(spark, sf_dir)
+    model = tuning.tune_by_folds(recommender.als(), tuning.ALS_GRID, tuning.label_rmse(), train, "review_id", folds=3)
+    return _tuned(spark, model, _coverage(model.bestModel, test))
+
+
+def _assembled_parts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Features are assembled once, not again for every grid point."""
+    return tuple(frames.assemble().transform(part) for part in _id_parts(spark, sf_dir))
 
 
 @query
 def dt_tuned_tvs(spark, sf_dir):
-    train, test = _id_parts(spark, sf_dir)
-    model = tuning.tune_on_split(
-        trees.tree_pipeline(), tuning.TREE_GRID, tuning.weighted_f1(), train, "row_id")
-    return evaluate.classifier_report(model.transform(test))
+    train, test = _assembled_parts(spark, sf_dir)
+    tree = trees.tree_pipeline().getStages()[-1]
+    model = tuning.tune_on_split(tree, tuning.TREE_GRID, tuning.weighted_f1(), train, "row_id")
+    return _tuned(spark, model, _judged(model.bestModel.transform(test)))
 
 
 @query
 def dt_tuned_cv(spark, sf_dir):
-    train, test = _id_parts(spark, sf_dir)
-    model = tuning.tune_by_folds(
-        trees.tree_pipeline(), tuning.TREE_GRID, tuning.score_auc(), train, "row_id")
-    return evaluate.classifier_report(model.transform(test))
+    train, test = _assembled_parts(spark, sf_dir)
+    tree = trees.tree_pipeline().getStages()[-1]
+    model = tuning.tune_by_folds(tree, tuning.TREE_GRID, tuning.score_auc(), train, "row_id")
+    return _tuned(spark, model, _judged(model.bestModel.transform(test)))
 
 
 @query
 def gbt_tuned_tvs(spark, sf_dir):
-    # A corner of the published grid; tuning.BOOSTED_GRID is all 144 points.
-    grid = {"maxDepth": [2, 4], "maxBins": [52], "minInfoGain": [0.0], "stepSize": [0.1, 0.4]}
-    train, test = _id_parts(spark, sf_dir)
-    model = tuning.tune_on_split(trees.boosted_pipeline(), grid, tuning.weighted_f1(), train, "row_id")
-    return evaluate.classifier_report(model.transform(test))
+    train, test = _assembled_parts(spark, sf_dir)
+    boosted = trees.boosted_pipeline().getStages()[-1]
+    model = tuning.tune_on_split(boosted, tuning.BOOSTED_GRID, tuning.weighted_f1(), train, "row_id", parallelism=8)
+    return _tuned(spark, model, _judged(model.bestModel.transform(test)))
 
 
 # --- metrics ---------------------------------------------------------------

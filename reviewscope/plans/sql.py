@@ -1,11 +1,16 @@
 """SQL counterparts of the registered queries, for DuckDB over the same tables.
 
-Model queries have none: their results are not expressible in SQL.
+Of a fitted model SQL follows what does not depend on the fit: sizes and baselines
+of its report, which rows can be scored at all, the tried grid, and the whole
+result of a one-cut tree.
 """
 
 from __future__ import annotations
 
+from itertools import product
+
 from reviewscope.functions.wordlists import ENGLISH_STOP_WORDS, PUNCTUATION
+from reviewscope.models.tuning import ALS_GRID, BOOSTED_GRID, TREE_GRID
 from reviewscope.schema import ID_COLUMNS, RATINGS
 
 # The 181 default English stop words of Spark ML.
@@ -166,6 +171,53 @@ select d.doc_id, case when lang = 'de' then null when quality is null then 'nan'
                       else (n_chars - 1400) / 1000.0::double end as prediction
 from documents d left join labels l on d.doc_id = l.doc_id"""
 
+DOC_TRAINING = TRAINING.replace("review_id", "doc_id")
+
+
+def _judged(test_rows: str) -> str:
+    """Class sizes and majority F1 of rows with a 0/1 ``label``."""
+    return f"""
+select n_positive, n_negative, round(2 * share * share / (1 + share), 9) as majority_f1, true as holds_up
+from (select count(*) filter (label = 1) as n_positive, count(*) filter (label = 0) as n_negative,
+             greatest(count(*) filter (label = 1), count(*) filter (label = 0))::double / count(*) as share
+      from ({test_rows}))"""
+
+
+ID_TEST = f"select case when stars > 2 then 1 else 0 end as label from ({RATINGS_SQL}) where not {TRAINING}"
+TEXT_TEST = f"select quality as label from labels join documents using (doc_id) where not {DOC_TRAINING}"
+
+
+def _grid(values: dict[str, list], facts: str) -> str:
+    """All grid points in order, beside the one row of ``facts``."""
+    points = [dict(zip(values, p)) for p in product(*values.values())]
+    shown = [", ".join(f"{k}={v}" for k, v in sorted(p.items())) for p in points]
+    rows = ", ".join(f"({i}::int, {_quote(x)})" for i, x in enumerate(shown))
+    return f"select point, parameters, true as usable, f.* from (values {rows}) g(point, parameters), ({facts}) f"
+
+
+COVERAGE_SQL = f"""
+with r as (select review_id, user_id, business_id, case when stars > 2 then 1.0::double else 0.0::double end as label,
+                  {TRAINING} as training from ({RATINGS_SQL}))
+select review_id, label as "trueLabel",
+       user_id in (select user_id from r where training) and business_id in (select business_id from r where training) as scored
+from r where not training"""
+SCORED_COUNTS = f"select count(*) as n_rows, count(*) filter (scored) as n_scored from ({COVERAGE_SQL})"
+
+STUMP_SQL = f"""
+with d as (select doc_id, least(n_chars // 200, 20)::bigint as length, quality::double as label, {DOC_TRAINING} as training
+           from documents join labels using (doc_id)),
+cuts as (select distinct length as cut from d where training),
+sides as (
+  select cut, count(*) filter (length <= cut) as nl, coalesce(sum(label) filter (length <= cut), 0) as pl,
+         count(*) filter (length > cut) as nr, coalesce(sum(label) filter (length > cut), 0) as pr
+  from cuts, d where training group by cut),
+best as (
+  select * from sides where nr > 0
+  order by nl * (pl / nl) * (1 - pl / nl) + nr * (pr / nr) * (1 - pr / nr), cut limit 1)
+select doc_id, length, case when length <= cut then (2 * pl > nl)::int::double else (2 * pr > nr)::int::double end as prediction,
+       label as "trueLabel"
+from d, best where not training"""
+
 ORACLE_SQL = {
     "scan_csv_reviews": CLEAN_ROWS_SQL,
     "scan_csv_infer": PLAIN_RATINGS_SQL,
@@ -234,13 +286,13 @@ order by row_id limit 800""",
 with working as (
   select md5(user_id::varchar) as user_id, md5(business_id::varchar) as business_id,
          md5(review_id::varchar) as review_id, {DATE} as date, text, stars
-  from ({REVIEWS_SQL}) order by md5(review_id::varchar) limit 7500),
+  from ({REVIEWS_SQL})),
 codes as (
   select {', '.join(f'dense_rank() over (order by {c}) - 1 as {c}' for c in ID_COLUMNS)}, date, text, stars
   from working),
 scaled as (select {', '.join(_scale(c, 9) for c in ID_COLUMNS)}, date, text, stars from codes)
 select user_id, business_id, review_id, date, stars, md5(text) as text, length(text)::int as n_chars
-from scaled order by review_id limit 600""",
+from scaled""",
     "clean_byte_prefix": f"""
 select regexp_replace(user_id, '^b([''"])', '\\1') as user_id, review_id, md5(body) as text, length(body)::int as n_chars
 from (select user_id, review_id, regexp_replace(
@@ -286,4 +338,21 @@ union all select 'Recall', round(tp::double / (tp + fn), 9) from c"""),
     "rmse": f"""
 select round(sqrt(avg((n_chars / 3000.0::double - "trueLabel") * (n_chars / 3000.0::double - "trueLabel"))), 9) as rmse
 from ({SCORED_SQL})""",
+    "random_split": f"select review_id, 1::bigint as n_parts from ({RATINGS_SQL})",
+    "lr_sentiment": _judged(TEXT_TEST),
+    **{name: _judged(ID_TEST) for name in ("dt_classify", "gbt_classify", "rf_binary")},
+    "dt_stump": STUMP_SQL,
+    "rf_multiclass": f"""
+select stars::double as "trueLabel", count(*) as n_rows, count(*) as n_predicted
+from ({RATINGS_SQL}) where not {TRAINING} group by 1""",
+    "als_recommend": COVERAGE_SQL,
+    "als_top_items": f"""
+select user_id, least(5, (select count(distinct business_id) from ({RATINGS_SQL})))::bigint as n_items, 1 as first_rank,
+       least(5, (select count(distinct business_id) from ({RATINGS_SQL})))::int as last_rank
+from ({RATINGS_SQL}) group by user_id""",
+    "als_tuned": _grid(ALS_GRID, SCORED_COUNTS),
+    "als_tuned_cv": _grid(ALS_GRID, SCORED_COUNTS),
+    "dt_tuned_tvs": _grid(TREE_GRID, _judged(ID_TEST)),
+    "dt_tuned_cv": _grid(TREE_GRID, _judged(ID_TEST)),
+    "gbt_tuned_tvs": _grid(BOOSTED_GRID, _judged(ID_TEST)),
 }

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from reviewscope.functions.calendar import DATE_FORMAT
 from reviewscope.schema import ID_COLUMNS, REVIEW_COLUMNS
-from reviewscope.sources import fill_cores
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,7 +34,7 @@ def ratings(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fill_cores(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:

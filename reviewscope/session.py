@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +18,7 @@ LOCAL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -38,25 +40,49 @@ def get_session(master: str | None = None, conf: dict[str, str] | None = None) -
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as the session names it.
 
-    A machine-local folder is made only when nothing is configured and Spark
-    itself runs in one process; on a cluster the setting is required, because
-    other executors must be able to read what one executor wrote.
+    Where nothing is configured it lies below the warehouse, which all
+    executors share, too. It is never a machine-local temporary folder.
     """
     context = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="reviewscope-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
     if not context.getCheckpointDir():
         context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+_made: list[list[str]] = []
+
+
+@contextmanager
+def intermediate_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end of the block, the intermediate tables that were made inside it.
+
+    Results are lazy: write or collect them inside the block. Without a block
+    the tables stay until the application's folder is removed.
+    """
+    paths: list[str] = []
+    _made.append(paths)
+    try:
+        yield
+    finally:
+        _made.remove(paths)
+        for path in paths:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _noted(path: str) -> str:
+    for paths in _made[-1:]:
+        paths.append(path)
+    return path
+
+
 def scratch_path(spark: SparkSession, name: str, ending: str = "") -> str:
     """A new path below one folder per application, which can be removed when that has ended."""
     folder = f"{checkpoint_root(spark)}/reviewscope/{spark.sparkContext.applicationId}"
-    return f"{folder}/{name}-{uuid.uuid4().hex}{ending}"
+    return _noted(f"{folder}/{name}-{uuid.uuid4().hex}{ending}")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

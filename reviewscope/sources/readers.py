@@ -14,6 +14,7 @@ from reviewscope.schema import RAW_REVIEWS
 CSV_DIALECT = {
     "header": True, "multiLine": True, "quote": '"', "escape": '"',
     "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    "nullValue": r"\N", "emptyValue": "",
 }
 
 
@@ -47,27 +48,14 @@ def load_reviews(spark: SparkSession, source: str, schema: T.StructType | None =
 def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project to ``schema`` and fail on a NULL in a required column.
 
-    The check sits in the projection itself, so it costs no extra pass. File
-    readers ignore "not null"; this puts it back.
+    File readers ignore "not null"; this puts it back. The check is a filter,
+    so it costs no extra pass and holds also where the caller counts rows or
+    selects other columns.
     """
-    def column(field: T.StructField):
-        value = F.col(field.name).cast(field.dataType)
-        if not field.nullable:
-            missing = F.raise_error(F.lit(f"NULL in required column {field.name}"))
-            value = F.coalesce(value, missing.cast(field.dataType))
-        return value.alias(field.name)
-
-    return df.select([column(f) for f in schema.fields])
-
-
-def fill_cores(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan that has fewer tasks than the session has cores.
-
-    One small file is read by one task, and costly work on its rows would leave
-    the other cores idle. Larger inputs come back unchanged, so no large table
-    is ever shuffled here.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
+    required = [f.name for f in schema.fields if not f.nullable]
+    cast = df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    passes = F.lit(True)
+    for name in required:
+        missing = F.raise_error(F.lit(f"NULL in required column {name}")).cast("boolean")
+        passes = F.when(F.col(name).isNull(), missing).otherwise(passes)
+    return cast.where(passes) if required else cast

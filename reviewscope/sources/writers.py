@@ -10,10 +10,11 @@ from reviewscope.sources.readers import CSV_DIALECT
 def write_csv(df: DataFrame, path: str) -> None:
     """Write a folder of CSV files with headers and no row-number column.
 
-    CSV does not tell an empty text from NULL: both are read back as NULL.
-    Parquet keeps them apart.
+    NULL is written as \\N and an empty text as "", so ``readers`` tells them
+    apart. A text that is \\N itself is read back as NULL.
     """
     options = {k: v for k, v in CSV_DIALECT.items() if k != "multiLine"}
+    options["emptyValue"] = '""'
     df.write.mode("overwrite").options(**options).csv(path)
 
 
