@@ -84,6 +84,9 @@ class SplitTuned:
     def getEstimatorParamMaps(self) -> list[dict]:
         return self.points
 
+    def transform(self, rows: DataFrame) -> DataFrame:
+        return self.bestModel.transform(rows)
+
 
 def in_validation_part(key: str, tenths: int = 2) -> Column:
     """About ``tenths``/10 of the keys, by a hash that is independent of the one that splits off test rows."""

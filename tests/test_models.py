@@ -1,5 +1,6 @@
 import math
 import random
+from functools import cache
 
 import numpy as np
 import pytest
@@ -103,20 +104,63 @@ def test_als_tuning_is_finite(taste):
     assert folds.bestModel.rank == 4
 
 
-def test_top_items_on_both_routes(taste):
+def test_als_tuning_without_a_scorable_row(spark):
+    """Every user and business occurs once, so no validation row can be scored."""
+    rows = [(i, i, i, float(i % 2)) for i in range(40)]
+    df = spark.createDataFrame(rows, "review_id int, user_id int, business_id int, label double")
+    model = tuning.tune_on_split(recommender.als(maxIter=2), {"rank": [1, 2]}, tuning.label_rmse(), df, "review_id")
+    assert [m for _, m in tuning.grid_metrics(model)] == [math.inf, math.inf] and model.bestModel.rank == 1
+    scored = spark.createDataFrame([(float("nan"), 1.0), (0.5, 1.0), (1.0, 0.0)], "prediction double, label double")
+    assert tuning.ScoredRmse.rmse_and_count(scored) == (pytest.approx(math.sqrt(0.625)), 2)
+
+
+def test_validation_rows_depend_on_the_key_alone(spark):
+    keys = spark.range(5_000).withColumnRenamed("id", "k")
+    picked = [{r["k"] for r in part.where(tuning.in_validation_part("k")).collect()} for part in (keys.repartition(3), keys.coalesce(1))]
+    assert picked[0] == picked[1] and 0.17 < len(picked[0]) / 5_000 < 0.23
+    inside = keys.where(slices.in_training_part(F.col("k")))
+    share = inside.where(tuning.in_validation_part("k")).count() / inside.count()
+    assert 0.17 < share < 0.23
+
+
+@pytest.mark.parametrize("rows", [9_999, 10_001])
+def test_partitions_do_not_depend_on_the_row_count(spark, rows):
+    placed = frames.stable_order(spark.range(rows).withColumnRenamed("id", "k"), "k")
+    assert placed.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert frames.stable_order(spark.range(rows).withColumnRenamed("id", "k"), "k", 7).rdd.getNumPartitions() == 7
+
+
+def test_top_items_in_order_of_score_then_id(taste):
     model = recommender.fit_als(taste, "review_id", rank=4)
     items = sorted((r["id"], r["features"]) for r in model.itemFactors.collect())
     matrix = np.array([f for _, f in items], dtype=np.float32)
-    expected = {}
-    for user in model.userFactors.collect():
-        scores = matrix @ np.array(user["features"], dtype=np.float32)
-        expected[user["id"]] = sorted(scores, reverse=True)[:6]
-    for limit in (1_000, 1):
-        rows = recommender.top_items(model, 6, matrix_rows=limit).collect()
-        assert len(rows) == 6 * len(expected)
-        for user, scores in expected.items():
-            mine = [r["score"] for r in sorted(rows, key=lambda r: r["rank"]) if r["user_id"] == user]
-            assert mine == pytest.approx(scores, abs=1e-5)
+    rows = recommender.top_items(model, 6).collect()
+    users = model.userFactors.collect()
+    assert len(rows) == 6 * len(users)
+    for user in users:
+        expected = sorted(matrix @ np.array(user["features"], dtype=np.float32), reverse=True)[:6]
+        mine = sorted((r for r in rows if r["user_id"] == user["id"]), key=lambda r: r["rank"])
+        assert [r["rank"] for r in mine] == [1, 2, 3, 4, 5, 6]
+        assert [r["score"] for r in mine] == pytest.approx(expected, abs=1e-5)
+        assert all((a["score"], -a["business_id"]) > (b["score"], -b["business_id"]) for a, b in zip(mine, mine[1:]))
+
+
+def test_ties_go_to_the_lower_id_and_few_items_are_all_listed(spark):
+    rows = [(u * 5 + b, u, b, 1.0) for u in range(4) for b in range(5)]
+    tied = spark.createDataFrame(rows, "review_id int, user_id int, business_id int, label double")
+    shown = recommender.top_items(recommender.fit_als(tied, "review_id", rank=1), 9).collect()
+    assert len(shown) == 20
+    for a in shown:
+        for b in shown:
+            if a["user_id"] == b["user_id"] and a["score"] == b["score"] and a["rank"] < b["rank"]:
+                assert a["business_id"] < b["business_id"]
+
+
+def test_a_hot_user_can_be_merged(spark):
+    rows = [(i, 1 if i % 3 else i, i % 7, float(i % 2)) for i in range(600)]
+    df = spark.createDataFrame(rows, "review_id int, user_id int, business_id int, label double")
+    model = recommender.fit_als(df, "review_id", merge=True, rank=2, maxIter=3)
+    assert model.userFactors.count() == len({r[1] for r in rows}) and model.itemFactors.count() == 7
 
 
 def test_merge_repeats(spark):
@@ -133,6 +177,22 @@ def test_hashed_words_show_their_buckets(spark):
     assert isinstance(stage, HashingTF) and stage.getNumFeatures() == 2 ** 18
 
 
+def test_hashed_vectors_are_rebuilt_from_words(spark, sf_dir):
+    stage = sentiment.text_stages()[-1]
+    kept = sentiment.text_stages()[1].transform(sentiment.text_stages()[0].transform(standin.texts(spark, sf_dir)))
+    for r in stage.transform(kept).select("kept_words", "features").collect():
+        counts = {}
+        for word in r["kept_words"]:
+            bucket = _bucket(stage, word)
+            counts[bucket] = counts.get(bucket, 0.0) + 1
+        assert dict(zip(r["features"].indices.tolist(), r["features"].values.tolist())) == counts
+
+
+@cache
+def _bucket(stage, word):
+    return stage.indexOf(word)
+
+
 def test_frames(spark):
     df = spark.sql("select 3 user_id, 4 review_id, 5 business_id, 'x' text, 4 stars")
     assert frames.assembled_array(frames.id_frame(df)).first()["features"] == [3.0, 4.0, 5.0]

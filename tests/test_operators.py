@@ -152,8 +152,19 @@ def test_first_rows(skewed, n):
 def test_peek(skewed):
     _, df = skewed
     assert [r["row"] for r in slices.peek(df, 3, "row").collect()] == [0, 1, 2]
-    with pytest.raises(ValueError):
-        slices.peek(df, 10_001, "row")
+
+
+def test_first_rows_never_take_null_keys(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    for n in (2, 3, 9):
+        assert sorted(r["k"] for r in slices.first_rows(df, n, "k").collect()) == ["a", "b"]
+
+
+def test_nan_is_no_outlier(spark):
+    rows = [("g", float(v)) for v in range(20)] + [("g", 500.0), ("g", float("nan")), ("g", None)]
+    df = spark.createDataFrame(rows, "g string, y double").withColumn("i", F.monotonically_increasing_id())
+    assert [r["y"] for r in summarize.box_outliers(df, ["g"], "y", spread_by=["i"]).collect()] == [500.0]
+
 
 
 def test_splits_are_disjoint_complete_and_stable(skewed):

@@ -16,6 +16,8 @@ def test_every_stage_is_written(spark, tmp_path):
     tables = prepare_tables(raw, str(tmp_path / "out"), working_rows=400, subset_rows=50, small=20)
     sizes = {name: open_table(spark, str(tmp_path / "out"), name).count() for name in tables}
     assert sizes == {"clean": 500, "encoded": 400, "scaled": 400, "subset": 50}
+    whole = prepare_tables(raw, str(tmp_path / "whole"))
+    assert {name: table.count() for name, table in whole.items()} == {"clean": 500, "encoded": 500, "scaled": 500}
     assert tables["clean"].agg(F.min("text"), F.max("stars")).first()[:] == ("it's fine", 5)
     assert tables["clean"].columns == schema.REVIEW_COLUMNS
     for column, n in (("user_id", 37), ("business_id", 11), ("review_id", 400)):

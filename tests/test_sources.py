@@ -1,9 +1,11 @@
+import os
+
 import pytest
 from pyspark.sql import types as T
 
 from reviewscope import schema, session
 from reviewscope.sources import (
-    enforce_schema, fill_cores, load_reviews, read_csv_reviews, read_csv_typed, scan_table, write_csv, write_parquet,
+    enforce_schema, load_reviews, read_csv_reviews, read_csv_typed, scan_table, write_csv, write_parquet,
 )
 
 TRICKY = [(1, 'say "hi", ok'), (2, "two\nlines\r\nthree"), (3, ""), (4, None), (5, "  padded  "), (6, "back\\slash \\\""),
@@ -14,7 +16,7 @@ def test_csv_round_trip_keeps_every_character(spark, tmp_path):
     path = str(tmp_path / "t.csv")
     write_csv(spark.createDataFrame(TRICKY, "id int, text string").repartition(3), path)
     typed = read_csv_reviews(spark, path, T.StructType.fromDDL("id int, text string"))
-    assert sorted(map(tuple, typed.collect())) == [(i, t or None) for i, t in TRICKY]
+    assert sorted(map(tuple, typed.collect())) == TRICKY
     write_parquet(typed, str(tmp_path / "t"))
     assert load_reviews(spark, str(tmp_path / "t")).count() == len(TRICKY)
     assert dict(read_csv_typed(spark, path).dtypes) == {"id": "int", "text": "string"}
@@ -38,6 +40,10 @@ def test_required_columns_are_checked(spark):
     bad = spark.createDataFrame([(None, "x")], "id int, note string")
     with pytest.raises(Exception, match="NULL in required column id"):
         enforce_schema(bad, wanted).collect()
+    with pytest.raises(Exception, match="NULL in required column id"):
+        enforce_schema(bad, wanted).select("note").collect()
+    with pytest.raises(Exception, match="NULL in required column id"):
+        enforce_schema(bad, wanted).count()
 
 
 def test_review_schemas_agree():
@@ -46,16 +52,24 @@ def test_review_schemas_agree():
     assert {f.dataType.simpleString() for f in schema.SCALED_REVIEWS if f.name in schema.ID_COLUMNS} == {"double"}
 
 
-def test_fill_cores_only_touches_narrow_scans(spark, sf_dir, tmp_path):
-    narrow = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id")
-    assert fill_cores(narrow, "doc_id").rdd.getNumPartitions() == 8
-    wide = spark.range(100).repartition(20)
-    assert fill_cores(wide, "id") is wide
-
-
 def test_intermediate_tables_go_to_the_named_folder(spark):
     root = session.checkpoint_root(spark)
     assert root == spark.conf.get("spark.checkpoint.dir")
     kept = session.materialize(spark.range(10), "numbers")
     folder = f"file://{root}/reviewscope/{spark.sparkContext.applicationId}/numbers-"
     assert kept.inputFiles()[0].startswith(folder) and kept.count() == 10
+
+
+def test_intermediate_tables_are_removed(spark):
+    with session.intermediate_tables(spark):
+        kept = session.materialize(spark.range(10), "numbers")
+        folder = kept.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+        assert os.path.isdir(folder) and kept.count() == 10
+    assert not os.path.exists(folder)
+
+
+def test_default_folder_is_below_the_warehouse(spark, monkeypatch):
+    monkeypatch.setattr(session, "CHECKPOINT_CONF", "spark.some.unset.name")
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    monkeypatch.setattr(type(spark.sparkContext), "setCheckpointDir", lambda self, path: None)
+    assert session.checkpoint_root(spark) == spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
