@@ -1,18 +1,21 @@
 """MinHash near-duplicates verified through odd sketches.
 
-Every text is a set of distinct word shingles. ``BANDS`` x ``ROWS`` MinHash
-samples give band keys (texts that share one are candidates) and are folded into
-a parity bitmap: the population count of two bitmaps' XOR tells how many samples
-differ, so dissimilar candidates are dropped by eight machine words per text. What
-remains is confirmed on the full shingle sets.
-
-Within a bucket no pairs are listed wholesale. First each member meets one
-leader, the member that shares most buckets with others (the text that copies
-were made from); confirmed links make components. Only members of different
-components that still share a bucket are then compared with each other, inside a
-join whose condition holds the sketch test, so a large group that has become one
-component adds nothing. With 32 bands of 4 rows a pair of similarity 0.8 is missed
-with probability 5e-8, one of the sketch test's margin with about 1e-6.
+Every text is a set of distinct word shingles. ``BANDS`` x ``ROWS`` MinHash samples
+give band keys: texts that share one are candidates. One-permutation MinHash, a
+sample from each of ``BINS`` bins, is folded into a parity bitmap; the population
+count of two bitmaps' XOR tells how many samples differ, precisely where texts are
+similar. Candidates that look less similar than ``DOUBT`` are dropped by it, all
+others are confirmed on the full shingle sets.
+
+Within a bucket no pairs are listed wholesale. In each of ``LEADER_ROUNDS`` rounds
+every member of a bucket meets three leaders (the member that shares most buckets,
+and two that change with the round); each text is confirmed against the nearest
+leader outside its component, and confirmed links join components. Only members
+of different components that still share a bucket are then compared with each
+other, inside a join whose condition holds the sketch test, so a large group that
+has become one component adds nothing. With 32 bands of 4 rows a pair of
+similarity 0.8 is missed with probability 5e-8, for long texts one is dropped by
+the sketches with about 3e-6.
 
 Edge cases: a text without words is linked with nothing; texts equal up to letter
 case are one node; a NULL id belongs to its text's component and is never its
@@ -22,7 +25,6 @@ equal ids are the same document; an empty table gives no rows.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import reduce
 from operator import add
@@ -38,15 +40,17 @@ from reviewscope.llm.components import connected_components
 from reviewscope.session import materialize
 
 BANDS, ROWS = 32, 4
-SKETCH_WORDS = 8          # 512 parity bits
+BINS = 1024
+SKETCH_WORDS = 32         # 2048 parity bits
 SHINGLE = 4
 THRESHOLD = 80            # per cent
-DOUBT = 0.62              # estimated similarity below which no pair at the threshold lies
-LEADER_ROUNDS = 2
+DOUBT = 0.72              # estimated similarity below which no pair at the threshold lies
+LEADER_ROUNDS = 4
 CHUNK_TOKENS = 1 << 19
+SEEN = ("n", "filled", "sketch")
 NO_ID = 1 << 62           # nodes of texts without any id start here
 LONGS = ArrayType(LongType())
-SKETCHED = StructType([StructField("n", LongType()), StructField("bands", LONGS), StructField("sketch", LONGS)])
+SKETCHED = StructType([StructField("n", LongType()), StructField("filled", LongType()), StructField("bands", LONGS), StructField("sketch", LONGS)])
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -90,33 +94,48 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def bin_samples(shingles: np.ndarray) -> np.ndarray:
+    """The least hash in each bin that has one: sorted hashes fall into bins by their leading bits."""
+    hashes = np.sort(mix(shingles * _BASE))
+    bins = hashes >> np.uint64(64 - (BINS.bit_length() - 1))
+    return hashes[np.concatenate([[True], bins[1:] != bins[:-1]])] if len(hashes) else hashes
+
+
 def odd_sketch(samples: np.ndarray) -> np.ndarray:
-    """Parity of the (place, sample) pairs that fall on each bit."""
-    bits = mix(samples * _BASE + _SEEDS) % np.uint64(64 * SKETCH_WORDS)
+    """Parity of the samples that fall on each bit."""
+    bits = mix(samples * _MIX) % np.uint64(64 * SKETCH_WORDS)
     parity = np.bincount(bits.astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
     return np.packbits(parity.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def most_differing_bits(similarity: float = DOUBT) -> int:
-    """Expected XOR population count of two sketches of this similarity."""
-    bits, tosses = 64 * SKETCH_WORDS, 2 * BANDS * ROWS * (1 - similarity)
-    return math.ceil(bits / 2 * (1 - (1 - 2 / bits) ** tosses))
+def look_alike(a: str, b: str, doubt: float = DOUBT) -> Column:
+    """Whether sets at the threshold could have sketches that differ so much.
+
+    Columns are n (set size), filled (bins with a sample) and sketch, with the prefixes ``a`` and ``b``.
+    """
+    union = (F.col(f"{a}n") + F.col(f"{b}n")) / (1 + THRESHOLD / 100)
+    samples = BINS * (1 - F.exp(-union / BINS))
+    apart = F.col(f"{a}filled") + F.col(f"{b}filled") - 2 * doubt * samples
+    bits = 64 * SKETCH_WORDS
+    return differing_bits(f"{a}sketch", f"{b}sketch") <= bits / 2 * (1 - F.exp(-2 * F.greatest(apart, F.lit(0.0)) / bits))
 
 
 @F.arrow_udf(SKETCHED)
 def _sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        n, bands, sketches = [], [], []
+        n, filled, bands, sketches = [], [], [], []
         for flat, starts in list_parts(batch, CHUNK_TOKENS):
             for a, b in zip(starts[:-1], starts[1:]):
                 shingles = shingle_set(flat[a:b])
                 n.append(len(shingles))
-                samples = minhashes(shingles) if len(shingles) else None
-                bands.append(band_keys(samples) if len(shingles) else [])
-                sketches.append(odd_sketch(samples) if len(shingles) else [])
+                samples = bin_samples(shingles)
+                filled.append(len(samples))
+                bands.append(band_keys(minhashes(shingles)) if len(shingles) else [])
+                sketches.append(odd_sketch(samples))
         yield pa.StructArray.from_arrays(
-            [pa.array(n, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))],
-            ["n", "bands", "sketch"],
+            [pa.array(n, pa.int64()), pa.array(filled, pa.int64()), pa.array(bands, pa.list_(pa.int64())),
+             pa.array(sketches, pa.list_(pa.int64()))],
+            ["n", "filled", "bands", "sketch"],
         )
 
 
@@ -137,7 +156,7 @@ def _tokens(text: str) -> Column:
     return F.transform(word_list(_lowered(text)), lambda w: F.xxhash64(w))
 
 
-def _differing_bits(a: str, b: str) -> Column:
+def differing_bits(a: str, b: str) -> Column:
     return reduce(add, [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(SKETCH_WORDS)])
 
 
@@ -160,35 +179,37 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _leader_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """One candidate pair per node at most: the leader of one of its buckets whose sketch is nearest."""
-    shared = members.groupBy("bucket").agg(F.count("*").alias("size"))
-    fame = members.join(shared, "bucket").groupBy("node").agg(F.sum("size").alias("fame"))
-    leaders = members.join(fame, "node").groupBy("bucket").agg(
-        F.max(F.struct("fame", (-F.col("node")).alias("minus"), F.col("component").alias("of"))).alias("best"),
-    ).select("bucket", (-F.col("best.minus")).alias("leader"), F.col("best.of").alias("leader_component"))
+def _leader_pairs(members: DataFrame, nodes: DataFrame, turn: int) -> DataFrame:
+    """One candidate pair per node at most: the look-alike leader outside its component whose sketch is nearest."""
+    shared = materialize(members.groupBy("bucket").agg(F.count("*").alias("size")), "bucket-sizes")
+    fame = materialize(members.join(shared, "bucket").groupBy("node").agg(F.sum("size").alias("fame")), "fame")
+    who = F.struct("node", "component")
+    draw = F.xxhash64("node", F.lit(turn))
+    leaders = members.join(fame, "node").groupBy("bucket").agg(F.array(
+        F.max(F.struct("fame", who.alias("who")))["who"], F.min(F.struct(draw, who.alias("who")))["who"],
+        F.max(F.struct(draw, who.alias("who")))["who"],
+    ).alias("leaders"))
+    leaders = materialize(leaders, "leaders")
     met = (
-        members.join(leaders, "bucket").where("component <> leader_component")
-        .select("node", "leader").distinct()
-        .join(nodes.select("node", "n", "sketch"), "node")
-        .join(nodes.select(F.col("node").alias("leader"), F.col("n").alias("leader_n"), F.col("sketch").alias("leader_sketch")), "leader")
-        .where(_sizes_fit("n", "leader_n"))
-        .withColumn("bits", _differing_bits("sketch", "leader_sketch")).where(F.col("bits") <= most_differing_bits())
-    )
-    return met.groupBy("node").agg(F.min(F.struct("bits", "leader")).alias("best")).select(
-        F.col("node").alias("a"), F.col("best.leader").alias("b"),
+        members.join(leaders, "bucket").select("node", "component", F.explode(F.array_distinct("leaders")).alias("leader"))
+        .where("component <> leader.component").select("node", F.col("leader.node").alias("leader")).distinct()
+        .join(nodes.select("node", *[F.col(c).alias(f"a_{c}") for c in SEEN]), "node")
+        .join(nodes.select(F.col("node").alias("leader"), *[F.col(c).alias(f"b_{c}") for c in SEEN]), "leader")
+        .where(_sizes_fit("a_n", "b_n") & look_alike("a_", "b_"))
     )
+    nearest = F.min(F.struct(differing_bits("a_sketch", "b_sketch").alias("bits"), F.col("leader").alias("leader")))
+    return met.groupBy("node").agg(nearest.alias("best")).select(F.col("node").alias("a"), F.col("best.leader").alias("b"))
 
 
 def _regrouped(members: DataFrame, links: DataFrame) -> DataFrame:
     """Members with their components, of those buckets that still hold several."""
-    found = connected_components(links)
+    found = materialize(connected_components(links), "components")
     labelled = members.select("bucket", "node").join(found, "node", "left").select(
         "bucket", "node", F.coalesce("component", "node").alias("component"),
     )
     labelled = materialize(labelled, "bucket-components")
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    return materialize(labelled.join(mixed.select("bucket"), "bucket"), "mixed-buckets")
+    return materialize(labelled.join(materialize(mixed.select("bucket"), "mixed"), "bucket"), "mixed-buckets")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -201,12 +222,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     node = F.coalesce(F.min("key"), F.lit(NO_ID) + F.min(F.xxhash64("same").bitwiseAND(F.lit(NO_ID // 2 - 1))))
     classes = materialize(worded.groupBy("same").agg(node.alias("node"), F.min("key").alias("rep")), "classes")
     # A class is represented by the sketch of any of its rows: all are equal.
-    nodes = worded.join(classes, "same").where("key = node or (key is null and rep is null)").select("node", "n", "sketch", "bands")
+    nodes = worded.join(classes, "same").where("key = node or (key is null and rep is null)").select("node", *SEEN, "bands")
     nodes = materialize(nodes.dropDuplicates(["node"]), "nodes")
 
     every = nodes.select("node", F.explode("bands").alias("bucket"))
     crowded = every.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = materialize(every.join(crowded, "bucket").withColumn("component", F.col("node")), "members")
+    members = materialize(every.join(materialize(crowded, "crowded"), "bucket").withColumn("component", F.col("node")), "members")
 
     involved = members.select("node").distinct().join(classes.select("node", "same"), "node")
     texts = docs.select(F.md5(_lowered(text)).alias("same"), F.col(key).alias("key"), F.col(text).alias("text"))
@@ -216,20 +237,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
     sets = materialize(sets, "shingle-sets")
 
-    links = None
-    open_members = members
-    for _ in range(LEADER_ROUNDS):
-        found = materialize(confirm(_leader_pairs(open_members, nodes), sets), "leader-links")
-        links = found if links is None else links.unionByName(found)
-        open_members = _regrouped(members, links)
+    links, open_members = None, members
+    for turn in range(LEADER_ROUNDS):
+        found = confirm(materialize(_leader_pairs(open_members, nodes, turn), "leader-pairs"), sets)
+        links = materialize(found if links is None else links.unionByName(found), "links")
+        open_members = _regrouped(open_members.select("bucket", "node"), links)
 
-    sketched = open_members.join(nodes.select("node", "n", "sketch"), "node")
-    left, right = (sketched.select("bucket", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "component", "n", "sketch")]) for side in "ab")
+    sketched = open_members.join(nodes.select("node", *SEEN), "node")
+    left, right = (sketched.select("bucket", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "component", *SEEN)]) for side in "ab")
     pairs = (
         left.join(right, "bucket")
         .where(
             (F.col("a_node") < F.col("b_node")) & (F.col("a_component") != F.col("b_component"))
-            & _sizes_fit("a_n", "b_n") & (_differing_bits("a_sketch", "b_sketch") <= most_differing_bits())
+            & _sizes_fit("a_n", "b_n") & look_alike("a_", "b_")
         )
         .select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
     )

@@ -55,15 +55,17 @@ def test_odd_rows(docs_of, sentence):
 
 
 @pytest.mark.parametrize("similarity", [0.6, 0.8, 0.9])
-def test_sketches_tell_similarity(similarity):
+def test_sketches_tell_similarity(spark, similarity):
     rng = np.random.default_rng(1)
     size, inside = 4000, int(4000 * 2 * similarity / (1 + similarity))
     pool = rng.integers(1, 2**63, 2 * size - inside, dtype=np.uint64)
     a, b = pool[:size], pool[size - inside:]
-    xor = nd.odd_sketch(nd.minhashes(a)).view(np.uint64) ^ nd.odd_sketch(nd.minhashes(b)).view(np.uint64)
-    bits = int(np.bitwise_count(xor).sum())
-    assert abs(bits - nd.most_differing_bits(similarity)) < 25
-    assert (bits <= nd.most_differing_bits()) or similarity < 0.7
+    rows = [(len(x), len(nd.bin_samples(x)), nd.odd_sketch(nd.bin_samples(x)).tolist()) for x in (a, b)]
+    df = spark.createDataFrame([rows[0] + rows[1]], "a_n long, a_filled long, a_sketch array<long>, b_n long, b_filled long, b_sketch array<long>")
+    bits = df.select(nd.differing_bits("a_sketch", "b_sketch")).first()[0]
+    tosses = 2 * (1 - similarity) * 1024
+    assert bits == pytest.approx(1024 * (1 - np.exp(-2 * tosses / 2048)), abs=80)
+    assert df.select(nd.look_alike("a_", "b_")).first()[0] == (similarity > 0.7)
     assert np.array_equal(nd.minhashes(a, block=1 << 10), nd.minhashes(a))
 
 
