@@ -44,7 +44,8 @@ LENGTH = 50
 ANCHOR = 20
 SHARD_WORDS = 20_000
 TASK_WORDS = 200_000
-CHUNK_TOKENS = 1 << 19
+CHUNK_TOKENS = 1 << 18
+BLOCK_WINDOWS = 1 << 14
 
 PLACES, LONGS = ArrayType(IntegerType()), ArrayType(LongType())
 ANCHORS = StructType([StructField("places", PLACES), StructField("hashes", LONGS)])
@@ -79,7 +80,9 @@ def anchor_places(tokens: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR
     width = length - anchor + 1
     if len(hashes) < width:
         return np.empty(0, np.int64), hashes
-    least = np.lib.stride_tricks.sliding_window_view(hashes, width).argmin(1)
+    views = np.lib.stride_tricks.sliding_window_view(hashes, width)
+    # In blocks, because the search copies the windows it looks at.
+    least = np.concatenate([views[i:i + BLOCK_WINDOWS].argmin(1) for i in range(0, len(views), BLOCK_WINDOWS)])
     return least + np.arange(len(least)), hashes
 
 
@@ -242,9 +245,10 @@ def _tokens(text: str) -> Column:
 def repeated_windows(census: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(texts around shared anchors, windows (key, place, first) that two documents hold)."""
     anchors = census.select("key", F.explode(F.arrays_zip("places", "hashes")).alias("x")).select("key", "x.places", "x.hashes")
+    # What is found by hash is written before it is joined: a hot hash can then be split.
     shared = anchors.groupBy("hashes").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
     marked = (
-        anchors.join(shared.select("hashes"), "hashes")
+        anchors.join(materialize(shared.select("hashes"), "shared-anchors"), "hashes")
         .groupBy("key").agg(F.collect_list("places").alias("shared"))
     )
     held = texts.join(marked, "key").dropDuplicates(["key"])
@@ -253,7 +257,8 @@ def repeated_windows(census: DataFrame, texts: DataFrame) -> tuple[DataFrame, Da
         "key", F.col("x.places").alias("place"), F.col("x.hashes").alias("hash"),
     )
     first = windows.groupBy("hash").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last")
-    return held.select("key", "text"), windows.join(first.select("hash", "first"), "hash").select("key", "place", "first")
+    first = materialize(first.select("hash", "first"), "first-windows")
+    return held.select("key", "text"), windows.join(first, "hash").select("key", "place", "first")
 
 
 def matched_spans(held: DataFrame, windows: DataFrame) -> DataFrame:
