@@ -4,8 +4,9 @@ Every text is a set of distinct word shingles. ``BANDS`` x ``ROWS`` MinHash samp
 give band keys: texts that share one are candidates. One-permutation MinHash, a
 sample from each of ``BINS`` bins, is folded into a parity bitmap; the population
 count of two bitmaps' XOR tells how many samples differ, precisely where texts are
-similar. Candidates that look less similar than ``DOUBT`` are dropped by it, all
-others are confirmed on the full shingle sets.
+similar. Candidates whose bitmaps differ by ``DEVIATIONS`` standard deviations more
+than those of a pair at the threshold are dropped, all others are confirmed on the
+full shingle sets.
 
 Within a bucket no pairs are listed wholesale. In each of ``LEADER_ROUNDS`` rounds
 every member of a bucket meets three leaders (the member that shares most buckets,
@@ -14,8 +15,9 @@ leader outside its component, and confirmed links join components. Only members
 of different components that still share a bucket are then compared with each
 other, inside a join whose condition holds the sketch test, so a large group that
 has become one component adds nothing. With 32 bands of 4 rows a pair of
-similarity 0.8 is missed with probability 5e-8, for long texts one is dropped by
-the sketches with about 3e-6.
+similarity 0.8 is missed with probability 5e-8 and dropped by the sketches with
+about 3e-7. Sets far smaller than ``BINS`` are held almost whole by their samples,
+so for short texts the bitmaps tell nearly the exact difference.
 
 Edge cases: a text without words is linked with nothing; texts equal up to letter
 case are one node; a NULL id belongs to its text's component and is never its
@@ -40,17 +42,17 @@ from reviewscope.llm.components import connected_components
 from reviewscope.session import materialize
 
 BANDS, ROWS = 32, 4
-BINS = 1024
+BINS = 2048
 SKETCH_WORDS = 32         # 2048 parity bits
 SHINGLE = 4
 THRESHOLD = 80            # per cent
-DOUBT = 0.72              # estimated similarity below which no pair at the threshold lies
+DEVIATIONS = 5.0          # of the bitmaps of a pair at the threshold
 LEADER_ROUNDS = 4
 CHUNK_TOKENS = 1 << 19
-SEEN = ("n", "filled", "sketch")
+SEEN = ("n", "sketch")
 NO_ID = 1 << 62           # nodes of texts without any id start here
 LONGS = ArrayType(LongType())
-SKETCHED = StructType([StructField("n", LongType()), StructField("filled", LongType()), StructField("bands", LONGS), StructField("sketch", LONGS)])
+SKETCHED = StructType([StructField("n", LongType()), StructField("bands", LONGS), StructField("sketch", LONGS)])
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -108,34 +110,38 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def look_alike(a: str, b: str, doubt: float = DOUBT) -> Column:
+def look_alike(a: str, b: str, deviations: float = DEVIATIONS) -> Column:
     """Whether sets at the threshold could have sketches that differ so much.
 
-    Columns are n (set size), filled (bins with a sample) and sketch, with the prefixes ``a`` and ``b``.
+    Columns are n (set size) and sketch, with the prefixes ``a`` and ``b``. Of the
+    union's ``filled`` bins a part ``apart`` holds a least hash of one set only: the
+    sets' samples differ there, once where that hash is ``alone`` in its bin, else
+    twice. A sample toggles one bit; two on the same bit cancel out.
     """
-    union = (F.col(f"{a}n") + F.col(f"{b}n")) / (1 + THRESHOLD / 100)
-    samples = BINS * (1 - F.exp(-union / BINS))
-    apart = F.col(f"{a}filled") + F.col(f"{b}filled") - 2 * doubt * samples
-    bits = 64 * SKETCH_WORDS
-    return differing_bits(f"{a}sketch", f"{b}sketch") <= bits / 2 * (1 - F.exp(-2 * F.greatest(apart, F.lit(0.0)) / bits))
+    bits, apart = 64 * SKETCH_WORDS, 1 - THRESHOLD / 100
+    load = (F.col(f"{a}n") + F.col(f"{b}n")) / ((1 + THRESHOLD / 100) * BINS)
+    filled = BINS * (1 - F.exp(-load))
+    alone = load / F.expm1(load)
+    spread = 2 * filled * apart * (2 - alone) / bits
+    expected = bits / 2 * (1 - F.exp(-spread))
+    samples_vary = F.exp(-2 * spread) * filled * (1 - alone) * 4 * apart * (1 - apart)
+    bits_vary = bits / 4 * (1 - F.exp(-2 * spread) * (1 + 2 * spread))
+    return differing_bits(f"{a}sketch", f"{b}sketch") <= expected + deviations * F.sqrt(samples_vary + bits_vary) + 1
 
 
 @F.arrow_udf(SKETCHED)
 def _sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        n, filled, bands, sketches = [], [], [], []
+        n, bands, sketches = [], [], []
         for flat, starts in list_parts(batch, CHUNK_TOKENS):
             for a, b in zip(starts[:-1], starts[1:]):
                 shingles = shingle_set(flat[a:b])
                 n.append(len(shingles))
-                samples = bin_samples(shingles)
-                filled.append(len(samples))
                 bands.append(band_keys(minhashes(shingles)) if len(shingles) else [])
-                sketches.append(odd_sketch(samples))
+                sketches.append(odd_sketch(bin_samples(shingles)))
         yield pa.StructArray.from_arrays(
-            [pa.array(n, pa.int64()), pa.array(filled, pa.int64()), pa.array(bands, pa.list_(pa.int64())),
-             pa.array(sketches, pa.list_(pa.int64()))],
-            ["n", "filled", "bands", "sketch"],
+            [pa.array(n, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))],
+            ["n", "bands", "sketch"],
         )
 
 

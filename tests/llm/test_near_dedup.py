@@ -54,21 +54,43 @@ def test_odd_rows(docs_of, sentence):
     assert nd.near_duplicates(docs_of([])).collect() == []
 
 
+def overlapping(rng, size, similarity):
+    """Two sets of ``size`` random hashes."""
+    inside = round(size * 2 * similarity / (1 + similarity))
+    pool = rng.integers(1, 2**63, 2 * size - inside, dtype=np.uint64)
+    return pool[:size], pool[size - inside:]
+
+
+def pairs_frame(spark, pairs):
+    rows = [tuple(v for x in pair for v in (len(x), nd.odd_sketch(nd.bin_samples(x)).tolist())) for pair in pairs]
+    return spark.createDataFrame(rows, "a_n long, a_sketch array<long>, b_n long, b_sketch array<long>")
+
+
 @pytest.mark.parametrize("similarity", [0.6, 0.8, 0.9])
 def test_sketches_tell_similarity(spark, similarity):
-    rng = np.random.default_rng(1)
-    size, inside = 4000, int(4000 * 2 * similarity / (1 + similarity))
-    pool = rng.integers(1, 2**63, 2 * size - inside, dtype=np.uint64)
-    a, b = pool[:size], pool[size - inside:]
-    rows = [(len(x), len(nd.bin_samples(x)), nd.odd_sketch(nd.bin_samples(x)).tolist()) for x in (a, b)]
-    df = spark.createDataFrame([rows[0] + rows[1]], "a_n long, a_filled long, a_sketch array<long>, b_n long, b_filled long, b_sketch array<long>")
+    a, b = overlapping(np.random.default_rng(1), 4000, similarity)
+    df = pairs_frame(spark, [(a, b)])
+    load = len(np.union1d(a, b)) / nd.BINS
+    tosses = nd.BINS * (1 - np.exp(-load)) * (1 - similarity) * (2 - load / np.expm1(load))
     bits = df.select(nd.differing_bits("a_sketch", "b_sketch")).first()[0]
-    tosses = 2 * (1 - similarity) * 1024
     assert bits == pytest.approx(1024 * (1 - np.exp(-2 * tosses / 2048)), abs=80)
     assert df.select(nd.look_alike("a_", "b_")).first()[0] == (similarity > 0.7)
     assert np.array_equal(nd.minhashes(a, block=1 << 10), nd.minhashes(a))
 
 
+@pytest.mark.parametrize("size", [9, 18, 45, 144, 900, 9000, 90000])
+def test_sketches_keep_pairs_at_the_threshold(spark, size):
+    """At three deviations nearly all pass, at five all; well below the threshold hardly any do."""
+    rng = np.random.default_rng(size)
+    times = 400 if size < 10000 else 60
+    df = pairs_frame(spark, [overlapping(rng, size, 0.8) for _ in range(times)])
+    three, five = df.select(*[nd.look_alike("a_", "b_", d).cast("int").alias(f"d{d}") for d in (3, 5)]).groupBy().sum().first()
+    assert three >= 0.99 * times and five == times
+    if size >= 144:
+        far = pairs_frame(spark, [overlapping(rng, size, 0.68) for _ in range(times)])
+        assert far.where(nd.look_alike("a_", "b_")).count() <= 0.02 * times
+
+
 def test_components_of_chains_stars_and_copies(spark):
     rng = random.Random(5)
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7)]
