@@ -66,3 +66,40 @@ def text_parts(values: pa.Array, most_bytes: int) -> Iterator[tuple[np.ndarray,
         starts = np.concatenate([[0], np.cumsum(pc.utf8_length(rows).to_numpy(zero_copy_only=False))])
         yield codes, starts.astype(np.int64)
         row, done = stop, int(ends[stop - 1])
+
+
+def byte_parts(values: pa.Array, most_bytes: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Cut a string array into runs of rows with about ``most_bytes`` each: (first row, next row, UTF-8 bytes, row starts).
+
+    The bytes are a view of the array's own memory. A NULL text is empty; a longer text is a run of its own.
+    """
+    whole = pc.fill_null(values.cast(pa.large_string()), "")
+    if not len(whole):
+        return
+    _, places, data = whole.buffers()
+    ends = np.frombuffer(places, np.int64)[whole.offset:whole.offset + len(whole) + 1]
+    flat = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
+    row = 0
+    while row < len(whole):
+        stop = max(row + 1, int(np.searchsorted(ends, ends[row] + most_bytes, "right")) - 1)
+        yield row, stop, flat[ends[row]:ends[stop]], ends[row:stop + 1] - ends[row]
+        row = stop
+
+
+def cut_words(table: np.ndarray, flat: np.ndarray, starts: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words of concatenated texts as one string array, their rows and the place of their first byte.
+
+    ``table`` maps a byte to the byte that a word keeps of it, 0 where no word has it. No word crosses two rows.
+    """
+    bytes_kept = table[flat]
+    inside = bytes_kept != 0
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    edges = starts[1:-1][starts[1:-1] < len(flat)]
+    first[edges] = inside[edges]
+    places = np.flatnonzero(first)
+    offsets = np.concatenate([np.cumsum(inside, dtype=np.int64)[places] - 1, [np.count_nonzero(inside)]])
+    words = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(places), [None, pa.py_buffer(offsets), pa.py_buffer(bytes_kept[inside])],
+    )
+    return words, np.searchsorted(starts, places, "right") - 1, places

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reviewscope.llm import chat_format, decontaminate, html_extract, language_id, mixing, near_dedup, outliers, secret_scan, sharding, substring_dedup
+from reviewscope.llm import chat_format, decontaminate, html_extract, language_id, lexical_search, mixing, near_dedup, outliers, secret_scan, sharding, substring_dedup
 from reviewscope.llm.common import read_table
-from reviewscope.llm.sql import CHATS_SQL, SECRETS_SQL
+from reviewscope.llm.sql import CHATS_SQL, SEARCH_SQL, SECRETS_SQL
 
 LLM_QUERIES = {}
-LLM_SQL = {"op1_secret_scan": SECRETS_SQL, "op2_chat_format": CHATS_SQL}
+LLM_SQL = {"op1_secret_scan": SECRETS_SQL, "op2_chat_format": CHATS_SQL, "op12_lexical_search": SEARCH_SQL}
 
 
 def query(run):
@@ -102,3 +102,8 @@ def op8_language_id(spark, sf_dir):
 def op9_html_extraction(spark, sf_dir):
     found = html_extract.extract_pages(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
+@query
+def op12_lexical_search(spark, sf_dir):
+    return lexical_search.rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewscope.llm import chat_format, secret_scan
+from reviewscope.llm import chat_format, lexical_search, secret_scan
 
 
 def _quote(value: str) -> str:
@@ -55,3 +55,25 @@ select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text |
        sum({_MARKS} + length({_escaped('role', chat_format.ROLE_ESCAPES)}) + length({_escaped('text', chat_format.TEXT_ESCAPES)}))::bigint as formatted_chars
 from c group by conv_id
 """
+
+
+def _terms(text: str) -> str:
+    lowered = f"translate(coalesce({text}, ''), '{lexical_search.UPPER}', '{lexical_search.LOWER}')"
+    return f"unnest(regexp_extract_all({lowered}, {_quote('[^' + lexical_search.GAPS[1:])}))"
+
+
+SEARCH_SQL = f"""
+with q as (select distinct item_id, term from (select item_id, {_terms("text")} as term from benchmark)),
+t as (select r, doc_id, {_terms("text")} as term from (select *, row_number() over () as r from documents)),
+d as (select r, any_value(doc_id) as doc_id, count(*) as n from t group by r),
+total as (select count(*) as docs, sum(n)::bigint as length from d),
+tf as (select r, term, count(*) as tf from t where term in (select term from q) group by r, term),
+w as (select term, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double))::bigint as w
+      from (select term, count(*) as df from tf group by term), total),
+scored as (
+  select item_id, doc_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * docs) // length)))))::bigint as score
+  from q join tf using (term) join w using (term) join d using (r), total group by item_id, doc_id, r)
+select * from (
+  select item_id, (row_number() over (partition by item_id order by score desc, doc_id nulls last))::int as rank, doc_id, score
+  from scored where score > 0) where rank <= 10
+"""

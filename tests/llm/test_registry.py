@@ -17,7 +17,7 @@ def test_matches_sql(spark, sf_dir, name):
 
 def test_every_number_is_registered_once():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in LLM_QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert queries()["pipeline"] is corpus_pipeline.run
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "language_id", "near_dedup", "decontamination", "source_mixing", "sharding",
