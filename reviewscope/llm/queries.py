@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reviewscope.llm import chat_format, decontaminate, html_extract, language_id, lexical_search, mixing, near_dedup, outliers, secret_scan, sharding, substring_dedup
+from reviewscope.llm import chat_format, collocations, decontaminate, html_extract, language_id, lexical_search, mixing, near_dedup, outliers, secret_scan, sharding, substring_dedup
 from reviewscope.llm.common import read_table
-from reviewscope.llm.sql import CHATS_SQL, SEARCH_SQL, SECRETS_SQL
+from reviewscope.llm.sql import CHATS_SQL, COLLOCATIONS_SQL, SEARCH_SQL, SECRETS_SQL
 
 LLM_QUERIES = {}
-LLM_SQL = {"op1_secret_scan": SECRETS_SQL, "op2_chat_format": CHATS_SQL, "op12_lexical_search": SEARCH_SQL}
+LLM_SQL = {"op1_secret_scan": SECRETS_SQL, "op2_chat_format": CHATS_SQL, "op12_lexical_search": SEARCH_SQL, "op13_collocations": COLLOCATIONS_SQL}
 
 
 def query(run):
@@ -107,3 +107,8 @@ def op9_html_extraction(spark, sf_dir):
 @query
 def op12_lexical_search(spark, sf_dir):
     return lexical_search.rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewscope.llm import chat_format, lexical_search, secret_scan
+from reviewscope.llm import chat_format, collocations, lexical_search, secret_scan
 
 
 def _quote(value: str) -> str:
@@ -77,3 +77,35 @@ select * from (
   select item_id, (row_number() over (partition by item_id order by score desc, doc_id nulls last))::int as rank, doc_id, score
   from scored where score > 0) where rank <= 10
 """
+
+
+_PIECE_ENDS = _quote(r"[.,;:!?\n\x0B\x0C\r]")
+_LOWERED = f"translate(coalesce(text, ''), '{lexical_search.UPPER}', '{lexical_search.LOWER}')"
+COLLOCATIONS_SQL = f"""
+with pieces as (
+  select lang, regexp_extract_all(piece, '[^ \\x09]+') as w
+  from (select coalesce(lang, 'und') as lang, unnest(string_split_regex({_LOWERED}, {_PIECE_ENDS})) as piece from documents)),
+grams as (
+  select lang, unnest(w) as phrase, 1 as k from pieces
+  union all select lang, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])), 2 from pieces
+  union all select lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])), 3 from pieces),
+f as (select lang, phrase, k, count(*) as f from grams group by lang, phrase, k),
+totals as (select lang, sum(f)::bigint as n from f where k = 1 group by lang),
+candidates as (select lang, phrase, k, f as a, string_split(phrase, ' ') as w from f where k > 1 and f >= {collocations.LEAST}),
+longer as (
+  select lang, phrase, max(a) as a from (
+    select lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) as phrase from candidates where k = 3) group by lang, phrase),
+kept as (
+  select c.* from candidates c left join longer o on c.k = 2 and o.lang = c.lang and o.phrase = c.phrase
+  where o.a is null or 100 * o.a < {collocations.DROP_PERCENT} * c.a),
+cuts as (
+  select lang, phrase, a, cut, array_to_string(w[1:cut], ' ') as left_part, array_to_string(w[cut + 1:], ' ') as right_part
+  from (select *, unnest(range(1, k)) as cut from kept)),
+scored as (
+  select c.lang, c.phrase, c.a, cut, x.f as l, y.f as r, ((1000000::hugeint * c.a * c.a) // (x.f::hugeint * y.f))::bigint as score
+  from cuts c join f x on x.lang = c.lang and x.phrase = left_part join f y on y.lang = c.lang and y.phrase = right_part),
+best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1)
+select lang, rank, phrase, a, l, r, n, score
+from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from best) join totals using (lang)
+where rank <= {collocations.TOP}
+"""
