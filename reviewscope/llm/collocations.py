@@ -49,10 +49,10 @@ UNKNOWN = "und"
 LONGEST = 3
 DICTIONARY_WORDS = 4_000_000
 DICTIONARY_BYTES = 64 << 20
-WORD_CHUNK_BYTES = 1 << 24
-CHUNK_BYTES = 1 << 22
-FILTER_ENTRIES = 1 << 21
-RANGE_ENTRIES = 1 << 20
+WORD_CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 21
+FILTER_ENTRIES = 1 << 20
+RANGE_ENTRIES = 1 << 19
 MOST_RANGE_BITS = 16
 
 
