@@ -54,6 +54,7 @@ CHUNK_BYTES = 1 << 21
 FILTER_ENTRIES = 1 << 20
 RANGE_ENTRIES = 1 << 19
 MOST_RANGE_BITS = 16
+RACE_ROWS = 50_000
 
 
 def _byte_table(gone: str) -> np.ndarray:
@@ -309,8 +310,19 @@ def phrase_counts(texts: DataFrame, dictionary: DataFrame, tokens: int, least: i
     return filters.groupBy("range").applyInArrow(_merger(bits, range_bits, least), "id1 long, id2 long, id3 long, f long")
 
 
-def _digits(column: Column | str) -> Column:
-    return F.col(column).cast("decimal(38,0)") if isinstance(column, str) else column.cast("decimal(38,0)")
+def first_per_language(rows: DataFrame, order: list[Column], top: int) -> DataFrame:
+    """The first ``top`` phrases of each language and their rank.
+
+    Rounds of smaller races come first, so that no task sorts all phrases of a language.
+    """
+    while True:
+        most = rows.groupBy("lang").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        races = math.ceil(most / max(RACE_ROWS, 10 * top))
+        race = ["lang"] if races <= 1 else ["lang", F.pmod(F.xxhash64("phrase"), F.lit(races))]
+        place = F.row_number().over(Window.partitionBy(*race).orderBy(*order))
+        rows = materialize(rows.drop("rank").withColumn("rank", place).where(F.col("rank") <= top), "ranked")
+        if races <= 1:
+            return rows
 
 
 def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least: int = LEAST, top: int = TOP) -> DataFrame:
@@ -354,6 +366,5 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
         "lang", "phrase", "a", F.when(F.col("cut") == 2, F.col("f12")).otherwise(F.col("f1")).alias("l"),
         F.when(F.col("cut") == 2, F.col("f3")).otherwise(F.coalesce("f23", "f2")).alias("r"), "score",
     )
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
-    ranked = materialize(scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top), "ranked")
+    ranked = first_per_language(materialize(scored, "scored"), [F.col("score").desc(), F.col("a").desc(), F.col("phrase")], top)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

@@ -48,8 +48,8 @@ B_PERCENT, SCALE, TF_STEP, M_STEP = 90, 1_000_000_000, 1000, 8
 
 K = 10
 BLOCK_TERMS = 1_000_000
-SHARD_POSTINGS = 1 << 21
-CHUNK_BYTES = 1 << 22
+SHARD_POSTINGS = 1 << 20
+CHUNK_BYTES = 1 << 21
 FIRST_READ = 16
 
 INTS = ArrayType(IntegerType())

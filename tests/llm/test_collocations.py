@@ -56,6 +56,8 @@ def test_equals_plain_counting(spark, rows, monkeypatch):
     assert len({r[0] for r in want}) >= 3 and len(want) > 90
     assert found(spark, rows) == want
     assert found(spark, rows, top=5, least=4) == expected(rows, 4, 5)
+    monkeypatch.setattr(co, "RACE_ROWS", 20)
+    assert found(spark, rows, top=2) == expected(rows, top=2)
     monkeypatch.setattr(co, "FILTER_ENTRIES", 50)
     monkeypatch.setattr(co, "RANGE_ENTRIES", 500)
     monkeypatch.setattr(co, "CHUNK_BYTES", 300)
