@@ -69,11 +69,11 @@ def text_parts(values: pa.Array, most_bytes: int) -> Iterator[tuple[np.ndarray,
 
 
 def byte_parts(values: pa.Array, most_bytes: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Cut a string array into runs of rows with about ``most_bytes`` each: (first row, next row, UTF-8 bytes, row starts).
+    """Cut a string or binary array into runs of rows with about ``most_bytes`` each: (first row, next row, bytes, row starts).
 
     The bytes are a view of the array's own memory. A NULL text is empty; a longer text is a run of its own.
     """
-    whole = pc.fill_null(values.cast(pa.large_string()), "")
+    whole = pc.fill_null(values.cast(pa.large_binary()), b"")
     if not len(whole):
         return
     _, places, data = whole.buffers()

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reviewscope.llm import chat_format, collocations, decontaminate, html_extract, language_id, lexical_search, mixing, near_dedup, outliers, secret_scan, sharding, substring_dedup
+from reviewscope.llm import chat_format, collocations, decontaminate, html_extract, language_id, lexical_search, mixing, near_dedup, outliers, secret_scan, sharding, substring_dedup, suffix_dedup
 from reviewscope.llm.common import read_table
-from reviewscope.llm.sql import CHATS_SQL, COLLOCATIONS_SQL, SEARCH_SQL, SECRETS_SQL
+from reviewscope.llm.sql import CHATS_SQL, COLLOCATIONS_SQL, SEARCH_SQL, SECRETS_SQL, SUFFIXES_SQL
 
 LLM_QUERIES = {}
-LLM_SQL = {"op1_secret_scan": SECRETS_SQL, "op2_chat_format": CHATS_SQL, "op12_lexical_search": SEARCH_SQL, "op13_collocations": COLLOCATIONS_SQL}
+LLM_SQL = {
+    "op1_secret_scan": SECRETS_SQL, "op2_chat_format": CHATS_SQL, "op11_suffix_dedup": SUFFIXES_SQL,
+    "op12_lexical_search": SEARCH_SQL, "op13_collocations": COLLOCATIONS_SQL,
+}
 
 
 def query(run):
@@ -104,6 +107,14 @@ def op9_html_extraction(spark, sf_dir):
     return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
 
 
+@query
+def op11_suffix_dedup(spark, sf_dir):
+    found = suffix_dedup.dedup_bytes(read_table(spark, sf_dir, "documents"), keep="none")
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.coalesce(F.sha2("kept", 256), F.col("text_sha256")).alias("kept_sha256"),
+    )
+
+
 @query
 def op12_lexical_search(spark, sf_dir):
     return lexical_search.rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewscope.llm import chat_format, collocations, lexical_search, secret_scan
+from reviewscope.llm import chat_format, collocations, lexical_search, secret_scan, suffix_dedup
 
 
 def _quote(value: str) -> str:
@@ -109,3 +109,27 @@ select lang, rank, phrase, a, l, r, n, score
 from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from best) join totals using (lang)
 where rank <= {collocations.TOP}
 """
+
+
+_LENGTH = suffix_dedup.LENGTH
+# Byte strings as hexadecimal digits, two a byte.
+SUFFIXES_SQL = f"""
+with d as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+windows as (select r, i, md5(substr(h, 2 * i + 1, {2 * _LENGTH})) as w from (select r, h, unnest(range(0, len(h) // 2 - {_LENGTH - 1})) as i from d)),
+gone as (select r, i from windows join (select w from windows group by w having count(*) > 1) using (w)),
+spans as (
+  select r, min(i) as a, max(i) + {_LENGTH} as b
+  from (select r, i, sum(new::int) over (partition by r order by i) as span
+        from (select r, i, coalesce(i > lag(i) over (partition by r order by i) + {_LENGTH}, true) as new from gone))
+  group by r, span),
+stays as (
+  select r, h, a, b, substr(h, 2 * lag(b, 1, 0) over (partition by r order by a) + 1, 2 * (a - lag(b, 1, 0) over (partition by r order by a))) as part
+  from spans join d using (r)),
+cut as (
+  select r, count(*) as n_spans, sum(b - a)::bigint as n_removed,
+         string_agg(part, '' order by a) || substr(any_value(h), 2 * max(b) + 1) as kept
+  from stays group by r)
+select doc_id, (len(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(coalesce(kept, h))) as kept_sha256
+from d left join cut using (r)
+"""
