@@ -8,11 +8,11 @@ rows come in the order of their keys.
    least hash (the leftmost of several). Equal windows have equal anchors at equal offsets,
    so windows are gathered by their anchor: consecutive windows with one anchor are a segment,
    and only segments whose anchor occurs twice matter.
-2. Groups: equal segments of an anchor are counted and known by their first and last place.
-   A group of more than ``GROUP_SEGMENTS`` different segments is split by what more its
-   windows have in common: the anchor with a fixed stretch around it, longer in every round,
-   at last the whole window. So a passage that a third of all documents share is one segment
-   inside and falls apart at its edges, where the documents differ.
+2. Groups: equal segments of an anchor are counted and known by their first and last place;
+   one of them fetches the bytes. A group of more than ``GROUP_SEGMENTS`` different segments is
+   split by what more its windows have in common: the anchor with a fixed stretch around it,
+   longer in every round, at last the whole window. So a passage that a third of all documents
+   share is one segment inside and falls apart at its edges, where the documents differ.
 3. Shards of about ``SHARD_BYTES`` hold whole groups. A shard sorts its suffixes by prefix
    doubling, to the depth of a window, equal ones by place. A segment that occurs more than
    once takes part at its first and at its last place.
@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import cache, reduce
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -53,12 +53,14 @@ CHUNK_BYTES = 1 << 20
 GROUP_SEGMENTS = 1024
 SPLIT = 4
 SHARD_BYTES = 1 << 21
+LOOKUP_ROWS = 20_000
 NO_ID = 1 << 63
 OFFSETS = 1 << 31
 
 INTS, LONGS = ArrayType(IntegerType()), ArrayType(LongType())
 SEGMENTS = StructType([StructField(c, INTS) for c in ("lo", "n", "q")] + [StructField(c, LONGS) for c in ("core", "c")])
-PIECES = ArrayType(StructType([StructField(c, IntegerType()) for c in ("lo", "n", "q")] + [StructField(c, LongType()) for c in ("core", "c")]))
+PIECE = ("lo", "n", "q", "core", "c")
+PIECES = ArrayType(StructType([StructField(c, IntegerType()) for c in PIECE[:3]] + [StructField(c, LongType()) for c in PIECE[3:]]))
 CUT = StructType([StructField("kept", BinaryType()), StructField("n_removed", LongType()), StructField("n_spans", LongType())])
 SPANS = "array<struct<a int, b int>>"
 
@@ -143,28 +145,23 @@ def _finder(length: int, gram: int):
     return find
 
 
-def pieces(data: bytes, lo: int, n: int, q: int, width: int, length: int) -> Iterator[tuple[int, int, int, int, int]]:
+def pieces(data: bytes, n: int, q: int, width: int, length: int) -> Iterator[tuple[int, int, int, int, int]]:
     """A segment cut by ``width`` offsets of its anchor: windows of one piece have length - width + 1 bytes in common."""
-    hashes = Hashes(np.frombuffer(data, np.uint8, n + length - 1, lo))
-    for j in range((q - lo - n + 1) // width, (q - lo) // width + 1):
-        first, last = max(lo, q - (j + 1) * width + 1), min(lo + n - 1, q - j * width)
-        common = q - j * width - lo, q - (j + 1) * width + 1 + length - lo
-        core = hashes.of(np.array([common[0]]), np.array([common[1]]), j * length + width)
-        content = hashes.of(np.array([first - lo]), np.array([last - lo + length]), last - first + 1)
-        yield first, last - first + 1, q, int(core.view(np.int64)[0]), int(content.view(np.int64)[0])
+    hashes = Hashes(np.frombuffer(data, np.uint8))
+    for j in range((q - n + 1) // width, q // width + 1):
+        first, last = max(0, q - (j + 1) * width + 1), min(n - 1, q - j * width)
+        core = hashes.of(np.array([q - j * width]), np.array([q - (j + 1) * width + 1 + length]), j * length + width)
+        content = hashes.of(np.array([first]), np.array([last + length]), last - first + 1)
+        yield first, last - first + 1, q - first, int(core.view(np.int64)[0]), int(content.view(np.int64)[0])
 
 
 def _splitter(width: int, length: int):
     @F.arrow_udf(PIECES)
-    def split(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def split(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         kind = pa.list_(pa.struct([(c, pa.int32()) for c in ("lo", "n", "q")] + [(c, pa.int64()) for c in ("core", "c")]))
-        for texts, found in batches:
-            out = []
-            for text, mine in zip(texts, found):
-                data = text.as_py()
-                cut = [p for s in mine.as_py() for p in pieces(data, s["lo"], s["n"], s["q"], width, length)]
-                out.append([dict(zip(("lo", "n", "q", "core", "c"), p)) for p in cut])
-            yield pa.array(out, kind)
+        for contents, sizes, anchors in batches:
+            rows = zip(contents.to_pylist(), sizes.to_pylist(), anchors.to_pylist())
+            yield pa.array([[dict(zip(PIECE, p)) for p in pieces(data, n, q, width, length)] for data, n, q in rows], kind)
 
     return split
 
@@ -183,23 +180,23 @@ def prefix_ranks(flat: np.ndarray, depth: int) -> list[tuple[int, np.ndarray]]:
     key = np.zeros(n, np.uint64)
     for i in range(d):
         key = (key << np.uint64(8)) | padded[i:i + n]
-    rank, held = np.zeros(n, np.int64), np.arange(n)
+    rank, held = np.zeros(n + 1, np.int32), np.arange(n)
     levels = []
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key, held = key[order], held[order]
-        index = np.arange(len(held))
         new, group = _changes(key), rank[held]
-        first = _changes(group)
+        # Numbers of the first of equal keys, and of the first of the group that they split.
+        sub, whole = np.flatnonzero(new), np.flatnonzero(_changes(group))
         rank = rank.copy()
-        rank[held] = group + np.maximum.accumulate(np.where(new, index, 0)) - np.maximum.accumulate(np.where(first, index, 0))
-        levels.append((d, rank.astype(np.int32)))
+        rank[held] = group + np.repeat(sub, np.diff(np.append(sub, len(held)))) - np.repeat(whole, np.diff(np.append(whole, len(held))))
+        levels.append((d, rank[:n]))
         if d >= depth:
             return levels
         step = min(d, depth - d)
         held = held[~(new & np.append(new[1:], True)[:len(new)])]
-        after = np.where(held + step < n, rank[np.minimum(held + step, n - 1)] + 1, 0)
-        key = (rank[held].astype(np.uint64) << np.uint64(32)) | after.astype(np.uint64)
+        after = rank[np.minimum(held + step, n)].astype(np.uint64) + (held + step < n)
+        key = (rank[held].astype(np.uint64) << np.uint64(32)) | after
         d += step
 
 
@@ -241,10 +238,13 @@ def previous_smaller(values: np.ndarray) -> np.ndarray:
     return before
 
 
-def longest_previous(flat: np.ndarray, levels: list[tuple[int, np.ndarray]], at: np.ndarray, suffixes: np.ndarray, places: np.ndarray) -> np.ndarray:
+def longest_previous(
+    flat: np.ndarray, levels: list[tuple[int, np.ndarray]], at: np.ndarray, suffixes: np.ndarray, places: np.ndarray, whole: bool = False,
+) -> np.ndarray:
     """Longest match of each suffix with one of a smaller place, at most the depth of the ranks.
 
     ``at`` is where suffixes start, ``suffixes`` their numbers in suffix order, ``places`` their places in that order.
+    With ``whole``, matches that do not reach the depth count as 0 and need no search for their length.
     """
     n = len(suffixes)
     out = np.zeros(n, np.int64)
@@ -252,7 +252,12 @@ def longest_previous(flat: np.ndarray, levels: list[tuple[int, np.ndarray]], at:
     after = n - 1 - previous_smaller(places[::-1])[::-1]
     for near in (before, after):
         has = np.flatnonzero((near >= 0) & (near < n))
-        length = common_length(flat, levels, at[suffixes[has]], at[suffixes[near[has]]])
+        a, b = at[suffixes[has]], at[suffixes[near[has]]]
+        if whole:
+            depth, rank = levels[-1]
+            length = np.where(rank[a] == rank[b], depth, 0)
+        else:
+            length = common_length(flat, levels, a, b)
         out[suffixes[has]] = np.maximum(out[suffixes[has]], length)
     return out
 
@@ -294,10 +299,10 @@ def _shard(length: int, keep: str):
         at = np.repeat(bases[content[order]], sizes) + offsets
 
         levels = prefix_ranks(flat, length)
-        suffixes = np.argsort(levels[-1][1][at], kind="stable")
-        gone = longest_previous(flat, levels, at, suffixes, suffixes) >= length
+        suffixes = np.argsort((levels[-1][1][at].astype(np.int64) << 32) | np.arange(len(at)))
+        gone = longest_previous(flat, levels, at, suffixes, suffixes, whole=True) >= length
         if keep == "none":
-            gone |= longest_previous(flat, levels, at, suffixes, len(at) - 1 - suffixes) >= length
+            gone |= longest_previous(flat, levels, at, suffixes, len(at) - 1 - suffixes, whole=True) >= length
 
         spans = _runs(gone, np.repeat(np.arange(len(order)), sizes), offsets, len(order))
         entry = np.empty(len(order), np.int64)
@@ -335,67 +340,84 @@ def _digits(column: Column) -> Column:
     return column.cast("decimal(38,0)")
 
 
-def _recurring(found: DataFrame) -> DataFrame:
+def _recurring(found: DataFrame, weight: str | None, spread_by: list[str]) -> DataFrame:
     """Segments whose core occurs at two places or more."""
-    cores = found.groupBy("core").agg(F.count("*").alias("times")).where("times > 1")
-    cores = materialize(cores.withColumn("known", F.lit(True)), "recurring-cores")
-    return lookup_join(found, cores, ["core"], "times", ["uid", "lo"]).where("known").drop("known")
+    cores = found.groupBy("core").agg(F.count("*").alias("rows"), (F.sum(weight) if weight else F.count("*")).alias("times")).where("times > 1")
+    cores = materialize(cores.select("core", "rows", F.lit(True).alias("known")), "recurring-cores")
+    return lookup_join(found, cores, ["core"], "rows", spread_by, small=LOOKUP_ROWS).where("known").drop("known")
 
 
 def _with_text(rows: DataFrame, lists: DataFrame) -> DataFrame:
     return rows.select("uid", "text").join(lists, "uid")
 
 
-def _verdicts(rows: DataFrame, distinct: DataFrame, length: int, keep: str) -> DataFrame:
-    """Spans of windows to remove, of each different segment at its first place and at all others."""
-    size = distinct.agg(F.coalesce(F.sum(F.col("n") + length), F.lit(0))).first()[0]
-    shards = max(1, math.ceil(size / SHARD_BYTES))
+def _contents(rows: DataFrame, distinct: DataFrame, length: int) -> DataFrame:
+    """The different segments with their bytes, read at one place of each."""
     uid, lo = F.expr(f"rep div {OFFSETS}").cast("long"), F.expr(f"rep % {OFFSETS}").cast("int")
-    lists = distinct.select(uid.alias("uid"), F.struct(lo.alias("lo"), "n", "core", "c", "weight", "first", "last").alias("s"))
-    held = _with_text(rows, lists.groupBy("uid").agg(F.collect_list("s").alias("s")))
-    texts = held.select(F.explode(F.transform("s", lambda s: F.struct(
-        F.pmod(F.xxhash64(s["core"]), F.lit(shards)).alias("shard"), s["core"].alias("core"), s["c"].alias("c"), s["weight"].alias("weight"),
-        s["first"].alias("first"), s["last"].alias("last"),
-        F.substr("text", s["lo"] + 1, s["n"] + (length - 1)).alias("content"),
+    kept = ("n", "q", "core", "c", "weight", "first", "last")
+    lists = distinct.select(uid.alias("uid"), F.struct(lo.alias("lo"), *kept).alias("s")).groupBy("uid").agg(F.collect_list("s").alias("s"))
+    return _with_text(rows, lists).select(F.explode(F.transform("s", lambda s: F.struct(
+        *[s[c].alias(c) for c in kept], F.substr("text", s["lo"] + 1, s["n"] + (length - 1)).alias("content"),
     ))).alias("s")).select("s.*")
+
+
+def _moved(spans: Column, by: Column | str) -> Column:
+    shift = F.col(by) if isinstance(by, str) else by
+    return F.transform(spans, lambda s: F.struct((s["a"] + shift).alias("a"), (s["b"] + shift).alias("b")))
+
+
+def _verdicts(pool: DataFrame, width: int, length: int, keep: str) -> DataFrame:
+    """Windows to remove (core, c, weight, first, first_spans, rest_spans) of each different segment, at its first place and at all others."""
+    groups = pool.groupBy("core").agg(F.count("*").alias("different"), F.sum("weight").alias("times"), F.sum(F.octet_length("content")).alias("size"))
+    groups = materialize(groups, "groups")
+    crowded = F.col("different") > (GROUP_SEGMENTS if width > 1 else 1 << 62)
+    large = groups.where(crowded).select("core", F.col("different").alias("rows"), F.lit(True).alias("large"))
+    split, size = groups.agg(F.count_if(crowded), F.coalesce(F.sum(F.when(~crowded, F.col("size"))), F.lit(0))).first()
+    marked = lookup_join(pool, large, ["core"], "rows", ["c"], small=LOOKUP_ROWS) if split else pool.withColumn("large", F.lit(None).cast("boolean"))
+    shard = F.pmod(F.xxhash64("core"), F.lit(max(1, math.ceil(size / SHARD_BYTES))))
+    small = marked.where("large is null").select(shard.alias("shard"), "core", "c", "weight", "first", "last", "content")
     out = f"core long, c long, weight long, first decimal(38,0), first_spans {SPANS}, rest_spans {SPANS}"
-    return texts.groupBy("shard").applyInArrow(_shard(length, keep), out)
+    verdicts = small.groupBy("shard").applyInArrow(_shard(length, keep), out)
+    if not split:
+        return materialize(verdicts, "verdicts")
+
+    width = math.ceil(width / SPLIT)
+    parent = [F.col(c).alias(f"of_{c}") for c in ("core", "c", "weight", "first", "last")]
+    cut = marked.where("large").select(*parent, "content", F.explode(_splitter(width, length)("content", "n", "q")).alias("p"))
+    cut = cut.select(*[f"of_{c}" for c in ("core", "c", "weight", "first", "last")], "p.*", F.substr("content", F.col("p.lo") + 1, F.col("p.n") + (length - 1)).alias("content"))
+    cut = materialize(cut, "pieces")
+    moved = (F.col("of_first") + F.col("lo")).cast("decimal(38,0)"), (F.col("of_last") + F.col("lo")).cast("decimal(38,0)")
+    below = cut.groupBy("core", "c", "content").agg(
+        F.min("n").alias("n"), F.min("q").alias("q"), F.sum("of_weight").alias("weight"), F.min(moved[0]).alias("first"), F.max(moved[1]).alias("last"),
+    )
+    below = materialize(_recurring(materialize(below, "different-pieces"), "weight", ["c"]), "different-pieces")
+    told = lookup_join(cut.drop("content", "n", "q"), _verdicts(below, width, length, keep), ["core", "c"], "weight", ["of_core", "of_c", "lo"], small=LOOKUP_ROWS).where("first is not null")
+    own = F.when(moved[0] == F.col("first"), F.col("first_spans")).otherwise(F.col("rest_spans"))
+    of_parents = told.groupBy("of_core", "of_c").agg(
+        F.min("of_weight").alias("weight"), F.min("of_first").alias("first"),
+        F.flatten(F.collect_list(_moved(own, "lo"))).alias("first_spans"), F.flatten(F.collect_list(_moved(F.col("rest_spans"), "lo"))).alias("rest_spans"),
+    ).withColumnsRenamed({"of_core": "core", "of_c": "c"})
+    return materialize(verdicts.unionByName(of_parents), "verdicts")
 
 
 def removed_spans(rows: DataFrame, length: int, gram: int, keep: str) -> DataFrame:
     """(uid, spans): stretches of bytes to remove, overlapping where windows do."""
-    kinds = ("lo", "n", "q", "core", "c")
-    found = rows.select("uid", "key", F.explode(F.arrays_zip(*[F.col(f"s.{c}").alias(c) for c in kinds])).alias("x")).select("uid", "key", *[F.col(f"x.{c}").alias(c) for c in kinds])
+    found = rows.select("uid", "key", F.explode(F.arrays_zip(*[F.col(f"s.{c}").alias(c) for c in PIECE])).alias("x")).select("uid", "key", *[F.col(f"x.{c}").alias(c) for c in PIECE])
     order = F.coalesce(_digits(F.col("key")), _digits(F.lit(str(NO_ID))) + F.col("uid"))
-    found = found.select("uid", *kinds, (order * OFFSETS + F.col("lo")).cast("decimal(38,0)").alias("place"))
-    found = materialize(_recurring(found), "segments")
-    width, spans = length - gram + 1, []
-    while True:
-        distinct = found.groupBy("core", "c").agg(
-            F.first("n").alias("n"), F.count("*").alias("weight"), F.min("place").alias("first"), F.max("place").alias("last"),
-            F.min((_digits(F.col("uid")) * OFFSETS + F.col("lo")).cast("decimal(38,0)")).alias("rep"),
-        )
-        distinct = materialize(distinct, "different-segments")
-        large = distinct.groupBy("core").agg(F.count("*").alias("different"), F.sum("weight").alias("times"))
-        large = materialize(large.where(F.col("different") > (GROUP_SEGMENTS if width > 1 else 1 << 62)).select("core", "times", F.lit(True).alias("large")), "large-groups")
-        again = large.count() > 0
-        small = lookup_join(distinct, large, ["core"], "times", ["rep"]).where("large is null").drop("large") if again else distinct
-        verdicts = materialize(_verdicts(rows, small, length, keep), "verdicts")
-        told = lookup_join(found, verdicts, ["core", "c"], "weight", ["uid", "lo"]).where("first is not null")
-        own = F.when(F.col("place") == F.col("first"), F.col("first_spans")).otherwise(F.col("rest_spans"))
-        lo = F.col("lo")
-        spans.append(told.select("uid", F.transform(own, lambda s: F.struct((lo + s["a"]).alias("a"), (lo + s["b"] + (length - 1)).alias("b"))).alias("spans")).where(F.size("spans") > 0))
-        if not again:
-            break
-        width = math.ceil(width / SPLIT)
-        hot = lookup_join(found, large, ["core"], "times", ["uid", "lo"]).where("large")
-        # A piece's place is its segment's, moved on by as much as the piece starts later.
-        lists = hot.groupBy("uid").agg(F.collect_list(F.struct("lo", "n", "q")).alias("mine"), F.first(F.col("place") - F.col("lo")).alias("start"))
-        cut = _with_text(rows, lists).select("uid", "start", F.explode(_splitter(width, length)(F.col("text"), F.col("mine"))).alias("p"))
-        cut = materialize(cut.select("uid", "p.*", (F.col("start") + F.col("p.lo")).cast("decimal(38,0)").alias("place")), "pieces")
-        found = materialize(_recurring(cut), "segments")
-    every = reduce(DataFrame.unionByName, spans)
-    return every.groupBy("uid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    place = (order * OFFSETS + F.col("lo")).cast("decimal(38,0)").alias("place")
+    found = materialize(_recurring(found, None, ["uid", "lo"]).select("uid", *PIECE, place), "segments")
+    distinct = found.groupBy("core", "c").agg(
+        F.min("n").alias("n"), F.min(F.col("q") - F.col("lo")).alias("q"), F.count("*").alias("weight"),
+        F.min("place").alias("first"), F.max("place").alias("last"),
+        F.min((_digits(F.col("uid")) * OFFSETS + F.col("lo")).cast("decimal(38,0)")).alias("rep"),
+    )
+    pool = materialize(_contents(rows, distinct, length), "contents")
+    verdicts = _verdicts(pool, length - gram + 1, length, keep)
+    told = lookup_join(found, verdicts, ["core", "c"], "weight", ["uid", "lo"], small=LOOKUP_ROWS).where("first is not null")
+    own = F.when(F.col("place") == F.col("first"), F.col("first_spans")).otherwise(F.col("rest_spans"))
+    lo = F.col("lo")
+    bytes_of = F.transform(own, lambda s: F.struct((lo + s["a"]).alias("a"), (lo + s["b"] + (length - 1)).alias("b")))
+    return told.select("uid", bytes_of.alias("spans")).where(F.size("spans") > 0).groupBy("uid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def dedup_bytes(
