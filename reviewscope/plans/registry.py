@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewscope.functions import calendar, cleaning, numbers, text
-from reviewscope.models import frames, recommender, sentiment, trees, tuning
+from reviewscope.models import best_items, factors, frames, recommender, sentiment, trees, tuning
 from reviewscope.operators import encode, evaluate, slices, summarize, words
 from reviewscope.plans import prepare
 from reviewscope.plans.standin import (
@@ -471,6 +471,45 @@ def als_top_items(spark, sf_dir):
     )
 
 
+def _heavy_ratings(spark, sf_dir) -> DataFrame:
+    """Ratings of which one user gives a third."""
+    rated = frames.rating_frame(ratings(spark, sf_dir), "review_id")
+    heavy = F.when(F.col("review_id") % 3 == 0, 0).otherwise(F.col("user_id"))
+    return rated.withColumn("user_id", heavy)
+
+
+SMALL_MODEL = {"rank": 3, "iterations": 2, "reg": 0.1}
+
+
+def _heavy_model(spark, sf_dir) -> factors.FactorModel:
+    return factors.fit_factors(_heavy_ratings(spark, sf_dir), **SMALL_MODEL)
+
+
+def _shown_factors(side: str, table: DataFrame) -> DataFrame:
+    return table.select(F.lit(side).alias("side"), F.col("id").cast("bigint").alias("id"),
+                        *[F.round(c, 6).alias(c) for c in factors.factor_columns(SMALL_MODEL["rank"])])
+
+
+@query
+def als_factors(spark, sf_dir):
+    model = _heavy_model(spark, sf_dir)
+    return _shown_factors("user", model.users).unionByName(_shown_factors("business", model.items))
+
+
+@query
+def als_scores(spark, sf_dir):
+    train, test = slices.train_test(_heavy_ratings(spark, sf_dir), "review_id")
+    model = factors.fit_factors(train, **SMALL_MODEL)
+    scored = factors.score_pairs(model, test.select("review_id", "user_id", "business_id", "trueLabel"))
+    return scored.select("review_id", "trueLabel", F.round("prediction", 6).alias("prediction"))
+
+
+@query
+def als_best_items(spark, sf_dir):
+    found = best_items.best_items(_heavy_model(spark, sf_dir), 5, first_band=64).table
+    return found.select("user_id", F.col("business_id").cast("bigint").alias("business_id"), "rank", F.round("score", 6).alias("score"))
+
+
 def _coverage(model, test: DataFrame) -> dict:
     row = evaluate.rating_report(recommender.score_all(model, test)).first()
     return {"n_rows": row["n_rows"], "n_scored": row["n_scored"]}

@@ -218,6 +218,46 @@ select doc_id, length, case when length <= cut then (2 * pl > nl)::int::double e
        label as "trueLabel"
 from d, best where not training"""
 
+HEAVY_SQL = f"""
+select review_id, case when review_id % 3 = 0 then 0 else user_id end as user_id, business_id,
+       case when stars > 2 then 1.0::double else 0.0::double end as label from ({RATINGS_SQL})"""
+
+
+def _start_factors(rank: int, seed: int = 42) -> str:
+    digits = [f"('0x' || substr(md5(id::varchar || ':{i}:{seed}'), 1, 8))::bigint / 4294967296.0::double as f_{i}" for i in range(rank)]
+    return f"select id, {', '.join(digits)} from (select distinct user_id as id from rated)"
+
+
+def _half_step(solve_for: str, known: str, factors: str, rank: int, reg: float) -> str:
+    """One side's factors by Gaussian elimination on the augmented normal equations, one column a sub-query."""
+    def cell(i: int, j: int) -> str:
+        return f"a_{i}_{j}"
+
+    cells = [f"sum(f_{i} * f_{j}) + {reg if i == j else 0} * count(*) as {cell(i, j)}" for i in range(rank) for j in range(rank)]
+    cells += [f"sum(f_{i} * label) as {cell(i, rank)}" for i in range(rank)]
+    step = f"select {solve_for} as id, {', '.join(cells)} from rated join {factors} k on k.id = {known} group by {solve_for}"
+    for p in range(rank):
+        row = {j: f"{cell(p, j)} / {cell(p, p)}" for j in range(rank + 1)}
+        cells = [
+            f"{row[j]} as {cell(p, j)}" if i == p else f"{cell(i, j)} - {cell(i, p)} * ({row[j]}) as {cell(i, j)}"
+            for i in range(rank) for j in range(rank + 1)
+        ]
+        step = f"select id, {', '.join(cells)} from ({step})"
+    return f"select id, {', '.join(f'{cell(i, rank)} as f_{i}' for i in range(rank))} from ({step})"
+
+
+def _factors(rows: str, rank: int = 3, iterations: int = 2, reg: float = 0.1) -> str:
+    """CTEs up to ``users`` and ``items``, the factors of both sides."""
+    parts = [f"rated as materialized ({rows})", f"u0 as materialized ({_start_factors(rank)})"]
+    for i in range(iterations):
+        parts.append(f"i{i + 1} as materialized ({_half_step('business_id', 'user_id', f'u{i}', rank, reg)})")
+        parts.append(f"u{i + 1} as materialized ({_half_step('user_id', 'business_id', f'i{i + 1}', rank, reg)})")
+    return f"with {', '.join(parts)}, users as (select * from u{iterations}), items as (select * from i{iterations})"
+
+
+_PRODUCT = "u.f_0 * i.f_0 + u.f_1 * i.f_1 + u.f_2 * i.f_2"
+_SHOWN = ", ".join(f"round(f_{i}, 6) as f_{i}" for i in range(3))
+
 ORACLE_SQL = {
     "scan_csv_reviews": CLEAN_ROWS_SQL,
     "scan_csv_infer": PLAIN_RATINGS_SQL,
@@ -350,6 +390,18 @@ from ({RATINGS_SQL}) where not {TRAINING} group by 1""",
 select user_id, least(5, (select count(distinct business_id) from ({RATINGS_SQL})))::bigint as n_items, 1 as first_rank,
        least(5, (select count(distinct business_id) from ({RATINGS_SQL})))::int as last_rank
 from ({RATINGS_SQL}) group by user_id""",
+    "als_factors": f"""
+{_factors(HEAVY_SQL)}
+select 'user' as side, id, {_SHOWN} from users union all select 'business', id, {_SHOWN} from items""",
+    "als_scores": f"""
+{_factors(f"select * from ({HEAVY_SQL}) where {TRAINING}")}
+select t.review_id, t.label as "trueLabel", round({_PRODUCT}, 6) as prediction
+from ({HEAVY_SQL}) t left join users u on u.id = t.user_id left join items i on i.id = t.business_id where not {TRAINING.replace('review_id', 't.review_id')}""",
+    "als_best_items": f"""
+{_factors(HEAVY_SQL)}
+select user_id, business_id, rank::int as rank, round(score, 6) as score from (
+  select *, row_number() over (partition by user_id order by score desc, business_id) as rank
+  from (select u.id as user_id, i.id as business_id, {_PRODUCT} as score from users u, items i)) where rank <= 5""",
     "als_tuned": _grid(ALS_GRID, SCORED_COUNTS),
     "als_tuned_cv": _grid(ALS_GRID, SCORED_COUNTS),
     "dt_tuned_tvs": _grid(TREE_GRID, _judged(ID_TEST)),
