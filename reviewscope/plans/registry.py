@@ -4,21 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.feature import HashingTF, StopWordsRemover, Tokenizer
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import StopWordsRemover, Tokenizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewscope.functions import calendar, cleaning, numbers, text
-from reviewscope.models import best_items, factors, frames, recommender, sentiment, trees, tuning
+from reviewscope.models import best_items, factors, frames, recommender, sentiment, sparse_logistic, trees, tuning
 from reviewscope.operators import encode, evaluate, slices, summarize, words
 from reviewscope.plans import prepare
 from reviewscope.plans.standin import (
     dated, labelled_texts, ratings, raw_reviews, reviews, rule_scored, table, texts,
 )
 from reviewscope.schema import ENCODED_REVIEWS, ID_COLUMNS, RATINGS, VOTE_COLUMNS
-from reviewscope.session import scratch_path
+from reviewscope.session import materialize, scratch_path
 from reviewscope.sources import (
-    enforce_schema, load_reviews, read_csv_reviews, read_csv_typed, scan_table, write_csv, write_parquet,
+    enforce_schema, load_reviews, read_csv_reviews, read_csv_split, read_csv_typed, scan_table, write_csv, write_parquet,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +49,13 @@ def scan_csv_reviews(spark, sf_dir):
     return _digest(dated(cleaning.clean_reviews(read_csv_reviews(spark, path))))
 
 
+@query
+def scan_csv_split(spark, sf_dir):
+    path = scratch_path(spark, "raw", ".csv")
+    write_csv(raw_reviews(spark, sf_dir), path)
+    return _digest(dated(cleaning.clean_reviews(read_csv_split(spark, path))))
+
+
 @query
 def scan_csv_infer(spark, sf_dir):
     path = scratch_path(spark, "ratings", ".csv")
@@ -339,12 +347,16 @@ def ml_stopwords(spark, sf_dir):
     return _shown_tokens(_ml_kept(spark, sf_dir), "kept")
 
 
+def _ml_hashed(documents: DataFrame) -> DataFrame:
+    """``documents`` with the (bucket, weight) entries of their hashed terms as ``entries``."""
+    hashed = PipelineModel(stages=sentiment.text_stages()).transform(documents)
+    return hashed.withColumn("entries", sentiment.sparse_entries(F.col(sentiment.FEATURES)))
+
+
 @query
 def ml_hashing_tf(spark, sf_dir):
-    hashed = HashingTF(inputCol="kept", outputCol="features").transform(_ml_kept(spark, sf_dir))
-    entries = hashed.select("doc_id", sentiment.sparse_entries(F.col("features")).alias("e"))
-    total = F.aggregate("e.weight", F.lit(0.0), lambda a, w: a + w)
-    return entries.select("doc_id", total.alias("n_words"))
+    entries = _ml_hashed(texts(spark, sf_dir)).select("doc_id", F.explode("entries").alias("e"))
+    return entries.select("doc_id", "e.bucket", "e.weight")
 
 
 # --- sampling and features -------------------------------------------------
@@ -353,7 +365,10 @@ def ml_hashing_tf(spark, sf_dir):
 def random_split(spark, sf_dir):
     rows = ratings(spark, sf_dir).select("review_id")
     parts = slices.random_split(rows, "review_id", [0.7, 0.3], seed=trees.SEED)
-    return parts[0].unionByName(parts[1]).groupBy("review_id").agg(F.count("*").alias("n_parts"))
+    whole = parts[0].withColumn("first", F.lit(1)).unionByName(parts[1].withColumn("first", F.lit(0)))
+    n, first = whole.agg(F.count("*")).scalar(), whole.agg(F.sum("first")).scalar()
+    expected = F.abs(first - 0.7 * n) <= 5 * F.sqrt(0.21 * n)  # five standard deviations of the drawn share
+    return whole.groupBy("review_id").agg(F.count("*").alias("n_parts")).withColumn("share_expected", expected)
 
 
 @query
@@ -417,6 +432,14 @@ def lr_sentiment(spark, sf_dir):
     return _judged_frame(spark, sentiment.fit_sentiment(train, "doc_id").transform(test))
 
 
+@query
+def lr_gradient_steps(spark, sf_dir):
+    rows = materialize(_ml_hashed(labelled_texts(spark, sf_dir)).select(*sparse_logistic.entry_rows(F.col("entries"), "doc_id", "label")), "hashed-texts")
+    train, test = slices.train_test(rows, "doc_id")
+    judge = sparse_logistic.probability(spark, sparse_logistic.fit_steps(train, steps=3, rate=0.01, reg=0.01))
+    return test.select("doc_id", "trueLabel", F.round(judge("buckets", "weights"), 6).alias("probability"))
+
+
 @query
 def dt_classify(spark, sf_dir):
     train, test = _id_parts(spark, sf_dir)

@@ -218,6 +218,61 @@ select doc_id, length, case when length <= cut then (2 * pl > nl)::int::double e
        label as "trueLabel"
 from d, best where not training"""
 
+# MurmurHash3 for 32 bits over UTF-8, seed 42. Its multipliers and shifts.
+_WORD = 4294967296
+
+
+def _turned(value: str, bits: int) -> str:
+    return f"(({value}) * {1 << bits} % {_WORD} + ({value}) // {1 << 32 - bits})"
+
+
+def _stirred(value: str) -> str:
+    return f"({_turned(f'({value}) * 3432918353 % {_WORD}', 15)} * 461845907 % {_WORD})"
+
+
+def _little_endian(first: str, size: int) -> str:
+    digits = " || ".join(f"substr(x, 2 * ({first}) + {2 * i + 1}, 2)" for i in reversed(range(size)))
+    return f"('0x' || {digits})::ubigint"
+
+
+_TAIL = "case n % 4 " + " ".join(f"when {i} then {_stirred(_little_endian('n - n % 4', i))}" for i in (1, 2, 3)) + " else 0::ubigint end"
+HASHED_SQL = f"""
+with words as (select doc_id, unnest({ML_KEPT}) as word from documents),
+spelled as (select word, hex(encode(word)) as x, octet_length(encode(word))::bigint as n from (select distinct word from words)),
+blocks as (
+  select word, n, {_TAIL} as tail,
+         list_prepend(42::ubigint, list_transform(range(0, n // 4), lambda i: {_stirred(_little_endian('4 * i', 4))})) as k from spelled),
+body as (select word, n, tail, list_reduce(k, lambda h, b: ({_turned('xor(h, b)', 13)} * 5 + 3864292196) % {_WORD}) as h from blocks),
+h1 as (select word, xor(xor(h, tail), n::ubigint) as h from body),
+h2 as (select word, xor(h, h // 65536) * 2246822507 % {_WORD} as h from h1),
+h3 as (select word, xor(h, h // 8192) * 3266489909 % {_WORD} as h from h2),
+buckets as (select word, (xor(h, h // 65536) % 262144)::int as bucket from h3),
+entries as materialized (select doc_id, bucket, count(*)::double as weight from words join buckets using (word) group by doc_id, bucket)"""
+
+
+def _gradient_steps(steps: int, rate: float, reg: float) -> str:
+    """Steps on hashed terms of the training texts, then probabilities of the others."""
+    parts = [f"""
+labelled as materialized (select doc_id, quality::double as y, {TRAINING.replace('review_id', 'doc_id')} as training from labels join documents using (doc_id)),
+train as materialized (select e.* from entries e join labelled using (doc_id) where training),
+size as (select count(*)::double as n from labelled where training),
+spread as materialized (
+  select bucket, (sum(weight * weight) - sum(weight) * sum(weight) / any_value(n)) / (any_value(n) - 1) as v from train, size group by bucket),
+c0 as (select bucket, v, 0.0::double as w from spread where v > 0), b0 as (select 0.0::double as b)"""]
+    for i in range(steps):
+        parts.append(f"""
+r{i} as materialized (
+  select doc_id, 1 / (1 + exp(-(b + coalesce(m, 0)))) - y as r
+  from labelled left join (select doc_id, sum(w * weight) as m from train join c{i} using (bucket) group by doc_id) using (doc_id), b{i} where training),
+g{i} as (select bucket, sum(r * weight) / any_value(n) as g from train join r{i} using (doc_id), size group by bucket),
+c{i + 1} as materialized (select bucket, v, w - {rate} * (g + {reg} * v * w) / v as w from c{i} join g{i} using (bucket)),
+b{i + 1} as materialized (select b - {rate} * r as b from b{i}, (select avg(r) as r from r{i}))""")
+    return f"""{HASHED_SQL}, {', '.join(parts)}
+select doc_id, y as "trueLabel", round(1 / (1 + exp(-(b + coalesce(m, 0)))), 6) as probability
+from labelled left join (select doc_id, sum(w * weight) as m from entries join c{steps} using (bucket) group by doc_id) using (doc_id), b{steps}
+where not training"""
+
+
 HEAVY_SQL = f"""
 select review_id, case when review_id % 3 = 0 then 0 else user_id end as user_id, business_id,
        case when stars > 2 then 1.0::double else 0.0::double end as label from ({RATINGS_SQL})"""
@@ -260,6 +315,7 @@ _SHOWN = ", ".join(f"round(f_{i}, 6) as f_{i}" for i in range(3))
 
 ORACLE_SQL = {
     "scan_csv_reviews": CLEAN_ROWS_SQL,
+    "scan_csv_split": CLEAN_ROWS_SQL,
     "scan_csv_infer": PLAIN_RATINGS_SQL,
     "scan_table_sql": PLAIN_RATINGS_SQL,
     "schema_enforced_scan": f"""
@@ -356,7 +412,7 @@ from (select doc_id, t, unnest(range(1, len(t))) as place
       from (select doc_id, {CLEAN_TOKENS} as t from documents))""",
     "ml_tokenize": _token_query(ML_TOKENS),
     "ml_stopwords": _token_query(ML_KEPT, "kept"),
-    "ml_hashing_tf": f"select doc_id, len({ML_KEPT})::double as n_words from documents",
+    "ml_hashing_tf": f"{HASHED_SQL} select doc_id, bucket, weight from entries",
     "hash_split": f"""
 select review_id, case when {TRAINING} then 'train' else 'test' end as split from ({RATINGS_SQL})""",
     "assemble_features": f"""
@@ -378,8 +434,9 @@ union all select 'Recall', round(tp::double / (tp + fn), 9) from c"""),
     "rmse": f"""
 select round(sqrt(avg((n_chars / 3000.0::double - "trueLabel") * (n_chars / 3000.0::double - "trueLabel"))), 9) as rmse
 from ({SCORED_SQL})""",
-    "random_split": f"select review_id, 1::bigint as n_parts from ({RATINGS_SQL})",
+    "random_split": f"select review_id, 1::bigint as n_parts, true as share_expected from ({RATINGS_SQL})",
     "lr_sentiment": _judged(TEXT_TEST),
+    "lr_gradient_steps": _gradient_steps(3, 0.01, 0.01),
     **{name: _judged(ID_TEST) for name in ("dt_classify", "gbt_classify", "rf_binary")},
     "dt_stump": STUMP_SQL,
     "rf_multiclass": f"""
