@@ -8,13 +8,14 @@ similar. Candidates whose bitmaps differ by ``DEVIATIONS`` standard deviations m
 than those of a pair at the threshold are dropped, all others are confirmed on the
 full shingle sets.
 
-Within a bucket no pairs are listed wholesale. In each of ``LEADER_ROUNDS`` rounds
+Within a bucket no pairs are listed wholesale. In rounds, until one finds no link,
 every member of a bucket meets three leaders (the member that shares most buckets,
 and two that change with the round); each text is confirmed against the nearest
 leader outside its component, and confirmed links join components. Only members
 of different components that still share a bucket are then compared with each
 other, inside a join whose condition holds the sketch test, so a large group that
-has become one component adds nothing. With 32 bands of 4 rows a pair of
+has become one component adds nothing. A pair that shares several buckets is made in
+the bucket of its lowest common band only. With 32 bands of 4 rows a pair of
 similarity 0.8 is missed with probability 5e-8 and dropped by the sketches with
 about 3e-7. Sets far smaller than ``BINS`` are held almost whole by their samples,
 so for short texts the bitmaps tell nearly the exact difference.
@@ -22,7 +23,7 @@ so for short texts the bitmaps tell nearly the exact difference.
 Edge cases: a text without words is linked with nothing; texts equal up to letter
 case are one node; a NULL id belongs to its text's component and is never its
 smallest id (it is kept only where no row of the component has an id); rows with
-equal ids are the same document; an empty table gives no rows.
+equal ids are the same document, compared by the text whose checksum is least; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -47,7 +48,6 @@ SKETCH_WORDS = 32         # 2048 parity bits
 SHINGLE = 4
 THRESHOLD = 80            # per cent
 DEVIATIONS = 5.0          # of the bitmaps of a pair at the threshold
-LEADER_ROUNDS = 4
 CHUNK_TOKENS = 1 << 19
 SEEN = ("n", "sketch")
 NO_ID = 1 << 62           # nodes of texts without any id start here
@@ -218,6 +218,14 @@ def _regrouped(members: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(labelled.join(materialize(mixed.select("bucket"), "mixed"), "bucket"), "mixed-buckets")
 
 
+def _owned(rows: DataFrame, owners: DataFrame) -> DataFrame:
+    """The rows (key, same) of each node's own id and text, with the node; copies of a text under other ids stay where they are."""
+    keyed = rows.where("key is not null").join(
+        owners.where(F.col("node") < NO_ID).select("same", "node", F.col("node").alias("key")), ["same", "key"])
+    keyless = rows.where("key is null").dropDuplicates(["same"]).join(owners.where(F.col("node") >= NO_ID), "same")
+    return keyed.unionByName(keyless.select(keyed.columns))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: key, n_shingles, component_id (smallest id of the component) and kept."""
     rows = materialize(
@@ -228,36 +236,36 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     node = F.coalesce(F.min("key"), F.lit(NO_ID) + F.min(F.xxhash64("same").bitwiseAND(F.lit(NO_ID // 2 - 1))))
     classes = materialize(worded.groupBy("same").agg(node.alias("node"), F.min("key").alias("rep")), "classes")
     # A class is represented by the sketch of any of its rows: all are equal.
-    nodes = worded.join(classes, "same").where("key = node or (key is null and rep is null)").select("node", *SEEN, "bands")
-    nodes = materialize(nodes.dropDuplicates(["node"]), "nodes")
+    owners = materialize(classes.groupBy("node").agg(F.min("same").alias("same")), "owners")
+    nodes = materialize(_owned(worded, owners).select("node", *SEEN, "bands").dropDuplicates(["node"]), "nodes")
 
     every = nodes.select("node", F.explode("bands").alias("bucket"))
     crowded = every.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = materialize(every.join(materialize(crowded, "crowded"), "bucket").withColumn("component", F.col("node")), "members")
 
-    involved = members.select("node").distinct().join(classes.select("node", "same"), "node")
+    involved = owners.join(members.select("node").distinct(), "node")
     texts = docs.select(F.md5(_lowered(text)).alias("same"), F.col(key).alias("key"), F.col(text).alias("text"))
-    sets = (
-        texts.join(involved, "same").where(F.col("key").isNull() | (F.col("key") == F.col("node")))
-        .dropDuplicates(["same"]).select("node", _shingles(_tokens("text")).alias("shingles"))
-    )
+    sets = _owned(texts, involved).dropDuplicates(["node"]).select("node", _shingles(_tokens("text")).alias("shingles"))
     sets = materialize(sets, "shingle-sets")
 
-    links, open_members = None, members
-    for turn in range(LEADER_ROUNDS):
-        found = confirm(materialize(_leader_pairs(open_members, nodes, turn), "leader-pairs"), sets)
-        links = materialize(found if links is None else links.unionByName(found), "links")
-        open_members = _regrouped(open_members.select("bucket", "node"), links)
+    links, open_members, turn = None, members, 0
+    while True:
+        found = materialize(confirm(materialize(_leader_pairs(open_members, nodes, turn), "leader-pairs"), sets), "links")
+        links = found if links is None else links.unionByName(found)
+        if found.isEmpty():
+            break
+        open_members, turn = _regrouped(open_members.select("bucket", "node"), links), turn + 1
 
-    sketched = open_members.join(nodes.select("node", *SEEN), "node")
-    left, right = (sketched.select("bucket", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "component", *SEEN)]) for side in "ab")
+    sketched = open_members.join(nodes, "node")
+    left, right = (sketched.select("bucket", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "component", "bands", *SEEN)]) for side in "ab")
     pairs = (
         left.join(right, "bucket")
         .where(
             (F.col("a_node") < F.col("b_node")) & (F.col("a_component") != F.col("b_component"))
             & _sizes_fit("a_n", "b_n") & look_alike("a_", "b_")
+            & (F.get(F.array_intersect("a_bands", "b_bands"), F.lit(0)) == F.col("bucket"))
         )
-        .select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+        .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
     )
     links = links.unionByName(confirm(materialize(pairs, "pairs"), sets))
     component = connected_components(links)
