@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewscope.functions.calendar import DATE_FORMAT
+from reviewscope.operators.lookup import broadcast_if_small
 from reviewscope.schema import ID_COLUMNS, REVIEW_COLUMNS
 
 
@@ -65,7 +66,8 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with a 0/1 label that depends on them."""
-    return texts(spark, sf_dir).join(_labels(spark, sf_dir), "doc_id")
+    labels = _labels(spark, sf_dir)
+    return texts(spark, sf_dir).join(broadcast_if_small(labels, labels.count()), "doc_id")
 
 
 def rule_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
