@@ -22,7 +22,7 @@ so for short texts the bitmaps tell nearly the exact difference.
 
 Edge cases: a text without words is linked with nothing; texts equal up to letter
 case are one node; a NULL id belongs to its text's component and is never its
-smallest id (it is kept only where no row of the component has an id); rows with
+smallest id (where no row of the component has an id, the rows of one of its texts are kept); rows with
 equal ids are the same document, compared by the text whose checksum is least; an empty table gives no rows.
 """
 
@@ -158,6 +158,11 @@ def _lowered(text: str) -> Column:
     return F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, LOWER)
 
 
+def text_class(text: str) -> Column:
+    """What rows with one text, up to letter case, have in common."""
+    return F.md5(_lowered(text))
+
+
 def _tokens(text: str) -> Column:
     return F.transform(word_list(_lowered(text)), lambda w: F.xxhash64(w))
 
@@ -227,9 +232,9 @@ def _owned(rows: DataFrame, owners: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: key, n_shingles, component_id (smallest id of the component) and kept."""
+    """One row per input row: key, n_shingles, component_id (smallest id of the component), kept and text_class."""
     rows = materialize(
-        docs.select(F.col(key).alias("key"), F.md5(_lowered(text)).alias("same"), _sketch(_tokens(text)).alias("s"))
+        docs.select(F.col(key).alias("key"), text_class(text).alias("same"), _sketch(_tokens(text)).alias("s"))
         .select("key", "same", "s.*"), "sketches",
     )
     worded = rows.where("n > 0")
@@ -244,7 +249,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     members = materialize(every.join(materialize(crowded, "crowded"), "bucket").withColumn("component", F.col("node")), "members")
 
     involved = owners.join(members.select("node").distinct(), "node")
-    texts = docs.select(F.md5(_lowered(text)).alias("same"), F.col(key).alias("key"), F.col(text).alias("text"))
+    texts = docs.select(text_class(text).alias("same"), F.col(key).alias("key"), F.col(text).alias("text"))
     sets = _owned(texts, involved).dropDuplicates(["node"]).select("node", _shingles(_tokens("text")).alias("shingles"))
     sets = materialize(sets, "shingle-sets")
 
@@ -270,9 +275,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     links = links.unionByName(confirm(materialize(pairs, "pairs"), sets))
     component = connected_components(links)
 
-    labelled = classes.join(component, "node", "left").select("same", F.coalesce("component", "node").alias("component"))
+    labelled = classes.join(component, "node", "left").select("same", "node", F.coalesce("component", "node").alias("component"))
     out = rows.select("key", "same", F.col("n").alias("n_shingles")).join(labelled, "same", "left")
     smallest = F.when(F.col("n_shingles") == 0, F.col("key")).when(F.col("component") < NO_ID, F.col("component"))
-    return out.withColumn("component_id", smallest).select(
-        F.col("key").alias(key), "n_shingles", "component_id", F.col("key").eqNullSafe(F.col("component_id")).alias("kept"),
+    kept = F.when(F.col("component") >= NO_ID, F.col("node") == F.col("component")).otherwise(F.col("key").eqNullSafe(smallest))
+    return out.select(
+        F.col("key").alias(key), "n_shingles", smallest.alias("component_id"), kept.alias("kept"), F.col("same").alias("text_class"),
     )

@@ -90,7 +90,7 @@ def op10_quality_outliers(spark, sf_dir):
 
 @query
 def op7_near_dedup(spark, sf_dir):
-    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents")).drop("text_class")
 
 
 @query
