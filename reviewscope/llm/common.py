@@ -41,7 +41,7 @@ def list_parts(values: pa.Array, most: int) -> Iterator[tuple[np.ndarray, np.nda
     A NULL list is empty. A row longer than ``most`` is a run of its own.
     """
     lengths = pc.fill_null(pc.list_value_length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    flat = values.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    flat = values.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False).view(np.uint64)
     ends = np.cumsum(lengths)
     row = done = 0
     while row < len(lengths):

@@ -41,8 +41,8 @@ from reviewscope.session import materialize
 WINDOW = 13
 AGREE = 0.8
 BLOCK_TOKENS = 500_000
-CHUNK_TOKENS = 1 << 20
-VERIFIED_TOKENS = 1 << 21
+CHUNK_TOKENS = 1 << 17
+VERIFIED_TOKENS = 1 << 18
 RESULT = "struct<items:array<bigint>,agreed:int>"
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -96,15 +96,15 @@ class SeedTable:
                 place = np.concatenate([np.arange(len(h), dtype=np.int32) for h in parts])
                 order = np.argsort(hashes, kind="stable")
                 hashes = hashes[order]
-                present = np.zeros(1 << 22, bool)
-                present[(hashes & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
+                present = np.zeros(1 << 20, bool)
+                present[(hashes & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
                 self.by_mask.append((mask, hashes, owner[order], place[order], present))
 
     def hits(self, flat: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(document place, item, item place) of all equal seed hashes in a run of tokens, mask by mask, in parts of bounded size."""
         for mask, hashes, owner, place, present in self.by_mask:
             seeds = seed_hashes(flat, mask)
-            maybe = np.nonzero(present[(seeds & np.uint64((1 << 22) - 1)).astype(np.int64)])[0]
+            maybe = np.nonzero(present[(seeds & np.uint64((1 << 20) - 1)).astype(np.int64)])[0]
             low = np.searchsorted(hashes, seeds[maybe], "left")
             n = np.searchsorted(hashes, seeds[maybe], "right") - low
             ends = np.cumsum(n)

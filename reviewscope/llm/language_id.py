@@ -40,7 +40,7 @@ MARGIN = 1.0              # nats per character
 SLACK = 2.0
 SHARPNESS = 20.0          # of the score, per nat
 ALPHABET = 65_536         # for characters never seen
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 UNKNOWN = "und"
 RESULT = "struct<lang:string,score:double,entropy:double,n_letters:bigint,rejected:boolean>"
 

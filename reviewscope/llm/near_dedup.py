@@ -48,7 +48,7 @@ SKETCH_WORDS = 32         # 2048 parity bits
 SHINGLE = 4
 THRESHOLD = 80            # per cent
 DEVIATIONS = 5.0          # of the bitmaps of a pair at the threshold
-CHUNK_TOKENS = 1 << 19
+CHUNK_TOKENS = 1 << 17
 SEEN = ("n", "sketch")
 NO_ID = 1 << 62           # nodes of texts without any id start here
 LONGS = ArrayType(LongType())
@@ -78,7 +78,7 @@ def shingle_set(tokens: np.ndarray, size: int = SHINGLE) -> np.ndarray:
 _SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * _BASE)
 
 
-def minhashes(shingles: np.ndarray, block: int = 1 << 20) -> np.ndarray:
+def minhashes(shingles: np.ndarray, block: int = 1 << 18) -> np.ndarray:
     """BANDS * ROWS samples; long sets are folded in blocks."""
     out = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
     step = max(1, block // len(_SEEDS))
@@ -148,10 +148,11 @@ def _sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 @F.arrow_udf(LONGS)
 def _shingles(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        out = []
+        out = [np.empty(0, np.int64)]
         for flat, starts in list_parts(batch, CHUNK_TOKENS):
             out += [shingle_set(flat[a:b]).view(np.int64) for a, b in zip(starts[:-1], starts[1:])]
-        yield pa.array(out, pa.list_(pa.int64()))
+        ends = np.cumsum([len(x) for x in out])  # the first, empty part is the start
+        yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(out)))
 
 
 def _lowered(text: str) -> Column:
