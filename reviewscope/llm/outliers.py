@@ -227,14 +227,19 @@ def fit_mcd(rows: DataFrame, steps: int = STEPS) -> DataFrame:
 
 
 def judge_quality(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-    """Adds the statistics, ``base_failed``, ``d2`` (NULL where the base rule failed) and ``kept``."""
-    names = [c for c in docs.columns if c != "text"]
-    stats = materialize(text_statistics(docs).drop("text"), "text-statistics")
+    """Adds the statistics, ``base_failed``, ``d2`` (NULL where the base rule failed) and ``kept``.
+
+    Further columns pass through under any name, but for those named like an added one, which are replaced.
+    """
+    shown = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "d2"]
+    names = [c for c in docs.columns if c not in ("text", "kept", *shown)]
+    # The whole row beside what is computed on, so that no column clashes with its names.
+    packed = docs.select(F.struct(*names).alias("whole_row"), "text", "lang", "source")
+    stats = materialize(text_statistics(packed).drop("text"), "text-statistics")
     vectors = statistic_vectors(stats)
     fit_rows = materialize(vectors.where("not base_failed").select(*GROUP, *X), "vectors")
     estimates = materialize(fit_mcd(fit_rows), "mcd")
     judged = _with_distance(vectors, estimates, "left").withColumn("d2", F.when(~F.col("base_failed"), F.col("d2")))
-    shown = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "d2"]
     return judged.select(
-        *names, *shown, (~F.col("base_failed") & F.coalesce(F.col("d2") <= cutoff, F.lit(True))).alias("kept"),
+        *[F.col("whole_row")[c].alias(c) for c in names], *shown, (~F.col("base_failed") & F.coalesce(F.col("d2") <= cutoff, F.lit(True))).alias("kept"),
     )

@@ -77,3 +77,12 @@ def test_quantiles():
 def test_no_python_in_the_plans(docs_of):
     plan = ou.text_statistics(docs_of(["a"]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_columns_of_any_name_pass_through(docs_of, sentence):
+    rows = [(i, sentence(60 + i, i), "en", "s", 0, *[f"v{i}"] * 7) for i in range(12)]
+    names = ["kept", "middle", "_salt", "_words", "n_words", "x0", "whole_row"]
+    docs = docs_of(rows, "".join(f", {n} string" for n in names))
+    out = ou.judge_quality(docs).collect()
+    assert len(out) == 12 and all(type(r["kept"]) is bool and r["n_words"] == 60 + r["doc_id"] for r in out)
+    assert all(r[n] == f"v{r['doc_id']}" for r in out for n in ("middle", "_salt", "_words", "x0", "whole_row"))
