@@ -103,7 +103,8 @@ def op8_language_id(spark, sf_dir):
 
 @query
 def op9_html_extraction(spark, sf_dir):
-    found = html_extract.extract_pages(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_extract.extract_pages(pages, weights=html_extract.fit_weights(pages))
     return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
 
 

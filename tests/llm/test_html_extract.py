@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import pytest
 
@@ -22,6 +23,13 @@ P = "This is a sentence of the article that says something. "
     (f"<article><p>{P}</p><section id=comments><div class=comment><p>{P * 4}</p></div></section></article>", P.strip()),
     (f"<header><h1>Site</h1></header><div class=cookie-notice><p>{P}</p></div><article><header><h1>Title of it</h1></header><p>{P}<br>{P}</p></article>",
      f"Title of it\n{P.strip()} {P.strip()}"),
+    (f"<html><head><title>T</title><p>{P}", P.strip()),
+    ("Some text without tags", "Some text without tags"),
+    ("<body><h1>Recipe</h1><ul><li>2 eggs<li>1 cup of milk</ul>", "Recipe\n2 eggs\n1 cup of milk"),
+    (f"<article><noscript>Turn it on<p>{P}</p><button>Buy<p>x</p></article>", f"{P.strip()}\nx"),
+    (f"<article><noscript><p>Turn it on</p></noscript><p>{P}<button>Buy</button></p></article>", P.strip()),
+    (f"<article><p>One <span class=share>tell all</span> two.</p><div class=notice-board><p>{P}</p></div></article>", f"One two.\n{P.strip()}"),
+    (f"<div class=notice><p>{P}</p></div><article><p>Short</p><ul><li><a href=x>One</a><li><a href=y>Two</a></ul><p><a href=z>Go</a></p></article>", "Short\nGo"),
     (f"<article><p><b>{P}<br><p>{P}</article>", f"{P.strip()}\n{P.strip()}"),
 ])
 def test_pages(html, text):
@@ -43,10 +51,22 @@ def test_minimum_cut_is_minimal():
         assert cost(hx.minimum_cut(odds, edges)) == pytest.approx(best)
 
 
-def test_smoothing_keeps_a_weak_line_inside():
-    edges = {(0, 1): hx.ADJACENT + hx.SIBLING, (1, 2): hx.ADJACENT + hx.SIBLING}
-    assert hx.minimum_cut([3.0, -0.8, 3.0], edges) == [True, True, True]
-    assert hx.minimum_cut([3.0, -8.0, 3.0], edges) == [True, False, True]
+def test_flow_decides_large_kernels_too():
+    rng = random.Random(2)
+    n = 3000
+    odds = [rng.choice([-3, -1, 1, 3]) for _ in range(n)]
+    edges = {(i, i + 1): 2 for i in range(n - 1)} | {(i, i + 40): 1 for i in range(n - 40)}
+    kept = hx.minimum_cut(odds, edges)
+    for flip in range(n):
+        own = odds[flip] if kept[flip] else -odds[flip]
+        assert own + sum(w if kept[a] == kept[b] else -w for (a, b), w in edges.items() if flip in (a, b)) >= 0
+
+
+def test_elements_and_blocks_pull_each_other():
+    page = hx.PageReader(f"<article><p>{P * 3}</p><div>Short</div></article><div class=ad><p>{P * 3}</p></div>")
+    odds, edges = hx.page_graph(page)
+    assert [x > 0 for x in odds[:3]] == [True, False, True]
+    assert hx.minimum_cut(odds, edges)[:3] == [True, True, False]
 
 
 def test_long_and_broken_pages():
@@ -54,6 +74,9 @@ def test_long_and_broken_pages():
     assert hx.main_text("<b>" * 20000 + "x") in ("", "x")
     many = "<article>" + "".join(f"<p>Line {i} of many.</p>" for i in range(20000))
     assert hx.main_text(many).count("\n") == 19999
+    start = time.perf_counter()
+    assert hx.main_text("<div>" * 20000 + P + "</section>" * 20000) == P.strip()
+    assert time.perf_counter() - start < 2.0
 
 
 def test_given_pages_and_odd_rows(spark, sf_dir):
@@ -61,10 +84,18 @@ def test_given_pages_and_odd_rows(spark, sf_dir):
     import re
 
     pages = read_table(spark, sf_dir, "pages")
-    for r in hx.extract_pages(pages).collect():
+    weights = hx.fit_weights(pages)
+    assert weights == hx.fit_weights(pages.unionByName(pages).repartition(5)) and weights != hx.PRIOR
+    differ = 0
+    for r in hx.extract_pages(pages, weights=weights).collect():
         inner = re.search(r"<article>(.*?)(</article>|$)", r["html"], re.S)[1]
         blocks = [" ".join(html.unescape(re.sub("<[^>]+>", " ", b)).split()) for b in re.split("</?(?:p|h1)>", inner)]
         assert r["main_text"] == "\n".join(b for b in blocks if b)
+        page = hx.PageReader(r["html"])
+        odds, edges = hx.page_graph(page, weights)
+        differ += sum((o > 0) != kept for o, kept in zip(odds, hx.minimum_cut(odds, edges)[:len(page.blocks)]))
+    assert differ >= 20, differ
     odd = spark.createDataFrame([(None, None, None, "k"), (1, "u", f"<p>{P}", "k"), (1, "u", f"<p>{P}", "k")], "page_id bigint, url string, html string, text string")
+    assert hx.fit_weights(odd) == hx.fit_weights(odd.limit(0)) == hx.PRIOR
     assert sorted(r["main_text"] for r in hx.extract_pages(odd).collect()) == ["", P.strip(), P.strip()]
     assert hx.extract_pages(odd.limit(0)).collect() == []
