@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewscope.functions import calendar, cleaning, numbers, text
-from reviewscope.models import best_items, factors, frames, recommender, sentiment, sparse_logistic, trees, tuning
+from reviewscope.models import best_items, factors, frames, recommender, sentiment, shared_trees, sparse_logistic, trees, tuning
 from reviewscope.operators import encode, evaluate, slices, summarize, words
 from reviewscope.plans import prepare
 from reviewscope.plans.standin import (
@@ -573,6 +573,21 @@ def dt_tuned_cv(spark, sf_dir):
     return _tuned(spark, model, _judged(model.bestModel.transform(test)))
 
 
+@query
+def dt_grid_folds(spark, sf_dir):
+    """Every point of the tree grid on every fold, from passes that all points and folds share."""
+    text = F.col("text")
+    rows = labelled_texts(spark, sf_dir).select(
+        "doc_id", "label", F.length(text).alias("n_chars"),
+        (F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))).alias("n_commas"),
+        (F.length(text) - F.length(F.replace(text, F.lit("."), F.lit("")))).alias("n_periods"),
+        (F.length(text) - F.length(F.regexp_replace(text, "[A-Z]", ""))).alias("n_capitals"),
+    )
+    return shared_trees.cross_validate(
+        rows, "doc_id", "label", ["n_chars", "n_commas", "n_periods", "n_capitals"],
+        tuning.TREE_GRID["maxBins"], tuning.TREE_GRID["maxDepth"], [0.0, 0.005, 0.02]).table
+
+
 @query
 def gbt_tuned_tvs(spark, sf_dir):
     train, test = _assembled_parts(spark, sf_dir)

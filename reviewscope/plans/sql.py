@@ -313,6 +313,79 @@ def _factors(rows: str, rank: int = 3, iterations: int = 2, reg: float = 0.1) ->
 _PRODUCT = "u.f_0 * i.f_0 + u.f_1 * i.f_1 + u.f_2 * i.f_2"
 _SHOWN = ", ".join(f"round(f_{i}, 6) as f_{i}" for i in range(3))
 
+FOLD_GAINS = [0.0, 0.005, 0.02]
+FOLD_FEATURES = {
+    "n_chars": "length(text)", "n_commas": "length(text) - length(replace(text, ',', ''))",
+    "n_periods": "length(text) - length(replace(text, '.', ''))",
+    "n_capitals": "length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))",
+}
+
+
+def _fold_trees(bins: list[int], depths: list[int], gains: list[float], folds: int = 5) -> str:
+    """The whole search level by level: every row carries its node in every tree."""
+    names = list(FOLD_FEATURES)
+    gini = "2.0::double * ({p}::double / {n}) * (1.0::double - {p}::double / {n})".format
+    gain = (f"{gini(p='positive', n='n')} - n_left::double / n * ({gini(p='positive_left', n='n_left')}) - "
+            f"(n - n_left)::double / n * ({gini(p='(positive - positive_left)', n='(n - n_left)')})")
+    parts = [f"""
+base as materialized (
+  select row_number() over () as rid, coalesce(('0x' || substr(md5(doc_id::varchar), 1, 4))::bigint % {folds}, 0)::int as fold,
+         label::int as label, {', '.join(f'({e})::double as {c}' for c, e in FOLD_FEATURES.items())}
+  from ({LABELLED_SQL}) where label is not null),
+vals as materialized ({' union all '.join(f'select rid, {i} as feature, {c} as value from base' for i, c in enumerate(names))}),
+sizes as (select unnest({bins}) as b),
+upto as (
+  select *, sum(n) over (partition by feature order by value) as upto, sum(n) over (partition by feature) as total
+  from (select feature, value, count(*) as n from vals where value is not null group by all)),
+cuts as (select b, feature, value as cut from upto, sizes where upto < total and (upto - n) * b // total < upto * b // total),
+binned as materialized (
+  select b, rid, feature, coalesce(sum((cut < value)::int), 0)::int as bin
+  from (select * from vals, sizes) left join cuts using (b, feature) group by all),
+r0 as materialized (
+  select b, left_out, rid, fold, label, 1 as node, 9000000000 as least_gain, true as open
+  from base, sizes, (select unnest(range(-1, {folds}))::int as left_out))"""]
+    for level in range(max(depths)):
+        parts.append(f"""
+s{level} as (
+  select b, left_out, node, feature, bin, count(*) as n, sum(label) as positive
+  from r{level} join binned using (b, rid) where open and fold <> left_out group by all),
+g{level} as (
+  select *, case when n_left < n then floor(({gain}) * 1e9::double) else 0 end::bigint as gain
+  from (select b, left_out, node, feature, bin as last,
+               sum(n) over (partition by b, left_out, node, feature order by bin) as n_left,
+               sum(positive) over (partition by b, left_out, node, feature order by bin) as positive_left,
+               sum(n) over (partition by b, left_out, node, feature) as n,
+               sum(positive) over (partition by b, left_out, node, feature) as positive from s{level})),
+c{level} as materialized (
+  select * from g{level} qualify row_number() over (partition by b, left_out, node order by gain desc, feature, last) = 1),
+r{level + 1} as materialized (
+  select r.b, r.left_out, r.rid, r.fold, r.label, case when open and gain > 0 then 2 * r.node + (bin > last)::int else r.node end as node,
+         case when open and gain > 0 then least(least_gain, gain) else least_gain end as least_gain, open and coalesce(gain > 0, false) as open
+  from r{level} r left join c{level} c using (b, left_out, node)
+  left join binned x on x.b = r.b and x.rid = r.rid and x.feature = c.feature)""")
+    levels = range(max(depths) + 1)
+    parts.append(f"""
+nodes as (
+  select b, left_out, node, any_value(n) as n, any_value(positive) as positive from (
+  {' union all '.join(f'select b, left_out, node, count(*) as n, sum(label) as positive from r{i} where fold <> left_out group by all' for i in levels)})
+  group by all),
+held as (
+  select b, max_depth, min_gain, left_out, rid, label, arg_max(node, level) as node
+  from ({' union all '.join(f'select *, {i} as level from r{i} where fold = left_out' for i in levels)}),
+       (select unnest({depths}) as max_depth), (select unnest({gains})::double as min_gain)
+  where level <= max_depth and least_gain >= min_gain * 1e9::double group by all),
+hits as (
+  select h.b, max_depth, min_gain, h.left_out as fold, label = 1 as is_one, 2 * positive > n as says_one
+  from held h join nodes using (b, left_out, node)),
+told as (
+  select b as max_bins, max_depth, min_gain, fold, count(*) filter (is_one and says_one) as tp,
+         count(*) filter (not is_one and says_one) as fp, count(*) filter (not is_one and not says_one) as tn,
+         count(*) filter (is_one and not says_one) as fn from hits group by all)""")
+    return "with" + ",".join(parts) + """
+select *, round(((tp + fn) * coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) + (tn + fp) * coalesce(2 * tn / nullif(2 * tn + fp + fn, 0), 0))
+                / (tp + fp + tn + fn), 9) as f1 from told"""
+
+
 ORACLE_SQL = {
     "scan_csv_reviews": CLEAN_ROWS_SQL,
     "scan_csv_split": CLEAN_ROWS_SQL,
@@ -349,6 +422,7 @@ from ({RATINGS_SQL}) group by 1""",
 select count(distinct user_id) as n_user_id, count(distinct business_id) as n_business_id,
        count(distinct review_id) as n_review_id from ({RATINGS_SQL})""",
     "distinct_values": f"select distinct business_id from ({RATINGS_SQL})",
+    "dt_grid_folds": _fold_trees(TREE_GRID["maxBins"], TREE_GRID["maxDepth"], FOLD_GAINS),
     "word_freq_by_rating": WORD_FREQ_SQL,
     "top_words_by_rating": f"""
 select * from (select *, (row_number() over (partition by stars order by n desc, word))::int as rank
