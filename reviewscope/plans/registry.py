@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from reviewscope.functions import calendar, cleaning, numbers, text
 from reviewscope.models import best_items, factors, frames, recommender, sentiment, shared_trees, sparse_logistic, trees, tuning
-from reviewscope.operators import encode, evaluate, slices, summarize, words
+from reviewscope.operators import encode, evaluate, heavy_words, slices, summarize, words
 from reviewscope.plans import prepare
 from reviewscope.plans.standin import (
     dated, labelled_texts, ratings, raw_reviews, reviews, rule_scored, table, texts,
@@ -188,6 +188,11 @@ def top_words_by_rating(spark, sf_dir):
     return words.top_words_by_rating(reviews(spark, sf_dir))
 
 
+@query
+def heavy_words_by_rating(spark, sf_dir):
+    return heavy_words.heavy_words_by_rating(reviews(spark, sf_dir))
+
+
 @query
 def crosstab_day_stars(spark, sf_dir):
     return summarize.crosstab_day_stars(ratings(spark, sf_dir))

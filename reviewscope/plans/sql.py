@@ -386,6 +386,9 @@ select *, round(((tp + fn) * coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) +
                 / (tp + fp + tn + fn), 9) as f1 from told"""
 
 
+TOP_WORDS_SQL = f"""
+select * from (select *, (row_number() over (partition by stars order by n desc, word))::int as rank
+               from ({WORD_FREQ_SQL})) where rank <= 25"""
 ORACLE_SQL = {
     "scan_csv_reviews": CLEAN_ROWS_SQL,
     "scan_csv_split": CLEAN_ROWS_SQL,
@@ -424,9 +427,8 @@ select count(distinct user_id) as n_user_id, count(distinct business_id) as n_bu
     "distinct_values": f"select distinct business_id from ({RATINGS_SQL})",
     "dt_grid_folds": _fold_trees(TREE_GRID["maxBins"], TREE_GRID["maxDepth"], FOLD_GAINS),
     "word_freq_by_rating": WORD_FREQ_SQL,
-    "top_words_by_rating": f"""
-select * from (select *, (row_number() over (partition by stars order by n desc, word))::int as rank
-               from ({WORD_FREQ_SQL})) where rank <= 25""",
+    "top_words_by_rating": TOP_WORDS_SQL,
+    "heavy_words_by_rating": TOP_WORDS_SQL,
     "crosstab_day_stars": _crosstab("dayname(date) as day", RATINGS_SQL),
     "crosstab_month_stars": _crosstab(
         "monthname(date) as month",
