@@ -12,23 +12,31 @@ from reviewscope.functions.wordlists import ENGLISH_STOP_WORDS, PUNCTUATION
 _MARKS = r""";@#$%&?!\[\](){}<>\""""
 _SPACE = r"[\s\p{Z}]"
 _CLOSING = r"[\])}>\"']*"
-_WORD_END = rf"(?={_SPACE}|[{_MARKS}]|[:,](?![0-9])|\.{{3}}|\.{_CLOSING}(?:{_SPACE}|$)|--|$)"
-
-# Places where English word tokens break apart without white space. Each match
-# becomes a token of its own (or the left half of a glued word), so one pass
-# that puts blanks around the matches and one split give all tokens. No group
-# repeats without bound, so one very long word cannot exhaust the stack.
-_BREAKS = "|".join([
-    r"\.{3}",                                                   # ellipsis
-    r"--",                                                      # double dash
-    rf"[{_MARKS}]",                                             # brackets, marks, double quote
-    r"[:,](?![0-9])",                                           # not inside 10:30 or 1,000
-    rf"\.(?<=[^.\s\p{{Z}}]\.)(?={_CLOSING}(?:{_SPACE}|$))",        # final period
-    rf"(?:n't|N'T)(?<=[^'\s\p{{Z}}]...){_WORD_END}",            # do n't
-    rf"'(?<=[^'\s\p{{Z}}]')(?:[sSmMdD]|ll|LL|re|RE|ve|VE)?{_WORD_END}",  # it 's, we 'll, dogs '
-    r"\b(?:[cC][aA][nN](?=(?i:not)\b)|[gG][iI][mM](?=(?i:me)\b)|[gG][oO][nN](?=(?i:na)\b)"
-    r"|[gG][oO][tT](?=(?i:ta)\b)|[lL][eE][mM](?=(?i:me)\b)|[wW][aA][nN](?=(?i:na)\b))",
-])
+
+
+def _breaks(final: str) -> str:
+    """Places where English word tokens break apart without white space.
+
+    Each match becomes a token of its own (or the left half of a glued word), so
+    one pass that puts blanks around the matches and one split give all tokens.
+    ``final`` says what follows a final period. No group repeats without bound,
+    so one very long word cannot exhaust the stack.
+    """
+    word_end = rf"(?={_SPACE}|[{_MARKS}]|[:,](?![0-9])|\.{{3}}|\.{_CLOSING}{final}|--|$)"
+    return "|".join([
+        r"\.{3}",                                                   # ellipsis
+        r"--",                                                      # double dash
+        rf"[{_MARKS}]",                                             # brackets, marks, double quote
+        r"[:,](?![0-9])",                                           # not inside 10:30 or 1,000
+        rf"\.(?<=[^.\s\p{{Z}}]\.)(?={_CLOSING}{final})",            # final period
+        rf"(?:n't|N'T)(?<=[^'\s\p{{Z}}]...){word_end}",             # do n't
+        rf"'(?<=[^'\s\p{{Z}}]')(?:[sSmMdD]|ll|LL|re|RE|ve|VE)?{word_end}",  # it 's, we 'll, dogs '
+        r"\b(?:[cC][aA][nN](?=(?i:not)\b)|[gG][iI][mM](?=(?i:me)\b)|[gG][oO][nN](?=(?i:na)\b)"
+        r"|[gG][oO][tT](?=(?i:ta)\b)|[lL][eE][mM](?=(?i:me)\b)|[wW][aA][nN](?=(?i:na)\b))",
+    ])
+
+
+_BREAKS, _SENTENCE_BREAKS = _breaks(rf"(?:{_SPACE}|$)"), _breaks("$")
 
 
 def spaced_words(text: Column) -> Column:
@@ -51,6 +59,12 @@ def word_tokens(text: Column) -> Column:
     return F.filter(raw_tokens(text), lambda t: t != "")
 
 
+def sentence_tokens(sentence: Column) -> Column:
+    """``word_tokens`` of one sentence: only the period at its very end comes apart, those inside stay with their word."""
+    spaced = F.regexp_replace(sentence, _SENTENCE_BREAKS, " $0 ")
+    return F.filter(F.split(spaced, r"[\s\p{Z}]+"), lambda t: t != "")
+
+
 def is_stop_word(word: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Column:
     return F.lower(word).isin(list(stop_words))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from reviewscope.functions import calendar, cleaning, numbers, text
 from reviewscope.models import best_items, factors, frames, recommender, sentiment, shared_trees, sparse_logistic, trees, tuning
-from reviewscope.operators import encode, evaluate, heavy_words, slices, summarize, words
+from reviewscope.operators import encode, evaluate, heavy_words, sentences, slices, summarize, words
 from reviewscope.plans import prepare
 from reviewscope.plans.standin import (
     dated, labelled_texts, ratings, raw_reviews, reviews, rule_scored, table, texts,
@@ -314,6 +314,19 @@ def word_tokens(spark, sf_dir):
     return _shown_tokens(_tokens(spark, sf_dir), "tokens")
 
 
+@query
+def abbreviation_scores(spark, sf_dir):
+    uses = materialize(sentences.piece_uses(texts(spark, sf_dir)), "uses")
+    return sentences.abbreviation_scores(uses).select(
+        "word", "n_dot", "n_plain", *[F.round(c, 6).alias(c) for c in ("ratio", "score")])
+
+
+@query
+def sentence_tokens(spark, sf_dir):
+    cut = sentences.sentences(texts(spark, sf_dir), "doc_id")
+    return cut.select("doc_id", "sentence", F.size("tokens").alias("n_tokens"), _joined(F.col("tokens")).alias("tokens"))
+
+
 @query
 def tokens_no_stopwords(spark, sf_dir):
     kept = _tokens(spark, sf_dir).withColumn("tokens", text.remove_stop_words(F.col("tokens")))

@@ -76,11 +76,11 @@ def _scale(column: str, digits: int) -> str:
     return f"round(({column} - {low})::double / ({high} - {low}), {digits}) as {column}"
 
 
-def _tokens(text: str) -> str:
-    """Word tokens by padding with blanks step by step; every blank of the text becomes two."""
+def _tokens(text: str, final: str = "") -> str:
+    """Word tokens by padding with blanks step by step; every blank of the text becomes two. ``final``: what follows a final period."""
     steps = [
         (r"[\s\p{Z}]", "  "),
-        (r"""([^. ])\.([\])}>"']*)  """, r"\1  .  \2  "),
+        (rf"""([^. ])\.([\])}}>"']*)  {final}""", r"\1  .  \2  "),
         (r"""(\.\.\.|--|[;@#$%&?!\[\](){}<>"])""", r"  \1  "),
         (r"([:,])", r"  \1  "),
         (r"  ([:,])  ([0-9])", r"\1\2"),
@@ -122,6 +122,81 @@ ML_TOKENS = r"string_split_regex(regexp_replace(lower(text), '\s+$', ''), '\s')"
 ML_KEPT = f"list_filter({ML_TOKENS}, lambda t: t not in {_in(ML_STOP_WORDS)})"
 
 
+_OPENING, _CLOSING = """''"([{<""", """"'')]}>"""
+
+
+def _word(piece: str) -> str:
+    return f"lower(rtrim(ltrim({piece}, '{_OPENING}'), '{_CLOSING}.,;:!?'))"
+
+
+def _ending(piece: str) -> str:
+    bare = f"rtrim({piece}, '{_CLOSING}')"
+    return f"""case when right({bare}, 1) in ('!', '?') then 'end' when {bare} like '%_.' and {bare} not like '%..' then 'dot'
+                    when {bare} like '%..' then 'dots' else 'open' end"""
+
+
+def _first(piece: str) -> str:
+    return f"substr(ltrim({piece}, '{_OPENING}'), 1, 1)"
+
+
+def _likelihood(k: str, n: str, share: str) -> str:
+    return f"(case when {k} > 0 then {k} * ln({share}) else 0 end + case when {n} > {k} then ({n} - {k}) * ln(1 - {share}) else 0 end)"
+
+
+# Pieces in their places, and the words with a period: how often, the ratio, and the score.
+ABBREVIATIONS_SQL = f"""
+with split as (select doc_id, list_filter(string_split_regex(text, '[\\s\\p{{Z}}]+'), lambda p: p <> '') as ps from documents),
+placed as (
+  select doc_id, place, ps[place] as piece, case when place > 1 then ps[place - 1] end as last, ps[place + 1] as follow
+  from (select doc_id, ps, unnest(range(1, len(ps) + 1)) as place from split)),
+known as (
+  select *, {_word('piece')} as word, {_word('follow')} as next_word, {_ending('piece')} as kind,
+         case when last is null then 'end' else {_ending('last')} end as before, {_word('last')} as before_word,
+         {_first('follow')} <> lower({_first('follow')}) as next_capital,
+         rtrim(piece, '{_CLOSING},;:') as shorn
+  from placed),
+per_word as (
+  select word, count(*) filter (where shorn like '%_.' and shorn not like '%..') as n_dot,
+         count(*) filter (where not (shorn like '%_.' and shorn not like '%..')) as n_plain
+  from known where lower(word) <> upper(word) group by 1),
+share as (select sum(n_dot)::double / sum(n_dot + n_plain) as p from per_word),
+ratios as (
+  select word, n_dot, n_plain, length(word) - length(replace(word, '.', '')) as inner_periods,
+         2 * (n_dot * ln(0.99 / p) + case when n_plain > 0 then n_plain * ln(0.01 / (1 - p)) else 0 end) as ratio
+  from per_word, share where n_dot > 0),
+scores as (
+  select word, n_dot, n_plain, ratio,
+         ratio * exp(inner_periods - length(word)) * (inner_periods + 1) * pow(length(word) - inner_periods, -20.0 * n_plain / n_dot) as score
+  from ratios)"""
+# A period after one of those ends a sentence before a starter only.
+SENTENCES_SQL = f"""{ABBREVIATIONS_SQL},
+short as (select word from scores where score >= 0.3),
+told as (
+  select word, case before when 'dot' then 'end' else before end as before, piece from known
+  where before in ('end', 'open') or before = 'dot' and before_word not in (select word from short)),
+counts as (
+  select word, count(*) filter (where before = 'end') as k1, count(*) filter (where before = 'open') as k2,
+         count(*) filter (where {_first('piece')} <> upper({_first('piece')})) as n_small,
+         count(*) filter (where before = 'open' and {_first('piece')} <> lower({_first('piece')})) as n_capital
+  from (select {_word('piece')} as word, before, piece from told) group by 1),
+totals as (select sum(k1)::double as n1, sum(k2)::double as n2 from counts),
+starters as (
+  select word from counts, totals
+  where lower(word) <> upper(word) and (n_small > 0 and n_capital = 0 or k1 / n1 > k2 / n2 and 2 * (
+    {_likelihood('k1', 'n1', '(k1 / n1)')} + {_likelihood('k2', 'n2', '(k2 / n2)')}
+    - {_likelihood('k1', 'n1', '((k1 + k2) / (n1 + n2))')} - {_likelihood('k2', 'n2', '((k1 + k2) / (n1 + n2))')}) >= 30)),
+ended as (
+  select *, follow is null or kind = 'end' or kind = 'dots' and next_capital
+            or kind = 'dot' and (word not in (select word from short) or next_capital and next_word in (select word from starters)) as is_end
+  from known),
+numbered as (
+  select *, coalesce(sum(is_end::int) over (partition by doc_id order by place rows between unbounded preceding and 1 preceding), 0) as sentence
+  from ended),
+lines as (select doc_id, sentence::int as sentence, string_agg(piece, ' ' order by place) as line from numbered group by 1, 2)
+select doc_id, sentence, len(tokens)::int as n_tokens, array_to_string(tokens, ' ') as tokens
+from (select doc_id, sentence, {_tokens('line', ' *$')} as tokens from lines)"""
+
+
 def _crosstab(label: str, source: str) -> str:
     counts = ", ".join(f"count(*) filter (where stars = {r}) as stars_{r}" for r in RATINGS)
     return f"select {label}, {counts} from ({source}) group by 1"
@@ -480,6 +555,8 @@ from (select doc_id, {_strip("('''\"' || text || '\"''''')")} as body from docum
     "minmax_ids": f"""
 select review_id as row_id, {', '.join(_scale(c, 9) for c in ID_COLUMNS)} from ({RATINGS_SQL})""",
     "word_tokens": _token_query(_tokens("text")),
+    "abbreviation_scores": f"{ABBREVIATIONS_SQL} select word, n_dot, n_plain, round(ratio, 6) as ratio, round(score, 6) as score from scores",
+    "sentence_tokens": SENTENCES_SQL,
     "tokens_no_stopwords": _token_query(_kept(_tokens("text"))),
     "tokens_clean": _token_query(CLEAN_TOKENS),
     "bigrams": f"""
