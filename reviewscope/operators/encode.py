@@ -31,25 +31,37 @@ def dense_codes(df: DataFrame, columns: list[str]) -> Codes:
     order; ``n`` counts the rows that carry the value. Keys are compared as
     strings, NULLs get no code. Duplicates collapse before the shuffle.
     """
-    keys = (
+    return number_keys(distinct_keys(df, columns), {c: (0, 0) for c in columns})
+
+
+def distinct_keys(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(kind, key, n) of the values of ``columns`` that are not NULL."""
+    return (
         df.select([F.col(c).cast("string").alias(c) for c in columns])
         .unpivot([], columns, "kind", "key")
         .where(F.col("key").isNotNull())
         .groupBy("kind", "key").agg(F.count("*").alias("n"))
     )
+
+
+def number_keys(keys: DataFrame, taken: Mapping[str, tuple[int, int]]) -> Codes:
+    """Codes of ``keys`` (kind, key, n) in ascending order, from the number of keys on that each kind has ``taken``.
+
+    ``taken`` has (keys, rows) per kind; the sizes returned include them.
+    """
     staged = stage_in_order(keys, "kind", "key", name="keys")
     # One row per sort partition, and one more where a partition holds the end
     # of one kind and the start of the next: small whatever the data holds.
     blocks = staged.groupBy("kind", PART).agg(
         F.min(POS).alias("first"), F.count("*").alias("keys"), F.sum("n").alias("rows"),
     ).orderBy("kind", PART).collect()
-    sizes = {c: (0, 0) for c in columns}
+    sizes = dict(taken)
     shifts = []
     for block in blocks:
         before, rows = sizes[block["kind"]]
         shifts.append((block["kind"], block[PART], before - block["first"]))
         sizes[block["kind"]] = (before + block["keys"], rows + block["rows"])
-    shift = df.sparkSession.createDataFrame(shifts, f"kind string, {PART} int, shift bigint")
+    shift = keys.sparkSession.createDataFrame(shifts, f"kind string, {PART} int, shift bigint")
     table = staged.join(F.broadcast(shift), ["kind", PART]).select(
         "kind", "key", "n", (F.col(POS) + F.col("shift")).alias("code"),
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from reviewscope.functions import calendar, cleaning, numbers, text
 from reviewscope.models import best_items, factors, frames, recommender, sentiment, shared_trees, sparse_logistic, trees, tuning
-from reviewscope.operators import encode, evaluate, heavy_words, sentences, slices, summarize, words
+from reviewscope.operators import dictionary, encode, evaluate, heavy_words, sentences, slices, summarize, words
 from reviewscope.plans import prepare
 from reviewscope.plans.standin import (
     dated, labelled_texts, ratings, raw_reviews, reviews, rule_scored, table, texts,
@@ -150,10 +150,10 @@ def join_predictions_source(spark, sf_dir):
 
 # --- aggregations ----------------------------------------------------------
 
-def _string_keys(spark, sf_dir) -> DataFrame:
+def _string_keys(spark, sf_dir, *more: Column) -> DataFrame:
     return ratings(spark, sf_dir).select(
         F.col("review_id").alias("row_id"),
-        *[F.md5(F.col(c).cast("string")).alias(c) for c in ID_COLUMNS], "stars",
+        *[F.md5(F.col(c).cast("string")).alias(c) for c in ID_COLUMNS], "stars", *more,
     )
 
 
@@ -162,6 +162,17 @@ def encode_ids(spark, sf_dir):
     return encode.encode_ids(_string_keys(spark, sf_dir), ID_COLUMNS, row_key="row_id")
 
 
+@query
+def encode_ids_by_load(spark, sf_dir):
+    """The rows of each half of the months, encoded as they arrive: the second load appends to the codes of the first."""
+    folder = scratch_path(spark, "dictionary")
+    rows = _string_keys(spark, sf_dir, F.when(F.dayofmonth("date") <= 15, 1).otherwise(2).alias("load"))
+    loads = [rows.where(F.col("load") == n) for n in (1, 2)]
+    first, second = (
+        encode.apply_codes(part, dictionary.extend(part, ID_COLUMNS, folder), ID_COLUMNS, row_key="row_id") for part in loads)
+    return first.unionByName(second)
+
+
 @query
 def split_sizes(spark, sf_dir):
     split = slices.hash_split(ratings(spark, sf_dir), "review_id")

@@ -54,6 +54,16 @@ select review_id as row_id, md5(user_id::varchar) as user_id, md5(business_id::v
 ENCODED_SQL = f"""
 select row_id, {', '.join(f'dense_rank() over (order by {c}) - 1 as {c}' for c in ID_COLUMNS)}, stars
 from ({STRING_KEYS_SQL})"""
+# Keys of the first load are numbered in order, then those that only the second one has.
+LOADS_SQL = f"""
+with loaded as (
+  select md5(user_id::varchar) as user_id, md5(business_id::varchar) as business_id, md5(review_id::varchar) as review_id,
+         review_id as row_id, stars, case when day(date) <= 15 then 1 else 2 end as load
+  from ({RATINGS_SQL})),
+{', '.join(f"""
+{c}_codes as (select {c}, row_number() over (order by min(load), {c}) - 1 as code from loaded group by 1)""" for c in ID_COLUMNS)}
+select row_id, {', '.join(f'{c}_codes.code as {c}' for c in ID_COLUMNS)}, stars, load
+from loaded {' '.join(f'join {c}_codes on loaded.{c} = {c}_codes.{c}' for c in ID_COLUMNS)}"""
 TRAINING = "('0x' || substr(md5(review_id::varchar), 1, 4))::bigint % 10 < 7"
 LABELLED_SQL = """
 select doc_id, text, n_chars, quality::double as label from documents join labels using (doc_id)"""
@@ -492,6 +502,7 @@ where lang is not null and n_chars is not null and quality is not null and toxic
     "join_predictions_source": f"""
 select review_id, case when useful > 4 then 1.0::double else 0.0::double end as prediction, user_id,
        business_id, stars, md5(text) as text, length(text)::int as n_chars from ({REVIEWS_SQL})""",
+    "encode_ids_by_load": LOADS_SQL,
     "encode_ids": ENCODED_SQL,
     "split_sizes": f"""
 select case when {TRAINING} then 'train' else 'test' end as split, count(*) as n_rows
