@@ -1,17 +1,17 @@
 """Language identification by interpolated Kneser-Ney character models.
 
 Letters are lower-cased, everything else becomes one blank. For each language a
-model of order ``ORDER`` is learned from a sample of at most about
-``ROWS_PER_LANGUAGE`` labelled texts (whole texts, chosen by a hash of the key);
-n-grams are counted by Spark. The models of all languages share one sorted array
-of n-gram hashes per order, with a matrix of log probabilities beside it, so one
-binary search per character serves all of them. The language of the lowest
+model of order ``ORDER`` is learned from every labelled text; n-grams are counted
+by Spark, and only the table of distinct n-grams, which grows with the languages and
+not with the rows, reaches the driver. The models of all languages share one sorted
+array of n-gram hashes per order, with a matrix of log probabilities beside it, so
+one binary search per character serves all of them. The language of the lowest
 cross-entropy per character wins.
 
-Rejection is calibrated on labelled texts outside the fit sample: a text is
-rejected when its cross-entropy lies beyond its language's mean by a margin plus
-twice the widest deviation seen there, scaled to the text's
-length.
+Rejection is calibrated on every labelled text too: a hash of the key deals them into
+two halves, and each half is scored by models of the other. A text is rejected when
+its cross-entropy lies beyond its language's median by a margin plus twice the widest
+deviation (that of all but ``BEYOND_WIDEST`` of the texts), scaled to the text's length.
 
 Edge cases: a NULL text or one without letters is ``und`` with score 0 and is
 rejected; so is every text when nothing was learned. Labels that are NULL are not
@@ -23,9 +23,9 @@ from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +33,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewscope.llm.common import text_parts, unit_hash
+from reviewscope.session import materialize
 
 ORDER = 4
-ROWS_PER_LANGUAGE = 300   # documented bound of the fit sample, and of the calibration sample
 MARGIN = 1.0              # nats per character
 SLACK = 2.0
+BEYOND_WIDEST = 0.001     # share of the texts whose deviations are left out of the widest
+STEP = 1e-4               # nats to which entropies and deviations are rounded before their quantiles
 SHARPNESS = 20.0          # of the score, per nat
 ALPHABET = 65_536         # for characters never seen
 CHUNK_BYTES = 1 << 18
+COUNTED_BYTES = 1 << 20
 UNKNOWN = "und"
 RESULT = "struct<lang:string,score:double,entropy:double,n_letters:bigint,rejected:boolean>"
 
@@ -87,13 +90,6 @@ def gram_hashes(padded: np.ndarray, places: np.ndarray, order: int) -> np.ndarra
     return out
 
 
-def _text_hash(gram: str) -> int:
-    out = 0
-    for char in gram:
-        out = (out * int(_BASE) + ord(char)) & (2**64 - 1)
-    return out
-
-
 class KneserNey:
     """Interpolated model of one language from counts of its ORDER-grams."""
 
@@ -140,16 +136,37 @@ class LanguageModels:
 
     @classmethod
     def fit(cls, counts: dict[str, dict[str, int]]) -> LanguageModels:
-        languages = sorted(counts)
-        models = [KneserNey(counts[x]) for x in languages]
-        grams, contexts = {}, {}
-        for order in range(1, ORDER + 1):
-            known = sorted({g for m in models for g in m.counts[order]}, key=_text_hash)
-            values = [[math.log(m.probability(g)) for m in models] for g in known]
-            grams[order] = _table(known, values, len(models))
-            heads = sorted({c for m in models for c in m.total[order]}, key=_text_hash)
-            contexts[order] = _table(heads, [[math.log(m.backoff(c)) for m in models] for c in heads], len(models))
-        return cls(languages, grams, contexts)
+        rows = [(lang, gram, n) for lang, grams in counts.items() for gram, n in grams.items()]
+        return cls.of_counts(*([r[i] for r in rows] for i in range(3)))
+
+    @classmethod
+    def of_counts(cls, langs: Sequence[str], texts: Sequence[str], counts: Sequence[int]) -> LanguageModels:
+        """What ``KneserNey`` says of each language, for all at once, from (language, ORDER-gram, count) in columns."""
+        languages, column = np.unique(np.array(langs, object).astype(str), return_inverse=True)
+        if not len(languages):
+            return cls([], {}, {})
+        chars = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
+        hashes, first, row = np.unique(_row_hashes(chars), return_index=True, return_inverse=True)
+        known = chars[first]
+        seen = np.zeros((len(hashes), len(languages)))
+        np.add.at(seen, (row, column), np.asarray(counts, np.float64))
+        grams, contexts, levels = {}, {}, []
+        for order in range(ORDER, 0, -1):
+            heads, head = np.unique(_row_hashes(known[:, :-1]), return_inverse=True)
+            tails, first, tail = np.unique(_row_hashes(known[:, 1:]), return_index=True, return_inverse=True)
+            once, twice = (seen == 1).sum(0), (seen == 2).sum(0)
+            discount = np.where((once > 0) & (twice > 0), once / np.maximum(once + 2 * twice, 1), 0.5)
+            total, types = _summed(seen, head, len(heads)), _summed(seen > 0, head, len(heads))
+            backoff = np.where(total > 0, discount * types / np.maximum(total, 1), 1.0)
+            contexts[order] = heads, np.log(backoff).astype(np.float32)
+            own = np.where(total[head] > 0, np.maximum(seen - discount, 0) / np.maximum(total[head], 1), 0.0)
+            levels.append((order, hashes, own, backoff[head], tail))
+            known, hashes, seen = known[first, 1:], tails, _summed(seen > 0, tail, len(tails))
+        below = np.full((1, len(languages)), 1.0 / ALPHABET)
+        for order, hashes, own, weight, tail in reversed(levels):
+            below = own + weight * below[tail]
+            grams[order] = hashes, np.log(below).astype(np.float32)
+        return cls(languages.tolist(), grams, contexts)
 
     def log_probabilities(self, padded: np.ndarray, places: np.ndarray) -> np.ndarray:
         """Row per place, column per language."""
@@ -183,9 +200,17 @@ class LanguageModels:
         return self.means[best] + MARGIN + SLACK * self.widest / np.sqrt(np.maximum(lengths, 1))
 
 
-def _table(keys: list[str], values: list, width: int) -> tuple[np.ndarray, np.ndarray]:
-    hashes = np.array([_text_hash(k) for k in keys], np.uint64)
-    return hashes, np.array(values, np.float32).reshape(len(keys), width)
+def _row_hashes(chars: np.ndarray) -> np.ndarray:
+    """``gram_hashes`` of grams that are rows of code points."""
+    out = np.zeros(len(chars), np.uint64)
+    for char in chars.T:
+        out = out * _BASE + char
+    return out
+
+
+def _summed(values: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
+    """Columns of ``values`` added up by ``place``."""
+    return np.stack([np.bincount(place, weights=v, minlength=n) for v in values.T], 1)
 
 
 def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -197,55 +222,69 @@ def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        langs = np.array(batch.column(0).to_pylist(), object)
-        row, counts = 0, Counter()
-        for codes, starts in text_parts(batch.column(1), CHUNK_BYTES):
+        langs = batch.column(0).dictionary_encode()
+        names, half = langs.dictionary.to_pylist(), batch.column(2).to_numpy()
+        group = 2 * langs.indices.to_numpy().astype(np.int64) + half
+        row = 0
+        for codes, starts in text_parts(batch.column(1), COUNTED_BYTES):
             padded, places, lengths = letter_stream(codes, starts)
-            owner = np.repeat(langs[row:row + len(lengths)], lengths)
+            owner = np.repeat(group[row:row + len(lengths)], lengths)
             row += len(lengths)
-            for lang in set(owner):
-                mine = places[owner == lang]
+            for g in np.unique(owner).tolist():
+                mine = places[owner == g]
                 _, first, n = np.unique(gram_hashes(padded, mine, ORDER), return_index=True, return_counts=True)
-                for place, count in zip(mine[first].tolist(), n.tolist()):
-                    counts[lang, "".join(map(chr, padded[place - ORDER + 1:place + 1].tolist()))] += count
-        yield pa.RecordBatch.from_arrays([
-            pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()),
-            pa.array(counts.values(), pa.int64()),
-        ], ["lang", "gram", "n"])
+                chars = padded[mine[first][:, None] + np.arange(1 - ORDER, 1)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([names[g // 2]] * len(n), pa.string()), pa.array(np.full(len(n), g % 2, np.int32)),
+                    pa.array(np.ascontiguousarray(chars).view(f"<U{ORDER}")[:, 0], pa.string()), pa.array(n.astype(np.int64)),
+                ], ["lang", "half", "gram", "n"])
 
 
-def fit_languages(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-                  rows_per_language: int = ROWS_PER_LANGUAGE) -> LanguageModels:
-    """Models and their rejection limits from labelled rows; the bounded samples alone are read as texts."""
+def fit_languages(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModels:
+    """Models and their rejection limits from all labelled rows."""
     rows = labelled.where(F.col(lang).isNotNull()).select(
-        F.col(lang).alias("lang"), F.col(text).alias("text"), unit_hash(key, seed="language-sample").alias("place"),
+        F.col(lang).alias("lang"), F.col(text).alias("text"),
+        (unit_hash(key, seed="language-half") < 0.5).cast("int").alias("half"),
     )
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not sizes:
-        return LanguageModels([], {}, {})
-    share = F.coalesce(*[F.when(F.col("lang") == x, F.lit(min(1.0, rows_per_language / n))) for x, n in sorted(sizes.items())])
-    fit_rows = rows.where(F.col("place") < share).select("lang", "text")
-    grams = fit_rows.mapInArrow(_count_grams, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counts: dict[str, dict[str, int]] = {x: {} for x in sizes}
-    for r in grams.collect():
-        counts[r["lang"]][r["gram"]] = r["n"]
-    models = LanguageModels.fit({x: c for x, c in counts.items() if c})
+    counted = rows.mapInArrow(_count_grams, "lang string, half int, gram string, n bigint").groupBy("lang", "gram").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("half") == 1, F.col("n")).otherwise(0)).alias("n_1")).toArrow()
+    langs, grams = (counted.column(c).to_pylist() for c in ("lang", "gram"))
+    n, n_1 = (counted.column(c).to_numpy() for c in ("n", "n_1"))
+    models = LanguageModels.of_counts(langs, grams, n)
     if not models.languages:
-        return LanguageModels([], {}, {})
-    outside = rows.where((F.col("place") >= share) & (F.col("place") < 2 * share))
-    _calibrate(models, outside if not outside.isEmpty() else fit_rows)
+        return models
+
+    def of_half(counts: np.ndarray) -> LanguageModels:
+        some = np.flatnonzero(counts).tolist()
+        return LanguageModels.of_counts([langs[i] for i in some], [grams[i] for i in some], counts[some])
+
+    # Each half is scored by the other's models, where those know its language.
+    halves = [of_half(n_1), of_half(n - n_1)]
+    scored = [_entropies(rows.where((F.col("half") == i) & F.col("lang").isin(m.languages)), m) for i, m in enumerate(halves) if m.languages]
+    found = materialize(reduce(DataFrame.unionByName, scored), "entropies")
+    _calibrate(models, found if not found.isEmpty() else _entropies(rows, models))
     return models
 
 
-def _calibrate(models: LanguageModels, rows: DataFrame) -> None:
-    scored = identify(rows.select("text"), models).where("entropy is not null").select("lang_pred", "entropy", "n_letters").collect()
-    means = [[r["entropy"] for r in scored if r["lang_pred"] == x] for x in models.languages]
-    every = [r["entropy"] for r in scored]
-    if not every:
+def _entropies(rows: DataFrame, models: LanguageModels) -> DataFrame:
+    return identify(rows.select("text"), models).where("entropy is not null").select("lang_pred", "entropy", "n_letters")
+
+
+def _quantile(rows: DataFrame, value: Column, share: float, *groups: str) -> DataFrame:
+    """Exact quantile of the values rounded to STEP, from their counts."""
+    counts = rows.groupBy(*groups, F.round(value / STEP).alias("step")).agg(F.count("*").alias("n"))
+    return counts.groupBy(*groups).agg((F.percentile("step", share, F.col("n")) * STEP).alias("quantile"))
+
+
+def _calibrate(models: LanguageModels, scored: DataFrame) -> None:
+    every = _quantile(scored, F.col("entropy"), 0.5).first()
+    if every is None or every[0] is None:
         return
-    models.means = np.array([np.median(m or every) for m in means])
-    at = {x: i for i, x in enumerate(models.languages)}
-    models.widest = max([0.0, *[(r["entropy"] - models.means[at[r["lang_pred"]]]) * math.sqrt(r["n_letters"]) for r in scored]])
+    medians = {r["lang_pred"]: r["quantile"] for r in _quantile(scored, F.col("entropy"), 0.5, "lang_pred").collect()}
+    models.means = np.array([medians.get(x, every[0]) for x in models.languages])
+    mean = F.create_map(*[F.lit(v) for pair in medians.items() for v in pair])[F.col("lang_pred")]
+    deviation = (F.col("entropy") - mean) * F.sqrt("n_letters")
+    models.widest = max(0.0, _quantile(scored, deviation, 1 - BEYOND_WIDEST).first()[0])
 
 
 def identify(docs: DataFrame, models: LanguageModels, text: str = "text") -> DataFrame:

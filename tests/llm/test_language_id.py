@@ -73,3 +73,16 @@ def test_streams_are_cut_at_texts():
     codes, starts = next(text_parts(pa.array(texts), 1 << 20))
     padded, places, lengths = li.letter_stream(codes, starts)
     assert lengths.tolist() == [4, 0, 0, 2, 0] and "".join(map(chr, padded[places])) == "a b éx"
+
+
+def test_every_labelled_text_is_learned_from_and_calibrates(docs_of, monkeypatch):
+    seen = []
+    calibrate = li._calibrate
+    monkeypatch.setattr(li, "_calibrate", lambda models, scored: (seen.append(scored.count()), calibrate(models, scored)))
+    # 999 texts of one language, each with a word of its own: 900 of them were outside a sample of 300 and more.
+    rows = [(i, f"the common words {''.join(chr(97 + int(d)) for d in f'{i:03}')}qz", "en", None, 0) for i in range(999)]
+    models = li.fit_languages(docs_of([*rows, (2000, "les mots communs", "fr", None, 0)]))
+    known = set(models.grams[li.ORDER][0].tolist())
+    chars = np.array([[ord(c) for c in text[-5:-1]] for _, text, *_ in rows], np.uint32)
+    assert set(li._row_hashes(chars).tolist()) <= known
+    assert models.languages == ["en", "fr"] and seen == [999] and models.means is not None
