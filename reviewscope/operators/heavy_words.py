@@ -1,5 +1,8 @@
 """Most frequent words per rating without shuffling the vocabulary.
 
+Texts are cut at blanks, and equal pieces of one batch of texts are counted where they are read: the costly word rules
+run once per piece and batch, and the passes read a short table of (rating, word, n) instead of every occurrence.
+
 Pass 1 adds the words up in a few rows of hashed counters per rating: a table whose size depends on neither rows nor
 vocabulary, and in which every counter is an upper bound of each of its words. Pass 2 counts exactly the words whose
 counters are all among the largest; the k-th of those counts is a floor that the result cannot fall below. A word with
@@ -12,8 +15,11 @@ the last place too; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +30,7 @@ from reviewscope.schema import RATINGS
 from reviewscope.session import materialize
 
 HASH_ROWS, COUNTERS, FIRST_CANDIDATES = 3, 1 << 15, 8
+BATCH_BYTES = 8 << 20     # of texts whose pieces are counted at once
 
 
 def words_of(text: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Column:
@@ -32,16 +39,52 @@ def words_of(text: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Co
     return F.filter(F.transform(kept, lambda t: F.lower(strip_punctuation(t))), lambda w: w != "")
 
 
+def _runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Rows in runs of about BATCH_BYTES; a longer text is a run of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    row = 0
+    while row < len(ends):
+        done = int(ends[row - 1]) if row else 0
+        stop = max(row + 1, int(np.searchsorted(ends, done + BATCH_BYTES, "right")))
+        yield row, stop
+        row = stop
+
+
+def _count_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rating, piece, n) of each run of texts."""
+    for batch in batches:
+        ratings = batch.column(0).to_numpy(zero_copy_only=False)
+        for row, stop in _runs(batch.column(1)):
+            for rating in np.unique(ratings[row:stop]).tolist():
+                texts = batch.column(1).slice(row, stop - row).filter(pa.array(ratings[row:stop] == rating))
+                counts = pc.value_counts(pc.split_pattern(texts.cast(pa.large_string()), " ").flatten())
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(counts), rating, np.int32)), counts.field("values").cast(pa.string()), counts.field("counts"),
+                ], ["rating", "piece", "n"])
+
+
+def counted_words(df: DataFrame, text: str, rating: str, stop_words: Sequence[str]) -> DataFrame:
+    """(rating, word, n): occurrences, added up per piece and run of texts; a word has many rows. No rule looks across a blank."""
+    rated = df.where(F.col(rating).isin(RATINGS)).select(F.col(rating).cast("int").alias("rating"), F.col(text).alias("text"))
+    pieces = rated.mapInArrow(_count_pieces, "rating int, piece string, n bigint")
+    return pieces.select(F.col("rating").cast(df.schema[rating].dataType).alias(rating), F.explode(words_of(F.col("piece"), stop_words)).alias("word"), "n")
+
+
 def counter_of(word: Column, row: int, counters: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(row), word), F.lit(counters)).cast("int")
 
 
+def _occurrences(words: DataFrame) -> Column:
+    """Of the words in a group; a row without ``n`` is one of them."""
+    return F.sum("n") if "n" in words.columns else F.count("*")
+
+
 def counter_table(words: DataFrame, rating: str, hash_rows: int, counters: int) -> DataFrame:
     """(rating, row, counter, n): at most ratings x hash_rows x counters rows, added up ahead of the shuffle."""
     places = F.array(*[counter_of(F.col("word"), r, counters) for r in range(hash_rows)])
     return (
-        words.select(rating, F.posexplode(places).alias("row", "counter"))
-        .groupBy(rating, "row", "counter").agg(F.count("*").alias("n"))
+        words.select(rating, *[c for c in words.columns if c == "n"], F.posexplode(places).alias("row", "counter"))
+        .groupBy(rating, "row", "counter").agg(_occurrences(words).alias("n"))
     )
 
 
@@ -59,7 +102,7 @@ def _counted(words: DataFrame, rating: str, floors: dict[int, int], sketch: Data
     for r in range(hash_rows):
         row = F.broadcast(tall.where(F.col("_row") == r).drop("_row"))
         out = out.join(row, (F.col(rating) == F.col("_rating")) & (counter_of(F.col("word"), r, counters) == F.col("_counter")), "left_semi")
-    return out.groupBy(rating, "word").agg(F.count("*").alias("n"))
+    return out.groupBy(rating, "word").agg(_occurrences(words).alias("n"))
 
 
 def heavy_words_by_rating(
@@ -68,11 +111,9 @@ def heavy_words_by_rating(
 ) -> DataFrame:
     """The ``k`` most frequent words of each rating: (rating, word, n, rank).
 
-    Words are cut out of the texts once and written; the passes read that table.
+    Words are cut out of the texts once, counted by runs of texts and written; the passes read that table.
     """
-    listed = materialize(
-        df.where(F.col(rating).isin(RATINGS)).select(F.col(rating), words_of(F.col(text), stop_words).alias("words")), "words")
-    words = listed.select(rating, F.explode("words").alias("word"))
+    words = materialize(counted_words(df, text, rating, stop_words), "words")
     sketch = materialize(counter_table(words, rating, hash_rows, counters), "counters")
     first = _nth_largest(sketch.where("row = 0"), rating, FIRST_CANDIDATES * k)
     exact = _counted(words, rating, first, sketch, hash_rows, counters)

@@ -50,3 +50,14 @@ def test_few_words_are_counted_and_counters_stay_bounded(texts):
 
 def test_empty_table(spark):
     assert hw.heavy_words_by_rating(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_equal_words_are_counted_where_they_are_read(spark, monkeypatch):
+    rows = [(1 + i % 2, "same words, same  words\tagain don't", "", 0) for i in range(2000)]
+    df = spark.createDataFrame([*rows, (3, "x" * 50, "", 0), (4, None, "", 0)], SCHEMA).coalesce(2)
+    words = hw.counted_words(df, "text", "stars", [])
+    assert words.count() < 100
+    got = {tuple(r) for r in words.groupBy("stars", "word").agg(hw.F.sum("n")).collect()}
+    assert {(1, "same", 2000), (2, "words", 2000), (1, "again", 1000), (3, "x" * 50, 1)} <= got
+    monkeypatch.setattr(hw, "BATCH_BYTES", 1)
+    assert _rows(hw.heavy_words_by_rating(df, 5)) == _rows(top_words_by_rating(df, 5))
