@@ -31,3 +31,9 @@ def test_entry_gives_top_words(spark):
 
 def test_model_stop_words_are_the_defaults(spark):
     assert ML_STOP_WORDS == StopWordsRemover.loadDefaultStopWords("english")
+
+
+def test_texts_are_not_shuffled_by_review(spark, sf_dir, capsys):
+    queries()["join_predictions_source"](spark, sf_dir).explain("extended")
+    plan = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1]
+    assert plan.index("Join Inner, (review_id") < plan.index("md5(")
