@@ -13,6 +13,7 @@ from pyspark.storagelevel import StorageLevel
 
 from reviewscope.functions.numbers import binarize
 
+ROWS_PER_PARTITION = 20_000
 ID_FEATURES = ["user_id", "review_id", "business_id"]
 
 
@@ -28,6 +29,14 @@ def stable_order(df: DataFrame, key: str, partitions: int | None = None) -> Data
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
+def search_partitions(df: DataFrame) -> int:
+    """One for every ROWS_PER_PARTITION counted rows, at most the session's number of shuffle partitions.
+
+    A search fits with many short jobs, whose cost on few rows is their number of tasks.
+    """
+    return min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), max(1, -(-df.count() // ROWS_PER_PARTITION)))
+
+
 @contextmanager
 def kept_rows(rows: DataFrame) -> Iterator[DataFrame]:
     """Keep ``rows`` while a fit passes over them again and again, so that the source is read once."""

@@ -5,21 +5,20 @@ from __future__ import annotations
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator,
 )
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewscope.functions.numbers import is_number
-from reviewscope.models.frames import kept_rows, stable_order
+from reviewscope.models.frames import kept_rows, search_partitions, stable_order
 from reviewscope.session import checkpoint_root
 
-SEED = 42
-
 # The published parameter grids. alpha is left out of the
 # recommender's, it has no effect on explicit ratings.
 ALS_GRID = {"rank": [1, 5], "maxIter": [5, 10], "regParam": [0.3, 0.1]}
@@ -103,7 +102,7 @@ def tune_on_split(
     """
     checkpoint_root(train.sparkSession)
     points = build_grid(estimator, grid)
-    with kept_rows(stable_order(train, key)) as rows:
+    with kept_rows(stable_order(train, key, search_partitions(train))) as rows:
         fitting, judging = rows.where(~in_validation_part(key, validation_tenths)), rows.where(in_validation_part(key, validation_tenths))
 
         def judge(point: dict) -> float:
@@ -119,15 +118,28 @@ def tune_by_folds(
     estimator: Estimator, grid: dict[str, list], evaluator: Evaluator, train: DataFrame, key: str,
     folds: int = 5, parallelism: int = 4,
 ) -> CrossValidatorModel:
-    """Cross-validation whose folds depend on ``key`` alone."""
+    """Cross-validation whose folds depend on ``key`` alone.
+
+    The folds are filters on one kept table, not copies of it; all points of all folds share one pool.
+    """
     checkpoint_root(train.sparkSession)
+    points = build_grid(estimator, grid)
     fold = F.pmod(F.xxhash64(F.col(key)), F.lit(folds)).cast("int")
-    tuner = CrossValidator(
-        estimator=estimator, estimatorParamMaps=build_grid(estimator, grid), evaluator=evaluator,
-        numFolds=folds, foldCol="_fold", seed=SEED, parallelism=parallelism,
-    )
-    with kept_rows(stable_order(train.withColumn("_fold", fold), key)) as rows:
-        return tuner.fit(rows)
+    with kept_rows(stable_order(train.withColumn("_fold", fold), key, search_partitions(train))) as rows:
+
+        def judge(task: tuple[int, int]) -> float:
+            at, point = task
+            fitted = estimator.fit(rows.where(F.col("_fold") != at), points[point])
+            return evaluator.evaluate(fitted.transform(rows.where(F.col("_fold") == at)))
+
+        tasks = [(at, point) for at in range(folds) for point in range(len(points))]
+        with ThreadPool(parallelism) as pool:
+            metrics = np.array(pool.map(inheritable_thread_target(train.sparkSession)(judge), tasks)).reshape(folds, len(points))
+        average = metrics.mean(0)
+        best = int(average.argmax() if evaluator.isLargerBetter() else average.argmin())
+        model = CrossValidatorModel(estimator.fit(rows, points[best]), average.tolist(), stdMetrics=metrics.std(0).tolist())
+        model.set(model.estimatorParamMaps, points)
+        return model
 
 
 def grid_table(model: SplitTuned | CrossValidatorModel, spark: SparkSession) -> DataFrame:

@@ -198,3 +198,13 @@ def test_frames(spark):
     assert frames.assembled_array(frames.id_frame(df)).first()["features"] == [3.0, 4.0, 5.0]
     assert tuple(frames.rating_frame(df).first()) == (3, 5, 1.0)
     assert tuple(frames.text_frame(df).first()) == ("x", 1.0)
+
+
+def test_searches_on_few_rows_use_few_tasks_and_native_folds(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(tuning, "stable_order", lambda df, key, n=None: (seen.append(n), frames.stable_order(df, key, n))[1])
+    train = spark.range(400).select(F.col("id").alias("row_id"), *[(F.col("id") * k % 97).alias(c) for k, c in enumerate(frames.ID_FEATURES, 2)], (F.col("id") % 2).cast("double").alias("label"))
+    model = tuning.tune_by_folds(trees.tree_pipeline(), {"maxDepth": [1, 2]}, tuning.score_auc(), train, "row_id", folds=2)
+    assert seen == [1] and len(model.avgMetrics) == len(model.stdMetrics) == len(model.getEstimatorParamMaps()) == 2
+    monkeypatch.setattr(frames, "ROWS_PER_PARTITION", 150)
+    assert frames.search_partitions(train) == 3
