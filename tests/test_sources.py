@@ -73,3 +73,10 @@ def test_default_folder_is_below_the_warehouse(spark, monkeypatch):
     monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
     monkeypatch.setattr(type(spark.sparkContext), "setCheckpointDir", lambda self, path: None)
     assert session.checkpoint_root(spark) == spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
+
+
+def test_compressed_csv_keeps_every_character(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    write_csv(spark.createDataFrame(TRICKY, "id int, text string").repartition(2), str(path), compression="gzip")
+    assert list(path.glob("*.csv.gz")) and not list(path.glob("*.csv"))
+    assert sorted(map(tuple, read_csv_reviews(spark, str(path), T.StructType.fromDDL("id int, text string")).collect())) == TRICKY
