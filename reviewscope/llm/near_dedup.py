@@ -8,17 +8,24 @@ similar. Candidates whose bitmaps differ by ``DEVIATIONS`` standard deviations m
 than those of a pair at the threshold are dropped, all others are confirmed on the
 full shingle sets.
 
-Within a bucket no pairs are listed wholesale. In rounds, until one finds no link,
-every member of a bucket meets three leaders (the member that shares most buckets,
-and two that change with the round); each text is confirmed against the nearest
-leader outside its component, and confirmed links join components. Only members
-of different components that still share a bucket are then compared with each
-other, inside a join whose condition holds the sketch test, so a large group that
-has become one component adds nothing. A pair that shares several buckets is made in
-the bucket of its lowest common band only. With 32 bands of 4 rows a pair of
-similarity 0.8 is missed with probability 5e-8 and dropped by the sketches with
-about 3e-7. Sets far smaller than ``BINS`` are held almost whole by their samples,
-so for short texts the bitmaps tell nearly the exact difference.
+In a bucket of up to ``FEW`` members all pairs are made, by number only; each pair is
+tested once, however many buckets it shares. In larger ones, the crowds, no pairs are
+listed wholesale. In rounds, until one finds no link or there are ``FEW_PAIRS`` pairs
+per member at most, every member of a crowd meets
+three leaders (the member that shares most crowds, and two that change with the
+round); each text is confirmed against the nearest leader outside its component, and
+confirmed links join components. Only members of different components that still
+share a crowd are then compared with each other, inside a join whose condition holds
+the sketch test, so a large group that has become one component adds nothing. A pair
+that shares several crowds is made in that of its lowest common band only. With 56
+bands of 6 rows a pair of similarity 0.8 is missed with probability 4e-8 and dropped
+by the sketches with about 3e-7, while one of similarity 0.2 shares a bucket with
+probability 0.004. Sets far smaller than ``BINS`` are held almost whole by their
+samples, so for short texts the bitmaps tell nearly the exact difference.
+
+Full sets are made for the texts of pairs that look alike and of crowds. Their texts
+are found by a list of checksums that is broadcast up to ``LISTED`` of them, so that
+the other texts are not shuffled.
 
 Edge cases: a text without words is linked with nothing; texts equal up to letter
 case are one node; a NULL id belongs to its text's component and is never its
@@ -34,21 +41,24 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from reviewscope.llm.common import list_parts, word_list
-from reviewscope.llm.components import connected_components
+from reviewscope.llm.components import connected_components, merged_components
 from reviewscope.session import materialize
 
-BANDS, ROWS = 32, 4
+BANDS, ROWS = 56, 6
 BINS = 2048
 SKETCH_WORDS = 32         # 2048 parity bits
 SHINGLE = 4
 THRESHOLD = 80            # per cent
 DEVIATIONS = 5.0          # of the bitmaps of a pair at the threshold
 CHUNK_TOKENS = 1 << 17
+FEW = 8                   # members of a bucket whose pairs are all made
+FEW_PAIRS = 64            # per member of a crowd: from here on they are compared without further leaders
+LISTED = 2_000_000        # checksums of texts that are broadcast at most
 SEEN = ("n", "sketch")
 NO_ID = 1 << 62           # nodes of texts without any id start here
 LONGS = ArrayType(LongType())
@@ -76,15 +86,17 @@ def shingle_set(tokens: np.ndarray, size: int = SHINGLE) -> np.ndarray:
 
 
 _SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * _BASE)
+_MASKS, _FACTORS = _SEEDS.astype(np.uint32)[:, None], (_SEEDS >> np.uint64(32)).astype(np.uint32)[:, None] | np.uint32(1)
 
 
 def minhashes(shingles: np.ndarray, block: int = 1 << 18) -> np.ndarray:
-    """BANDS * ROWS samples; long sets are folded in blocks."""
-    out = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    """BANDS * ROWS samples of 32 bits; long sets are folded in blocks."""
+    out = np.full(BANDS * ROWS, np.iinfo(np.uint32).max, np.uint32)
+    short = shingles.astype(np.uint32)
     step = max(1, block // len(_SEEDS))
-    for at in range(0, len(shingles), step):
-        values = (shingles[at:at + step][None, :] ^ _SEEDS[:, None]) * _MIX
-        values ^= values >> np.uint64(32)
+    for at in range(0, len(short), step):
+        values = short[at:at + step][None, :] ^ _MASKS
+        values *= _FACTORS
         out = np.minimum(out, values.min(1))
     return out
 
@@ -172,7 +184,7 @@ def differing_bits(a: str, b: str) -> Column:
     return reduce(add, [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(SKETCH_WORDS)])
 
 
-def _sizes_fit(a: str, b: str) -> Column:
+def _sizes_fit(a: Column | str, b: Column | str) -> Column:
     """Sets of too unequal sizes cannot reach the threshold."""
     return 100 * F.least(a, b) >= THRESHOLD * F.greatest(a, b)
 
@@ -191,39 +203,58 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _few_pairs(members: DataFrame) -> DataFrame:
+    """All pairs (a, b) of buckets with up to FEW members whose sizes fit, each once."""
+    few = members.where(F.col("size") <= FEW).groupBy("bucket").agg(F.collect_list(F.struct("node", "n")).alias("all"))
+    pairs = F.flatten(F.transform("all", lambda a: F.transform(
+        F.filter("all", lambda b: (a["node"] < b["node"]) & _sizes_fit(a["n"], b["n"])),
+        lambda b: F.struct(a["node"].alias("a"), b["node"].alias("b")),
+    )))
+    return few.select(F.explode(pairs).alias("p")).select("p.a", "p.b").distinct()
+
+
+def _with_sketches(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) with both sketches, of those that look alike."""
+    return (
+        pairs.join(nodes.select(F.col("node").alias("a"), *[F.col(c).alias(f"a_{c}") for c in SEEN]), "a")
+        .join(nodes.select(F.col("node").alias("b"), *[F.col(c).alias(f"b_{c}") for c in SEEN]), "b")
+        .where(_sizes_fit("a_n", "b_n") & look_alike("a_", "b_"))
+    )
+
+
 def _leader_pairs(members: DataFrame, nodes: DataFrame, turn: int) -> DataFrame:
     """One candidate pair per node at most: the look-alike leader outside its component whose sketch is nearest."""
-    shared = materialize(members.groupBy("bucket").agg(F.count("*").alias("size")), "bucket-sizes")
-    fame = materialize(members.join(shared, "bucket").groupBy("node").agg(F.sum("size").alias("fame")), "fame")
     who = F.struct("node", "component")
     draw = F.xxhash64("node", F.lit(turn))
-    leaders = members.join(fame, "node").groupBy("bucket").agg(F.array(
+    leaders = members.groupBy("bucket").agg(F.array(
         F.max(F.struct("fame", who.alias("who")))["who"], F.min(F.struct(draw, who.alias("who")))["who"],
         F.max(F.struct(draw, who.alias("who")))["who"],
     ).alias("leaders"))
     leaders = materialize(leaders, "leaders")
     met = (
         members.join(leaders, "bucket").select("node", "component", F.explode(F.array_distinct("leaders")).alias("leader"))
-        .where("component <> leader.component").select("node", F.col("leader.node").alias("leader")).distinct()
-        .join(nodes.select("node", *[F.col(c).alias(f"a_{c}") for c in SEEN]), "node")
-        .join(nodes.select(F.col("node").alias("leader"), *[F.col(c).alias(f"b_{c}") for c in SEEN]), "leader")
-        .where(_sizes_fit("a_n", "b_n") & look_alike("a_", "b_"))
+        .where("component <> leader.component").select(F.col("node").alias("a"), F.col("leader.node").alias("b")).distinct()
     )
-    nearest = F.min(F.struct(differing_bits("a_sketch", "b_sketch").alias("bits"), F.col("leader").alias("leader")))
-    return met.groupBy("node").agg(nearest.alias("best")).select(F.col("node").alias("a"), F.col("best.leader").alias("b"))
+    nearest = F.min(F.struct(differing_bits("a_sketch", "b_sketch").alias("bits"), F.col("b").alias("leader")))
+    return _with_sketches(met, nodes).groupBy("a").agg(nearest.alias("best")).select("a", F.col("best.leader").alias("b"))
 
 
-def _regrouped(members: DataFrame, links: DataFrame) -> DataFrame:
+def _regrouped(members: DataFrame, component: DataFrame) -> DataFrame:
     """Members with their components, of those buckets that still hold several."""
-    found = materialize(connected_components(links), "components")
-    labelled = members.select("bucket", "node").join(found, "node", "left").select(
-        "bucket", "node", F.coalesce("component", "node").alias("component"),
+    labelled = members.drop("component").join(component, "node", "left").select(
+        "bucket", "node", "fame", F.coalesce("component", "node").alias("component"),
     )
     labelled = materialize(labelled, "bucket-components")
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     return materialize(labelled.join(materialize(mixed.select("bucket"), "mixed"), "bucket"), "mixed-buckets")
 
 
+def _crowding(members: DataFrame) -> float:
+    """Pairs of one bucket per member, 0 without members."""
+    sizes = members.groupBy("bucket").agg(F.count("*").cast("double").alias("size"))
+    return sizes.agg(F.coalesce(F.sum(F.col("size") * F.col("size")) / F.sum("size"), F.lit(0.0))).first()[0]
+
+
 def _owned(rows: DataFrame, owners: DataFrame) -> DataFrame:
     """The rows (key, same) of each node's own id and text, with the node; copies of a text under other ids stay where they are."""
     keyed = rows.where("key is not null").join(
@@ -232,6 +263,30 @@ def _owned(rows: DataFrame, owners: DataFrame) -> DataFrame:
     return keyed.unionByName(keyless.select(keyed.columns))
 
 
+def _texts_of(docs: DataFrame, key: str, text: str, involved: DataFrame) -> DataFrame:
+    """Rows (key, same, text) of the documents, without most texts that are not involved."""
+    texts = docs.select(text_class(text).alias("same"), F.col(key).alias("key"), F.col(text).alias("text"))
+    if involved.count() > LISTED:
+        return texts
+    marks = involved.select(F.xxhash64("same").alias("mark")).distinct()
+    return texts.withColumn("mark", F.xxhash64("same")).join(F.broadcast(marks), "mark", "left_semi").drop("mark")
+
+
+def _crowd_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of look-alikes that share a bucket but no component; each comes from its lowest common band."""
+    sketched = members.join(nodes, "node")
+    left, right = (sketched.select("bucket", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "component", "bands", *SEEN)]) for side in "ab")
+    return (
+        left.join(right, "bucket")
+        .where(
+            (F.col("a_node") < F.col("b_node")) & (F.col("a_component") != F.col("b_component"))
+            & _sizes_fit("a_n", "b_n") & look_alike("a_", "b_")
+            & (F.get(F.array_intersect("a_bands", "b_bands"), F.lit(0)) == F.col("bucket"))
+        )
+        .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    )
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: key, n_shingles, component_id (smallest id of the component), kept and text_class."""
     rows = materialize(
@@ -245,36 +300,38 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     owners = materialize(classes.groupBy("node").agg(F.min("same").alias("same")), "owners")
     nodes = materialize(_owned(worded, owners).select("node", *SEEN, "bands").dropDuplicates(["node"]), "nodes")
 
-    every = nodes.select("node", F.explode("bands").alias("bucket"))
-    crowded = every.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = materialize(every.join(materialize(crowded, "crowded"), "bucket").withColumn("component", F.col("node")), "members")
-
-    involved = owners.join(members.select("node").distinct(), "node")
-    texts = docs.select(text_class(text).alias("same"), F.col(key).alias("key"), F.col(text).alias("text"))
-    sets = _owned(texts, involved).dropDuplicates(["node"]).select("node", _shingles(_tokens("text")).alias("shingles"))
-    sets = materialize(sets, "shingle-sets")
-
-    links, open_members, turn = None, members, 0
-    while True:
-        found = materialize(confirm(materialize(_leader_pairs(open_members, nodes, turn), "leader-pairs"), sets), "links")
-        links = found if links is None else links.unionByName(found)
+    every = nodes.select("node", "n", F.explode("bands").alias("bucket"))
+    crowded = materialize(every.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "crowded")
+    members = materialize(every.join(crowded, "bucket"), "members")
+    fame = F.sum("size").over(Window.partitionBy("node"))
+    crowds = members.where(F.col("size") > FEW).select("bucket", "node", fame.alias("fame"), F.col("node").alias("component"))
+    crowds = materialize(crowds, "crowds")
+
+    met = materialize(_with_sketches(_few_pairs(members), nodes).select("a", "b"), "few-pairs")
+    involved = met.select(F.col("a").alias("node")).unionByName(met.select(F.col("b").alias("node"))).unionByName(crowds.select("node"))
+    involved = materialize(owners.join(involved.distinct(), "node"), "involved")
+    sets = _owned(_texts_of(docs, key, text, involved), involved).dropDuplicates(["node"])
+    sets = materialize(sets.select("node", _shingles(_tokens("text")).alias("shingles")), "shingle-sets")
+
+    apart, turn, crowded = crowds, 0, _crowding(crowds)
+    if crowded:
+        met = met.unionByName(materialize(_leader_pairs(crowds, nodes, turn), "leader-pairs"))
+    links = materialize(confirm(met, sets), "links")
+    component = materialize(connected_components(links), "components")
+    if crowded:
+        apart = _regrouped(crowds, component)
+        crowded = _crowding(apart)
+    while crowded > FEW_PAIRS:
+        turn += 1
+        found = materialize(confirm(materialize(_leader_pairs(apart, nodes, turn), "leader-pairs"), sets), "links")
         if found.isEmpty():
             break
-        open_members, turn = _regrouped(open_members.select("bucket", "node"), links), turn + 1
-
-    sketched = open_members.join(nodes, "node")
-    left, right = (sketched.select("bucket", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "component", "bands", *SEEN)]) for side in "ab")
-    pairs = (
-        left.join(right, "bucket")
-        .where(
-            (F.col("a_node") < F.col("b_node")) & (F.col("a_component") != F.col("b_component"))
-            & _sizes_fit("a_n", "b_n") & look_alike("a_", "b_")
-            & (F.get(F.array_intersect("a_bands", "b_bands"), F.lit(0)) == F.col("bucket"))
-        )
-        .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-    )
-    links = links.unionByName(confirm(materialize(pairs, "pairs"), sets))
-    component = connected_components(links)
+        component = materialize(merged_components(component, found), "components")
+        apart = _regrouped(apart, component)
+        crowded = _crowding(apart)
+    if crowded:
+        found = materialize(confirm(materialize(_crowd_pairs(apart, nodes), "pairs"), sets), "links")
+        component = merged_components(component, found)
 
     labelled = classes.join(component, "node", "left").select("same", "node", F.coalesce("component", "node").alias("component"))
     out = rows.select("key", "same", F.col("n").alias("n_shingles")).join(labelled, "same", "left")

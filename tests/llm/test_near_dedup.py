@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 
 from reviewscope.llm import near_dedup as nd
-from reviewscope.llm.components import connected_components
+from reviewscope.llm import components
+from reviewscope.llm.components import connected_components, merged_components
 
 
 def sets_of(texts):
@@ -103,3 +104,38 @@ def test_components_of_chains_stars_and_copies(spark):
             if a != b:
                 label[a] = label[b] = min(label[a], label[b])
     assert found == label
+
+
+def test_unlike_texts_seldom_share_a_bucket():
+    """Chance buckets grow with the square of the texts; those of pairs at the threshold must stay."""
+    rng = np.random.default_rng(11)
+
+    def sharing(similarity):
+        pairs = [overlapping(rng, 300, similarity) for _ in range(300)]
+        return np.mean([len(np.intersect1d(*[nd.band_keys(nd.minhashes(x)) for x in p])) > 0 for p in pairs])
+
+    assert sharing(0.2) <= 0.02 and sharing(0.3) <= 0.1 and sharing(0.8) == 1
+
+
+def test_stars_need_no_round(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(components, "materialize", lambda df, name: made.append(name) or df)
+    links = spark.createDataFrame([(1, i) for i in range(2, 9)] + [(10, 11)], "a bigint, b bigint")
+    assert sorted(connected_components(links).collect()) == [(i, 1) for i in range(1, 9)] + [(10, 10), (11, 10)]
+    assert made == ["links"]
+
+
+def test_further_links_join_components(spark):
+    found = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5), (8, 8), (9, 8)], "node bigint, component bigint")
+    links = spark.createDataFrame([(6, 2), (2, 1), (20, 6), (31, 30)], "a bigint, b bigint")
+    assert sorted(merged_components(found, links).collect()) == [(1, 1), (2, 1), (5, 1), (6, 1), (8, 8), (9, 8), (20, 1), (30, 30), (31, 30)]
+    assert sorted(merged_components(found, links.limit(0)).collect()) == sorted(found.collect())
+
+
+def test_crowds_of_other_texts(docs_of, sentence, monkeypatch):
+    """Buckets larger than FEW, with leaders until they find no link."""
+    texts = [f"{b} end{i} x{i}" for b in [sentence(80, i) for i in range(3)] for i in range(12)]
+    monkeypatch.setattr(nd, "FEW", 2)
+    monkeypatch.setattr(nd, "FEW_PAIRS", 0)
+    out = sorted(nd.near_duplicates(docs_of(texts)).collect(), key=lambda r: r["doc_id"])
+    assert [r["component_id"] for r in out] == [i // 12 * 12 for i in range(36)]
