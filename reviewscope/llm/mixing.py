@@ -4,8 +4,9 @@ Each source gets a target of words. Among all ways to take documents at rates
 between 0 and ``MOST``, the one closest in entropy to taking each once and with
 the target met has rates exp(dual * size / mean size), cut at ``MOST``. The duals
 solve one convex equation per source; Newton steps (bisection where one leaves
-the bracket) run for all sources at once, each an aggregation over the distinct
-(source, size) pairs. Rates become whole copies by systematic rounding in order
+the bracket) run on each source's distinct sizes with their counts, in one task per
+source: k distinct sizes need k * k / 2 words at least, so even a source of 10^12
+words has fewer than 1.5 million. Rates become whole copies by systematic rounding in order
 of size within the source, so the rounding error of a source stays near one
 document's words.
 
@@ -18,6 +19,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,46 +82,37 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     return ranked.select("source_key", "source_size", "least_size", "n_sized", target.alias("target"))
 
 
+def _solver(cut: float):
+    def solve(rows: pa.Table) -> pa.Table:
+        size, n = (rows.column(c).to_numpy().astype(float) for c in ("size", "n"))
+        order = np.argsort(size)  # sums in one order, whatever the layout
+        size, n = size[order], n[order]
+        source_size, least_size, target, mean_size = (rows.column(c)[0].as_py() for c in ("source_size", "least_size", "target", "mean_size"))
+        x = size / mean_size
+        low = min(math.log(target / source_size) * mean_size / least_size, 0.0) if target > 0 else 0.0
+        high, dual = cut * mean_size / least_size, 0.0
+        for _ in range(MAX_ROUNDS):
+            tilt = dual * x
+            words = n * size * np.exp(np.minimum(tilt, cut))
+            gap, slope = words.sum() - target, (words * x)[tilt < cut].sum()
+            low, high = (dual if gap < 0 else low), (dual if gap > 0 else high)
+            if abs(gap) <= TOLERANCE * target or high - low <= 1e-13 * abs(dual):
+                break
+            newton = dual - gap / slope if slope else math.inf
+            dual = newton if low < newton < high else (low + high) / 2
+        return pa.table({"source_key": rows.column("source_key").slice(0, 1), "dual": pa.array([dual], pa.float64())})
+
+    return solve
+
+
 def solve_duals(sizes: DataFrame, targets: DataFrame, most: float = MOST) -> DataFrame:
     """Adds ``dual`` and ``mean_size`` per source; NULL dual: every document at ``most``."""
     mean = F.try_divide(F.col("source_size").cast("double"), F.col("n_sized"))  # NULL for a source without words
-    cut = math.log(most)
-    x_least = F.col("least_size") / F.col("mean_size")
-    state = targets.withColumn("mean_size", mean).withColumns({
-        "open": (F.col("source_size") > 0) & (F.col("target") < F.col("source_size") * most * (1 - 1e-12)),
-        "low": F.least(F.log(F.try_divide("target", "source_size")) / x_least, F.lit(0.0)),
-        "high": cut / x_least,
-        "dual": F.lit(0.0),
-    })
-    state = materialize(state, "duals")
-    steep = sizes.where("size > 0")
-    for _ in range(MAX_ROUNDS):
-        if state.where("open").isEmpty():
-            break
-        tilt = F.col("dual") * F.col("size") / F.col("mean_size")
-        words = F.col("n") * F.col("size") * F.exp(F.least(tilt, F.lit(cut)))
-        slope = F.when(tilt < cut, words * F.col("size") / F.col("mean_size"))
-        sums = steep.join(state.where("open").select("source_key", "dual", "mean_size"), "source_key").groupBy("source_key").agg(
-            F.sum(words).alias("words"), F.sum(slope).alias("slope"),
-        )
-        gap = F.col("words") - F.col("target")
-        low = F.when(gap < 0, F.col("dual")).otherwise(F.col("low"))
-        high = F.when(gap > 0, F.col("dual")).otherwise(F.col("high"))
-        newton = F.col("dual") - gap / F.col("slope")
-        moved = state.join(sums, "source_key", "left").withColumns({
-            "done": F.coalesce(F.abs(gap) <= TOLERANCE * F.col("target"), F.lit(False)), "new_low": low, "new_high": high,
-            "newton": newton,
-        })
-        inside = F.coalesce((F.col("newton") > F.col("new_low")) & (F.col("newton") < F.col("new_high")), F.lit(False))
-        narrow = F.col("new_high") - F.col("new_low") <= 1e-13 * F.abs(F.col("dual"))
-        go = F.col("open") & ~F.col("done") & ~narrow
-        state = materialize(moved.select(
-            "source_key", "source_size", "least_size", "n_sized", "target", "mean_size", go.alias("open"),
-            F.when(F.col("open"), F.col("new_low")).otherwise(F.col("low")).alias("low"),
-            F.when(F.col("open"), F.col("new_high")).otherwise(F.col("high")).alias("high"),
-            F.when(go, F.when(inside, F.col("newton")).otherwise((F.col("new_low") + F.col("new_high")) / 2))
-            .otherwise(F.col("dual")).alias("dual"),
-        ), "duals")
+    fixed = targets.withColumn("mean_size", mean).select("source_key", "source_size", "least_size", "target", "mean_size")
+    open_ = (F.col("source_size") > 0) & (F.col("target") < F.col("source_size") * most * (1 - 1e-12))
+    steep = sizes.where("size > 0").join(fixed.where(open_), "source_key")
+    solved = steep.groupBy("source_key").applyInArrow(_solver(math.log(most)), "source_key string, dual double")
+    state = fixed.join(solved, "source_key", "left").withColumn("dual", F.coalesce("dual", F.lit(0.0)))
     full = F.col("target") >= F.col("source_size") * most * (1 - 1e-12)
     return state.select(
         "source_key", "source_size", "target", "mean_size",
@@ -133,7 +127,7 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source
         word_count(F.col(text)).alias("size"),
     ), "mix-base")
     sizes = materialize(base.groupBy("source_key", "size").agg(F.count("*").alias("n")), "mix-sizes")
-    duals = solve_duals(sizes, source_targets(sizes))
+    duals = materialize(solve_duals(sizes, source_targets(sizes)), "duals")
     rate = F.when(F.col("dual").isNull(), F.lit(MOST)).otherwise(
         F.exp(F.least(F.col("dual") * F.col("size") / F.col("mean_size"), F.lit(math.log(MOST)))),
     )

@@ -79,3 +79,11 @@ def test_odd_rows(docs_of):
     assert [r["taken"] for r in out] == [0, 0, 0]
     one = mx.mix_sources(docs_of(["a b c d"])).collect()[0]
     assert one["target"] == pytest.approx(6) and one["taken"] in (4, 8) and math.isfinite(one["rate"])
+
+
+def test_duals_take_no_table_per_round(docs_of, monkeypatch):
+    """The steps of all sources run inside their tasks; the driver plans one query for them."""
+    made, write = [], mx.materialize
+    monkeypatch.setattr(mx, "materialize", lambda df, name: made.append(name) or write(df, name))
+    assert len(mx.mix_sources(docs_of(rows_of(3, 200))).collect()) == 200
+    assert len(made) <= 8 and made.count("duals") == 1
