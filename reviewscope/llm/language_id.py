@@ -297,7 +297,8 @@ def identify(docs: DataFrame, models: LanguageModels, text: str = "text") -> Dat
         for batch in batches:
             yield _scored(known, batch)
 
-    out = docs.withColumn("_found", score(F.col(text)))
+    # Spark moves a filter on a deterministic result below it and so scores every text twice, in two workers.
+    out = docs.withColumn("_found", score.asNondeterministic()(F.col(text)))
     return out.withColumns({
         "lang_pred": F.col("_found.lang"), "score": F.col("_found.score"), "entropy": F.col("_found.entropy"),
         "n_letters": F.col("_found.n_letters"), "rejected": F.col("_found.rejected"),

@@ -86,3 +86,9 @@ def test_every_labelled_text_is_learned_from_and_calibrates(docs_of, monkeypatch
     chars = np.array([[ord(c) for c in text[-5:-1]] for _, text, *_ in rows], np.uint32)
     assert set(li._row_hashes(chars).tolist()) <= known
     assert models.languages == ["en", "fr"] and seen == [999] and models.means is not None
+
+
+def test_a_filter_on_the_result_scores_texts_once(docs_of, models):
+    rows = docs_of([(i, f"the common words of text {i}", "en", None, 0) for i in range(4)] + [(9, None, "en", None, 0)])
+    scored = li._entropies(rows, models)
+    assert scored.count() == 4 and scored._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
