@@ -34,11 +34,13 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """One document of each group of near-duplicates stays."""
     found = near_dedup.near_duplicates(docs.select("doc_id", "text"))
     # A row is known by its id and its text: NULL ids and ids that occur twice are told apart.
-    keep = found.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_class").alias("kept_class")).distinct()
+    # Plain columns, so that whole rows are shuffled once for the join and for what repeats.
+    known = [F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id")]
+    keep = found.where("kept").select(*known, "text_class").distinct()
     return (
-        _packed(docs).withColumn("text_class", near_dedup.text_class("text"))
-        .join(keep, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_class") == F.col("kept_class")), "left_semi")
-        .dropDuplicates(["doc_id", "text_class"]).select("row.*")
+        _packed(docs).select("row", *known, near_dedup.text_class("text").alias("text_class"))
+        .join(keep, ["id", "no_id", "text_class"], "left_semi")
+        .dropDuplicates(["id", "no_id", "text_class"]).select("row.*")
     )
 
 

@@ -11,9 +11,10 @@ full shingle sets.
 In a bucket of up to ``FEW`` members all pairs are made, by number only; each pair is
 tested once, however many buckets it shares. In larger ones, the crowds, no pairs are
 listed wholesale. In rounds, until one finds no link or there are ``FEW_PAIRS`` pairs
-per member at most, every member of a crowd meets
+per member at most, every crowd has
 three leaders (the member that shares most crowds, and two that change with the
-round); each text is confirmed against the nearest leader outside its component, and
+round), and every member meets the ``MEETS`` leaders with which it shares most crowds,
+however many crowds it is in; each text is confirmed against the nearest leader outside its component, and
 confirmed links join components. Only members of different components that still
 share a crowd are then compared with each other, inside a join whose condition holds
 the sketch test, so a large group that has become one component adds nothing. A pair
@@ -25,7 +26,8 @@ samples, so for short texts the bitmaps tell nearly the exact difference.
 
 Full sets are made for the texts of pairs that look alike and of crowds. Their texts
 are found by a list of checksums that is broadcast up to ``LISTED`` of them, so that
-the other texts are not shuffled.
+the other texts are not shuffled. Up to ``LISTED`` pairs are broadcast, too: sketches and
+sets are then shuffled once for each pair and second member, not those of all nodes.
 
 Edge cases: a text without words is linked with nothing; texts equal up to letter
 case are one node; a NULL id belongs to its text's component and is never its
@@ -35,7 +37,7 @@ equal ids are the same document, compared by the text whose checksum is least; a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from operator import add
 
@@ -58,7 +60,8 @@ DEVIATIONS = 5.0          # of the bitmaps of a pair at the threshold
 CHUNK_TOKENS = 1 << 17
 FEW = 8                   # members of a bucket whose pairs are all made
 FEW_PAIRS = 64            # per member of a crowd: from here on they are compared without further leaders
-LISTED = 2_000_000        # checksums of texts that are broadcast at most
+MEETS = 3                 # leaders that a member of crowds meets in a round
+LISTED = 2_000_000        # checksums of texts, or pairs, that are broadcast at most
 SEEN = ("n", "sketch")
 NO_ID = 1 << 62           # nodes of texts without any id start here
 LONGS = ArrayType(LongType())
@@ -189,16 +192,23 @@ def _sizes_fit(a: Column | str, b: Column | str) -> Column:
     return 100 * F.least(a, b) >= THRESHOLD * F.greatest(a, b)
 
 
+def _with_both(pairs: DataFrame, nodes: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The pairs (a, b) of a written table, with these columns of both nodes under the prefixes ``a_`` and ``b_``."""
+    pairs = pairs.select("a", "b")
+    first, second = (nodes.select(F.col("node").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in columns]) for end in "ab")
+    if pairs.count() > LISTED:
+        return pairs.join(first, "a").join(second, "b")
+    # Nodes without a pair stay where they are.
+    second = second.join(F.broadcast(pairs.select("b")), "b", "left_semi")
+    return first.join(F.broadcast(pairs), "a").join(second, "b")
+
+
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets (node, shingles) reach the threshold."""
-    both = (
-        pairs.select("a", "b")
-        .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
-        .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
-    )
-    shared = F.size(F.array_intersect("set_a", "set_b"))
+    shared = F.size(F.array_intersect("a_shingles", "b_shingles"))
     return (
-        both.select("a", "b", shared.alias("shared"), (F.size("set_a") + F.size("set_b")).alias("sum"))
+        _with_both(pairs, sets, ["shingles"])
+        .select("a", "b", shared.alias("shared"), (F.size("a_shingles") + F.size("b_shingles")).alias("sum"))
         .where(100 * F.col("shared") >= THRESHOLD * (F.col("sum") - F.col("shared"))).select("a", "b")
     )
 
@@ -215,11 +225,7 @@ def _few_pairs(members: DataFrame) -> DataFrame:
 
 def _with_sketches(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) with both sketches, of those that look alike."""
-    return (
-        pairs.join(nodes.select(F.col("node").alias("a"), *[F.col(c).alias(f"a_{c}") for c in SEEN]), "a")
-        .join(nodes.select(F.col("node").alias("b"), *[F.col(c).alias(f"b_{c}") for c in SEEN]), "b")
-        .where(_sizes_fit("a_n", "b_n") & look_alike("a_", "b_"))
-    )
+    return _with_both(pairs, nodes, SEEN).where(_sizes_fit("a_n", "b_n") & look_alike("a_", "b_"))
 
 
 def _leader_pairs(members: DataFrame, nodes: DataFrame, turn: int) -> DataFrame:
@@ -231,10 +237,13 @@ def _leader_pairs(members: DataFrame, nodes: DataFrame, turn: int) -> DataFrame:
         F.max(F.struct(draw, who.alias("who")))["who"],
     ).alias("leaders"))
     leaders = materialize(leaders, "leaders")
-    met = (
+    led = (
         members.join(leaders, "bucket").select("node", "component", F.explode(F.array_distinct("leaders")).alias("leader"))
-        .where("component <> leader.component").select(F.col("node").alias("a"), F.col("leader.node").alias("b")).distinct()
+        .where("component <> leader.component").groupBy("node", F.col("leader.node").alias("leader")).agg(F.count("*").alias("shared"))
     )
+    most = F.slice(F.sort_array(F.collect_list(F.struct("shared", F.xxhash64("leader", F.lit(turn)), "leader")), False), 1, MEETS)
+    met = led.groupBy("node").agg(most.alias("most")).select(F.col("node").alias("a"), F.explode("most.leader").alias("b"))
+    met = materialize(met, "met")
     nearest = F.min(F.struct(differing_bits("a_sketch", "b_sketch").alias("bits"), F.col("b").alias("leader")))
     return _with_sketches(met, nodes).groupBy("a").agg(nearest.alias("best")).select("a", F.col("best.leader").alias("b"))
 
@@ -256,9 +265,11 @@ def _crowding(members: DataFrame) -> float:
 
 
 def _owned(rows: DataFrame, owners: DataFrame) -> DataFrame:
-    """The rows (key, same) of each node's own id and text, with the node; copies of a text under other ids stay where they are."""
+    """One row (key, same) of each node's own id and text, with the node; copies of a text under other ids stay where they are."""
+    # Repeated rows leave where the join has dealt them: nothing is shuffled by node again.
     keyed = rows.where("key is not null").join(
-        owners.where(F.col("node") < NO_ID).select("same", "node", F.col("node").alias("key")), ["same", "key"])
+        owners.where(F.col("node") < NO_ID).select("same", "node", F.col("node").alias("key")), ["same", "key"],
+    ).dropDuplicates(["same", "key"])
     keyless = rows.where("key is null").dropDuplicates(["same"]).join(owners.where(F.col("node") >= NO_ID), "same")
     return keyed.unionByName(keyless.select(keyed.columns))
 
@@ -298,7 +309,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     classes = materialize(worded.groupBy("same").agg(node.alias("node"), F.min("key").alias("rep")), "classes")
     # A class is represented by the sketch of any of its rows: all are equal.
     owners = materialize(classes.groupBy("node").agg(F.min("same").alias("same")), "owners")
-    nodes = materialize(_owned(worded, owners).select("node", *SEEN, "bands").dropDuplicates(["node"]), "nodes")
+    nodes = materialize(_owned(worded, owners).select("node", *SEEN, "bands"), "nodes")
 
     every = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     crowded = materialize(every.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "crowded")
@@ -307,10 +318,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     crowds = members.where(F.col("size") > FEW).select("bucket", "node", fame.alias("fame"), F.col("node").alias("component"))
     crowds = materialize(crowds, "crowds")
 
-    met = materialize(_with_sketches(_few_pairs(members), nodes).select("a", "b"), "few-pairs")
+    few = materialize(_few_pairs(members), "few")
+    met = materialize(_with_sketches(few, nodes).select("a", "b"), "few-pairs")
     involved = met.select(F.col("a").alias("node")).unionByName(met.select(F.col("b").alias("node"))).unionByName(crowds.select("node"))
     involved = materialize(owners.join(involved.distinct(), "node"), "involved")
-    sets = _owned(_texts_of(docs, key, text, involved), involved).dropDuplicates(["node"])
+    sets = _owned(_texts_of(docs, key, text, involved), involved)
     sets = materialize(sets.select("node", _shingles(_tokens("text")).alias("shingles")), "shingle-sets")
 
     apart, turn, crowded = crowds, 0, _crowding(crowds)

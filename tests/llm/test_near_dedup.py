@@ -139,3 +139,42 @@ def test_crowds_of_other_texts(docs_of, sentence, monkeypatch):
     monkeypatch.setattr(nd, "FEW_PAIRS", 0)
     out = sorted(nd.near_duplicates(docs_of(texts)).collect(), key=lambda r: r["doc_id"])
     assert [r["component_id"] for r in out] == [i // 12 * 12 for i in range(36)]
+
+
+def test_members_of_many_crowds_meet_few_leaders(spark, monkeypatch):
+    """Every bucket has leaders of its own; a node in 20 of them still meets three."""
+    rng, met = random.Random(4), []
+    rows = [(b, n, n % 7, n) for n in range(60) for b in rng.sample(range(60), 20)]
+    members = spark.createDataFrame(rows, "bucket long, node long, fame long, component long")
+    sketch = nd.odd_sketch(np.arange(1, 300, dtype=np.uint64)).tolist()
+    nodes = spark.createDataFrame([(n, 300, sketch) for n in range(60)], "node long, n long, sketch array<long>")
+    with_sketches = nd._with_sketches
+    monkeypatch.setattr(nd, "_with_sketches", lambda pairs, nodes: met.extend(pairs.collect()) or with_sketches(pairs, nodes))
+    assert nd._leader_pairs(members, nodes, 0).count() == 60
+    assert len(met) == len(set(met)) <= 60 * nd.MEETS and all(a != b for a, b in met)
+    buckets = {n: {r[0] for r in rows if r[1] == n} for n in range(60)}
+    assert all(buckets[a] & buckets[b] for a, b in met)
+
+
+def test_pairs_are_confirmed_with_and_without_broadcast(spark, monkeypatch):
+    sets = nd.materialize(spark.createDataFrame([(i, list(range(i, i + 20))) for i in range(40)], "node long, shingles array<long>"), "sets")
+    pairs = nd.materialize(spark.createDataFrame([(0, 1), (0, 2), (0, 3), (5, 7), (9, 6), (30, 39)], "a long, b long"), "pairs")
+    want = [(0, 1), (0, 2), (5, 7)]
+    seldom = nd.confirm(pairs, sets)
+    assert sorted(map(tuple, seldom.collect())) == want and "Broadcast" in seldom._jdf.queryExecution().toString()
+    monkeypatch.setattr(nd, "LISTED", 2)
+    assert sorted(map(tuple, nd.confirm(pairs, sets).collect())) == want
+
+
+def test_own_rows_are_shuffled_once(spark):
+    """Repeated rows of a node leave without a second shuffle by node."""
+    rows = nd.materialize(spark.createDataFrame([(k, f"t{k % 3}") for k in (0, 1, 2, 3, 4, 5, 0, 1)] + [(None, "u"), (None, "u")], "key long, same string"), "rows")
+    owners = nd.materialize(spark.createDataFrame([(k, f"t{k}") for k in range(3)] + [(nd.NO_ID + 4, "u")], "node long, same string"), "owners")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        own = nd._owned(rows, owners).select("node", "same")
+        assert sorted(map(tuple, own.collect())) == [(0, "t0"), (1, "t1"), (2, "t2"), (nd.NO_ID + 4, "u")]
+        plan = own._jdf.queryExecution().sparkPlan().toString()
+        assert "hashpartitioning(node" not in own._jdf.queryExecution().toString() and plan.count("Join") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
