@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,10 @@ from pyspark.sql import functions as F
 
 from reviewscope.operators.lookup import SMALL_LOOKUP_ROWS, lookup_join
 from reviewscope.operators.ordering import PART, POS, stage_in_order
-from reviewscope.session import materialize
+from reviewscope.session import materialize, scratch_path
+
+FILE, ROW = "_file", "_row"
+PIECE_ROWS, FILE_ROWS = SMALL_LOOKUP_ROWS, 25_000
 
 
 class Codes(NamedTuple):
@@ -99,6 +103,56 @@ def apply_codes(
     return out.select([F.col(f"_code_{c}").alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
+def located(table: DataFrame) -> DataFrame:
+    """Rows of a parquet table with the file and the place in it that they are read from."""
+    return table.select("*", F.col("_metadata.file_name").alias(FILE), F.col("_metadata.row_index").alias(ROW))
+
+
+def apply_codes_in_place(
+    rows: DataFrame, codes: Codes, columns: list[str], folder: str, small: int = SMALL_LOOKUP_ROWS,
+) -> Iterator[DataFrame]:
+    """``apply_codes`` to ``located`` rows of the parquet table in ``folder``, in parts whose rows stay in place and order.
+
+    Ids and places alone are joined with the codes and written by piece: whole files with PIECE_ROWS rows at most. A
+    part reads a few pieces and gets the codes of each by broadcast, so wide rows are never shuffled. The table's files
+    must be bounded, which FILE_ROWS is for. Every row comes out once, whatever its ids are.
+    """
+    spark, shown = rows.sparkSession, [c for c in rows.columns if c not in (FILE, ROW)]
+    schema = rows.select(shown).schema
+    ids = rows.select(FILE, ROW, *columns)
+    pieces: list[list[str]] = []
+    held = PIECE_ROWS
+    for file, n in ids.groupBy(FILE).agg(F.count("*")).orderBy(FILE).collect():
+        if held + n > PIECE_ROWS:
+            pieces.append([])
+            held = 0
+        pieces[-1].append(file)
+        held += n
+    numbers = [(file, piece, number) for piece, files in enumerate(pieces) for number, file in enumerate(files)]
+    coded = apply_codes(ids, codes, columns, small=small).join(
+        F.broadcast(spark.createDataFrame(numbers, f"{FILE} string, _piece int, _number int")), FILE)
+    placed = coded.select("_piece", _place(F.col("_number"), F.col(ROW)).alias("_place"), *[F.col(c).alias(f"_code_{c}") for c in columns])
+    path = scratch_path(spark, "coded")
+    placed.repartition("_piece").write.partitionBy("_piece").parquet(path)
+    lookup = placed.drop("_piece").schema
+
+    def piece_rows(piece: int) -> DataFrame:
+        files = pieces[piece]
+        number = F.element_at(F.map_from_arrays(F.array(*map(F.lit, files)), F.array(*map(F.lit, range(len(files))))), F.col("_metadata.file_name"))
+        wide = spark.read.schema(schema).parquet(*[f"{folder.rstrip('/')}/{file}" for file in files])
+        found = wide.select("*", _place(number, F.col("_metadata.row_index")).alias("_place")).join(
+            F.broadcast(spark.read.schema(lookup).parquet(f"{path}/_piece={piece}")), "_place")
+        return found.select([F.col(f"_code_{c}").alias(c) if c in columns else F.col(c) for c in shown])
+
+    at_once = min(8, max(2, spark.sparkContext.defaultParallelism * FILE_ROWS // PIECE_ROWS))
+    for first in range(0, len(pieces), at_once):
+        yield reduce(DataFrame.unionByName, map(piece_rows, range(first, min(first + at_once, len(pieces)))))
+
+
+def _place(file: Column, row: Column) -> Column:
+    return F.shiftleft(file.cast("bigint"), 33).bitwiseOR(row)
+
+
 def encode_ids(
     df: DataFrame, columns: list[str], row_key: str | None = None,
     spread_by: list[str] | None = None, small: int = SMALL_LOOKUP_ROWS,

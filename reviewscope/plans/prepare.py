@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from reviewscope.functions.cleaning import clean_reviews
-from reviewscope.operators.encode import apply_codes, dense_codes, minmax_scale
+from reviewscope.operators.encode import FILE_ROWS, apply_codes_in_place, dense_codes, located, minmax_scale
 from reviewscope.operators.lookup import SMALL_LOOKUP_ROWS
 from reviewscope.operators.slices import first_rows
 from reviewscope.schema import ID_COLUMNS
@@ -25,18 +27,29 @@ def prepare_tables(
 
     All reviews are encoded, or with ``working_rows`` that many first ones by
     review id.
+
+    Texts are never shuffled: every table keeps the order of ``raw``, so that what stands side by side there is
+    compressed side by side.
     """
     spark = raw.sparkSession
 
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        path = f"{folder.rstrip('/')}/{name}"
-        write_parquet(df, path)
-        return spark.read.schema(df.schema).parquet(path)
+    def path_of(name: str) -> str:
+        return f"{folder.rstrip('/')}/{name}"
+
+    def keep(df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame:
+        write_parquet(df, path_of(name), mode, compression="zstd", maxRecordsPerFile=FILE_ROWS)
+        return spark.read.schema(df.schema).parquet(path_of(name))
 
     clean = keep(clean_reviews(raw), "clean")
-    working = clean if working_rows is None else first_rows(clean, working_rows, "review_id")
+    working = located(clean)
+    if working_rows is not None:
+        working = first_rows(working, working_rows, "review_id")
     codes = dense_codes(working, ID_COLUMNS)
-    encoded = keep(apply_codes(working, codes, ID_COLUMNS, "review_id", small=small), "encoded")
+    # The empty table stands for what earlier runs left, and where no row is encoded.
+    encoded = keep(clean.limit(0).select([F.col(c).cast("bigint") if c in ID_COLUMNS else F.col(c) for c in clean.columns]), "encoded")
+    for part in apply_codes_in_place(working, codes, ID_COLUMNS, path_of("clean"), small):
+        keep(part, "encoded", "append")
+    encoded = open_table(spark, folder, "encoded", encoded.schema)
     scaled = keep(minmax_scale(encoded, ID_COLUMNS, codes.bounds()), "scaled")
     tables = {"clean": clean, "encoded": encoded, "scaled": scaled}
     if subset_rows is not None:
@@ -45,5 +58,6 @@ def prepare_tables(
     return tables
 
 
-def open_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}")
+def open_table(spark: SparkSession, folder: str, name: str, schema: StructType | None = None) -> DataFrame:
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{folder.rstrip('/')}/{name}")

@@ -1,6 +1,11 @@
+import random
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 
 from reviewscope import schema
+from reviewscope.operators import encode
 from reviewscope.plans.prepare import open_table, prepare_tables
 
 
@@ -26,3 +31,37 @@ def test_every_stage_is_written(spark, tmp_path):
         assert tables["scaled"].agg(F.min(column), F.max(column)).first()[:] == (0.0, 1.0)
     # The subset keeps the bounds of the whole working set.
     assert tables["subset"].agg(F.max("review_id")).first()[0] == 49 / 399
+
+
+def test_texts_stay_in_place(spark, tmp_path):
+    """Neighbours stay neighbours, so every table compresses like the first; ids may repeat or be missing."""
+    pick = random.Random(2)
+    texts = ["".join(pick.choices("abcdefghij klmno", k=3_000)) for _ in range(40)]
+    rows = [(f"b'u{i % 37}'", f"b'{texts[i // 50]}'", "b'2018-07-07 22:09:11'", None if i % 100 == 7 else f"b'r{i * 271 % 1_900:04}'",
+             f"b'p{i % 11}'", "b'1'", "b'1'", "b'1'", "b'5'") for i in range(2_000)]
+    raw = spark.createDataFrame(rows, schema.RAW_REVIEWS).coalesce(2)
+    tables = prepare_tables(raw, str(tmp_path / "out"), small=20)
+    size = {name: sum(f.stat().st_size for f in (tmp_path / "out" / name).glob("*.parquet")) for name in tables}
+    assert size["encoded"] < 1.5 * size["clean"] and size["scaled"] < 1.5 * size["clean"]
+    encoded = tables["encoded"]
+    assert encoded.count() == 2_000 and encoded.where("review_id is null").count() == 20
+    ids = sorted({r[3] for r in rows if r[3]})
+    want = Counter((ids.index(r[3]) if r[3] else None, r[1][2:-1]) for r in rows)
+    assert Counter(map(tuple, encoded.select("review_id", "text").collect())) == want
+
+
+@pytest.mark.parametrize("working", [None, 0, 130])
+def test_pieces_of_files_give_what_the_join_gives(spark, tmp_path, monkeypatch, working):
+    monkeypatch.setattr(encode, "PIECE_ROWS", 50)
+    monkeypatch.setattr(encode, "FILE_ROWS", 10)
+    df = spark.range(300).select(F.col("id").alias("review_id"), (F.col("id") * 7 % 23).cast("string").alias("user_id"),
+                                 F.when(F.col("id") % 5 > 0, F.col("id") % 9).alias("business_id"), F.lit("x").alias("text"))
+    df.repartition(3).write.option("maxRecordsPerFile", 20).parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    rows = encode.located(table if working is None else table.where(F.col("review_id") < working))
+    columns = ["user_id", "business_id"]
+    codes = encode.dense_codes(rows, columns)
+    parts = list(encode.apply_codes_in_place(rows, codes, columns, str(tmp_path / "t"), small=5))
+    assert len(parts) >= (0 if working == 0 else 2) and all("Exchange hashpartitioning" not in p._jdf.queryExecution().toString() for p in parts)
+    got = sorted((tuple(r) for p in parts for r in p.collect()), key=str)
+    assert got == sorted(map(tuple, encode.apply_codes(rows, codes, columns).select(table.columns).collect()), key=str)
