@@ -1,7 +1,8 @@
 """Most frequent words per rating without shuffling the vocabulary.
 
-Texts are cut at blanks, and equal pieces of one batch of texts are counted where they are read: the costly word rules
-run once per piece and batch, and the passes read a short table of (rating, word, n) instead of every occurrence.
+Texts are cut at blanks and line breaks, and equal pieces are counted where they are read. Pieces of plain letters and
+digits with such marks at their end as always come apart are words at once; the costly word rules run on the other pieces only, once per
+piece and stretch of texts. The passes read a short table of (rating, word, n) instead of every occurrence.
 
 Pass 1 adds the words up in a few rows of hashed counters per rating: a table whose size depends on neither rows nor
 vocabulary, and in which every counter is an upper bound of each of its words. Pass 2 counts exactly the words whose
@@ -15,6 +16,7 @@ the last place too; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -30,7 +32,14 @@ from reviewscope.schema import RATINGS
 from reviewscope.session import materialize
 
 HASH_ROWS, COUNTERS, FIRST_CANDIDATES = 3, 1 << 15, 8
-BATCH_BYTES = 8 << 20     # of texts whose pieces are counted at once
+BATCH_BYTES = 16 << 20    # of texts whose pieces are counted at once
+KEPT_COUNTS = 1_000_000   # different pieces that a task holds before it sends them on
+OUT_ROWS = 100_000
+NO_RATING = -1 << 63
+PIECES = ["rating", "piece", "n", "done"]
+# Words of these letters, whose lower case is the same everywhere, and the marks that always come apart at the end of one.
+PLAIN = "^[A-Za-z0-9À-ÖØ-öø-ÿ]+(?:[.,:]|[;@#$%&?!]+)?$"
+TWO_WORDS = "cannot|gimme|gonna|gotta|lemme|wanna"
 
 
 def words_of(text: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Column:
@@ -50,24 +59,56 @@ def _runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
         row = stop
 
 
-def _count_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rating, piece, n) of each run of texts."""
-    for batch in batches:
-        ratings = batch.column(0).to_numpy(zero_copy_only=False)
-        for row, stop in _runs(batch.column(1)):
-            for rating in np.unique(ratings[row:stop]).tolist():
-                texts = batch.column(1).slice(row, stop - row).filter(pa.array(ratings[row:stop] == rating))
-                counts = pc.value_counts(pc.split_pattern(texts.cast(pa.large_string()), " ").flatten())
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(counts), rating, np.int32)), counts.field("values").cast(pa.string()), counts.field("counts"),
-                ], ["rating", "piece", "n"])
+def _run_counts(ratings: np.ndarray, texts: pa.Array, stop_words: pa.Array) -> pa.Table:
+    """(rating, piece, n, done) of a run of texts; a piece that is done is a word, the others need the word rules."""
+    texts = texts.cast(pa.large_string())
+    # No rule looks across white space either. But a next-line character counts as an end of text where it comes last.
+    unbroken = pc.replace_substring(texts, "\n", " ")
+    if not re.search(b"\xc2\x85", unbroken.buffers()[2] or b""):
+        texts = unbroken
+    cut = pc.split_pattern(texts, " ")
+    pieces = pa.table([pa.array(ratings).take(pc.list_parent_indices(cut)), pc.list_flatten(cut).cast(pa.string())], PIECES[:2])
+    counts = pieces.group_by(PIECES[:2], use_threads=False).aggregate([([], "count_all")]).rename_columns(PIECES[:3])
+    counts = counts.filter(pc.not_equal(counts.column("piece"), ""))
+    piece = counts.column("piece")
+    word = pc.utf8_lower(pc.ascii_rtrim(piece, characters=".,:;@#$%&?!"))
+    done = pc.and_not(pc.match_substring_regex(piece, PLAIN), pc.match_substring_regex(word, TWO_WORDS))
+    counts = counts.set_column(1, "piece", pc.if_else(done, word, piece)).append_column("done", done)
+    return counts.filter(pc.invert(pc.and_(done, pc.is_in(word, stop_words))))
+
+
+def _merged(counts: list[pa.Table]) -> pa.Table:
+    table = pa.concat_tables(counts).group_by(["rating", "piece", "done"], use_threads=False).aggregate([("n", "sum")])
+    return table.rename_columns(["rating", "piece", "done", "n"]).select(PIECES)
+
+
+def _count_pieces(stop_words: Sequence[str]):
+    """(rating, piece, n, done): runs are added up until more than KEPT_COUNTS different ones are held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stops, held, rows, limit = pa.array(stop_words, pa.string()), [], 0, 2 * KEPT_COUNTS
+        for batch in batches:
+            ratings = batch.column(0).to_numpy(zero_copy_only=False)
+            for row, stop in _runs(batch.column(1)):
+                held.append(_run_counts(ratings[row:stop], batch.column(1).slice(row, stop - row), stops))
+                rows += held[-1].num_rows
+                if rows > limit:
+                    held = [_merged(held)]
+                    if held[0].num_rows > KEPT_COUNTS:
+                        yield from held.pop().to_batches(max_chunksize=OUT_ROWS)
+                    rows = sum(x.num_rows for x in held)
+        if held:
+            yield from _merged(held).to_batches(max_chunksize=OUT_ROWS)
+
+    return run
 
 
 def counted_words(df: DataFrame, text: str, rating: str, stop_words: Sequence[str]) -> DataFrame:
-    """(rating, word, n): occurrences, added up per piece and run of texts; a word has many rows. No rule looks across a blank."""
+    """(rating, word, n): occurrences, added up per piece and task as far as they fit; a word has many rows. No rule looks across a blank."""
     rated = df.where(F.col(rating).isin(RATINGS)).select(F.col(rating).cast("int").alias("rating"), F.col(text).alias("text"))
-    pieces = rated.mapInArrow(_count_pieces, "rating int, piece string, n bigint")
-    return pieces.select(F.col("rating").cast(df.schema[rating].dataType).alias(rating), F.explode(words_of(F.col("piece"), stop_words)).alias("word"), "n")
+    pieces = rated.mapInArrow(_count_pieces(list(stop_words)), "rating int, piece string, n bigint, done boolean")
+    found = F.when(F.col("done"), F.array("piece")).otherwise(words_of(F.col("piece"), stop_words))
+    return pieces.select(F.col("rating").cast(df.schema[rating].dataType).alias(rating), F.explode(found).alias("word"), "n")
 
 
 def counter_of(word: Column, row: int, counters: int) -> Column:
@@ -80,12 +121,35 @@ def _occurrences(words: DataFrame) -> Column:
 
 
 def counter_table(words: DataFrame, rating: str, hash_rows: int, counters: int) -> DataFrame:
-    """(rating, row, counter, n): at most ratings x hash_rows x counters rows, added up ahead of the shuffle."""
-    places = F.array(*[counter_of(F.col("word"), r, counters) for r in range(hash_rows)])
-    return (
-        words.select(rating, *[c for c in words.columns if c == "n"], F.posexplode(places).alias("row", "counter"))
-        .groupBy(rating, "row", "counter").agg(_occurrences(words).alias("n"))
-    )
+    """(rating, row, counter, n): at most ratings x hash_rows x counters rows, added up in arrays ahead of the shuffle."""
+    n = F.col("n") if "n" in words.columns else F.lit(1)
+    places = [counter_of(F.col("word"), r, counters).alias(f"_at_{r}") for r in range(hash_rows)]
+    added = words.select(F.coalesce(F.col(rating).cast("bigint"), F.lit(NO_RATING)).alias("rating"), n.cast("bigint").alias("n"), *places).mapInArrow(
+        _add_up(hash_rows, counters), "rating bigint, row int, counter int, n bigint")
+    shown = F.when(F.col("rating") != NO_RATING, F.col("rating")).cast(words.schema[rating].dataType).alias(rating)
+    return added.groupBy("rating", "row", "counter").agg(F.sum("n").alias("n")).select(shown, "row", "counter", "n")
+
+
+def _add_up(hash_rows: int, counters: int):
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            ratings, n, *places = (batch.column(i).to_numpy() for i in range(2 + hash_rows))
+            for rating in np.unique(ratings).tolist():
+                here = np.flatnonzero(ratings == rating)
+                table = sums.setdefault(rating, np.zeros((hash_rows, counters), np.int64))
+                for row, place in enumerate(places):
+                    table[row] += np.bincount(place[here], n[here], counters).astype(np.int64)
+        for rating, table in sums.items():
+            row, counter = np.nonzero(table)
+            for a in range(0, len(row), OUT_ROWS):
+                r, c = row[a:a + OUT_ROWS], counter[a:a + OUT_ROWS]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(r), rating)), pa.array(r.astype(np.int32)), pa.array(c.astype(np.int32)), pa.array(table[r, c])],
+                    ["rating", "row", "counter", "n"])
+
+    return run
 
 
 def _counted(words: DataFrame, rating: str, floors: dict[int, int], sketch: DataFrame, hash_rows: int, counters: int) -> DataFrame:

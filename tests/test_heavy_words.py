@@ -61,3 +61,24 @@ def test_equal_words_are_counted_where_they_are_read(spark, monkeypatch):
     assert {(1, "same", 2000), (2, "words", 2000), (1, "again", 1000), (3, "x" * 50, 1)} <= got
     monkeypatch.setattr(hw, "BATCH_BYTES", 1)
     assert _rows(hw.heavy_words_by_rating(df, 5)) == _rows(top_words_by_rating(df, 5))
+
+
+def test_plain_words_need_no_rules(spark, monkeypatch):
+    """Only pieces that the rules could change go through them; equal ones of many runs are sent on once."""
+    monkeypatch.setattr(hw, "BATCH_BYTES", 4_000)
+    line = "Great food. The\nÉtoile's é Étoile, 'cannot' Cannot! the*** wow!! 10:30 a.b 1,000 it's café écannot x\x85 end.\nlast\u2028word the, $5"
+    df = spark.createDataFrame([(1 + i % 5, line, "", 0) for i in range(3_000)], SCHEMA).coalesce(2)
+    assert _rows(hw.heavy_words_by_rating(df, 40)) == _rows(top_words_by_rating(df, 40))
+    df = df.withColumn("text", hw.F.translate("text", "\x85", ""))
+    assert _rows(hw.heavy_words_by_rating(df, 40)) == _rows(top_words_by_rating(df, 40))
+    assert hw.counted_words(df, "text", "stars", []).count() <= 2 * 5 * 45
+    held = list(hw._count_pieces([])(iter(df.select("stars", "text").toArrow().to_batches())))
+    pieces = hw.pa.Table.from_batches(held)
+    rules = {p for p, done in zip(pieces["piece"].to_pylist(), pieces["done"].to_pylist()) if not done}
+    assert rules == {"Étoile's", "'cannot'", "Cannot!", "the***", "10:30", "a.b", "1,000", "it's", "écannot", "last\u2028word", "$5"}
+
+
+def test_counters_are_added_up_in_arrays(spark):
+    words = spark.createDataFrame([(1, "a", 5), (1, "b", 2), (None, "a", 1), (9, "a", 3)] * 7, "stars int, word string, n bigint").repartition(3)
+    got = {(r["stars"], r["row"]): r["n"] for r in hw.counter_table(words, "stars", 2, 1).collect()}
+    assert got == {(s, r): n for s, n in ((1, 49), (None, 7), (9, 21)) for r in (0, 1)}
